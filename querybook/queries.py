@@ -13,9 +13,16 @@ from titlelabels.functions.text import is_blank, upper_title
 from titlelabels.functions.vectors import norm
 from titlelabels.operators.centroids import centroid_library, label_centroids
 from titlelabels.operators.classify import Labeller, classify_notes, score_titles, title_counts
-from titlelabels.operators.hybrid import merged_confidence, merged_labels, source_name, with_gates, with_stages
+from titlelabels.operators.hybrid import (
+    merged_confidence,
+    merged_labels,
+    needs_vector,
+    role_done,
+    source_name,
+    type_done,
+)
 from titlelabels.operators.rules import label_weights, rule_hits, rule_struct, with_rules
-from titlelabels.operators.similarity import above, score_map, top_k, with_scores, with_similarity
+from titlelabels.operators.similarity import score_map, top_k, with_similarity
 from titlelabels.plans import reports
 from titlelabels.plans.labelling import label_notes
 from titlelabels.rulepack import rule_table
@@ -154,7 +161,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("rule_hits_array")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     ruled = with_rules(composed_titles(spark, folder), "title")
-    return ruled.select("title", joined("rule_tags").alias("tags"), F.size("rule_tags").alias("n_tags"))
+    return ruled.select("title", joined("rules.rule_hits").alias("tags"), F.size("rules.rule_hits").alias("n_tags"))
 
 
 @query("role_weights")
@@ -174,13 +181,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("rule_confidence")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     ruled = with_rules(composed_titles(spark, folder), "title")
-    return ruled.select("title", F.col("rule_role_conf").alias("role_conf"), F.col("rule_type_conf").alias("type_conf"))
+    return ruled.select("title", "rules.role_confidence", "rules.type_confidence").toDF(
+        "title", "role_conf", "type_conf"
+    )
 
 
 @query("band_labels")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     ruled = with_rules(composed_titles(spark, folder), "title")
-    return ruled.select("title", joined("rule_roles").alias("roles"), joined("rule_types").alias("types"))
+    return ruled.select("title", joined("rules.roles").alias("roles"), joined("rules.note_types").alias("types"))
 
 
 @query("apply_rules")
@@ -205,7 +214,7 @@ def vector_library(spark: SparkSession, folder: str) -> Column:
     return centroid_library(label_centroids(fx.anchor_vectors(spark, folder)))
 
 
-def exploded_scores(df: DataFrame, key: str, value: Callable[[str], Column]) -> DataFrame:
+def exploded(df: DataFrame, key: str, value: Callable[[str], Column]) -> DataFrame:
     """One row per entry of the arrays that ``value(dim)`` gives for both dimensions."""
     per_dim = F.array(*[F.struct(F.lit(d).alias("dim"), value(d).alias("entries")) for d in DIMS])
     return df.select(key, F.inline(per_dim)).select(key, "dim", F.posexplode("entries").alias("pos", "e"))
@@ -241,47 +250,42 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select("title", F.inline("v")).select("title", F.col("i").alias("bucket"), rounded("x").alias("x"))
 
 
+def _similar(spark: SparkSession, folder: str) -> DataFrame:
+    return with_similarity(fx.vector_notes(spark, folder), "v", vector_library(spark, folder), VECTOR_SETTINGS)
+
+
 @query("cosine_scores")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    scored = with_scores(fx.vector_notes(spark, folder), "v", vector_library(spark, folder))
-    rows = exploded_scores(scored, "vec_id", lambda d: F.col(f"emb_{d}_scores"))
+    rows = exploded(_similar(spark, folder), "vec_id", lambda d: F.col(f"similarity.{d}_scores"))
     return rows.select("vec_id", "dim", "e.label", rounded("e.score").alias("score"))
 
 
 @query("topk_labels")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    scored = with_scores(fx.vector_notes(spark, folder), "v", vector_library(spark, folder))
-    best = exploded_scores(scored, "vec_id", lambda d: top_k(F.col(f"emb_{d}_scores"), VECTOR_SETTINGS.top_k(d)))
+    best = exploded(
+        _similar(spark, folder), "vec_id", lambda d: top_k(F.col(f"similarity.{d}_scores"), VECTOR_SETTINGS.top_k(d))
+    )
     return best.select("vec_id", "dim", (F.col("pos") + 1).alias("place"), "e.label", rounded("e.score").alias("score"))
 
 
 @query("topk_above_threshold")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    scored = with_scores(fx.vector_notes(spark, folder), "v", vector_library(spark, folder))
-    kept = exploded_scores(
-        scored,
-        "vec_id",
-        lambda d: above(top_k(F.col(f"emb_{d}_scores"), VECTOR_SETTINGS.top_k(d)), VECTOR_SETTINGS.emb_conf_thresh),
-    )
+    kept = exploded(_similar(spark, folder), "vec_id", lambda d: F.col(f"similarity.{d}_kept"))
     return kept.select("vec_id", "dim", (F.col("pos") + 1).alias("place"), "e.label", rounded("e.score").alias("score"))
 
 
-def _similar(spark: SparkSession, folder: str) -> DataFrame:
-    return with_similarity(fx.vector_notes(spark, folder), "v", vector_library(spark, folder), VECTOR_SETTINGS)
-
-
 @query("embedding_confidence")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _similar(spark, folder).select(
-        "vec_id", F.col("emb_role_conf").alias("role_conf"), F.col("emb_type_conf").alias("type_conf")
-    )
+    found = _similar(spark, folder).select("vec_id", "similarity.role_confidence", "similarity.type_confidence")
+    return found.toDF("vec_id", "role_conf", "type_conf")
 
 
 @query("score_maps")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    scored = with_scores(fx.vector_notes(spark, folder), "v", vector_library(spark, folder))
-    maps = exploded_scores(
-        scored, "vec_id", lambda d: F.map_entries(score_map(F.col(f"emb_{d}_scores"), VECTOR_SETTINGS))
+    maps = exploded(
+        _similar(spark, folder),
+        "vec_id",
+        lambda d: F.map_entries(score_map(F.col(f"similarity.{d}_scores"), VECTOR_SETTINGS)),
     )
     return maps.select("vec_id", "dim", F.col("e.key").alias("label"), F.col("e.value").alias("score"))
 
@@ -290,41 +294,41 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return _similar(spark, folder).select(
         "vec_id",
-        joined("emb_roles").alias("roles"),
-        joined("emb_types").alias("types"),
-        F.col("emb_role_conf").alias("role_conf"),
-        F.col("emb_type_conf").alias("type_conf"),
-        F.size("emb_role_scores").alias("n_role_scores"),
-        F.size("emb_type_scores").alias("n_type_scores"),
+        joined("similarity.role_labels").alias("roles"),
+        joined("similarity.type_labels").alias("types"),
+        F.col("similarity.role_confidence").alias("role_conf"),
+        F.col("similarity.type_confidence").alias("type_conf"),
+        F.size("similarity.role_scores").alias("n_role_scores"),
+        F.size("similarity.type_scores").alias("n_type_scores"),
     )
 
 
 # --- both stages merged ----------------------------------------------------------------
 
 
-def _gated(spark: SparkSession, folder: str) -> DataFrame:
-    return with_gates(with_rules(composed_titles(spark, folder), "title"), "title")
-
-
 @query("stage_gate")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _gated(spark, folder).select("title", "role_done", "type_done")
+    ruled = with_rules(composed_titles(spark, folder), "title")
+    r = F.col("rules")
+    return ruled.select("title", role_done(r).alias("role_done"), type_done(r).alias("type_done"))
 
 
 @query("source_rules")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _gated(spark, folder)
-        .filter(F.col("role_done") & F.col("type_done"))
-        .select("title", joined("rule_roles").alias("roles"), joined("rule_types").alias("types"), "n")
+    ruled = with_rules(composed_titles(spark, folder), "title")
+    r = F.col("rules")
+    return ruled.filter(role_done(r) & type_done(r)).select(
+        "title", joined("rules.roles").alias("roles"), joined("rules.note_types").alias("types"), "n"
     )
 
 
 @query("needs_embedding")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    titles = title_counts(fx.notes(spark, folder), "note_title")
-    gated = with_gates(with_rules(titles, "title"), "title")
-    return gated.filter("needs_vector").select("title", "role_done", "type_done", "n")
+    ruled = with_rules(title_counts(fx.notes(spark, folder), "note_title"), "title")
+    r = F.col("rules")
+    return ruled.filter(needs_vector(F.col("title"), r)).select(
+        "title", role_done(r).alias("role_done"), type_done(r).alias("type_done"), "n"
+    )
 
 
 def vector_labeller(spark: SparkSession, folder: str) -> Labeller:
@@ -332,30 +336,37 @@ def vector_labeller(spark: SparkSession, folder: str) -> Labeller:
 
 
 def _staged(spark: SparkSession, folder: str) -> DataFrame:
-    """Vector notes with text, both stages side by side."""
-    notes = fx.vector_notes(spark, folder)
-    encoder = VectorColumn("v", fx.anchor_vectors(spark, folder))
-    staged = with_stages(notes, "note_title", encoder, vector_library(spark, folder), settings=VECTOR_SETTINGS)
-    return staged.filter(~F.col("is_blank"))
+    """Vector notes with text, both stages side by side: ``rules``, ``similarity``."""
+    notes = fx.vector_notes(spark, folder).filter(~is_blank(F.col("note_title")))
+    both = with_rules(notes, "note_title")
+    return with_similarity(both, "v", vector_library(spark, folder), VECTOR_SETTINGS)
 
 
 @query("merge_labels")
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    r, e = F.col("rules"), F.col("similarity")
     return _staged(spark, folder).select(
-        "vec_id", joined(merged_labels(ROLE)).alias("roles"), joined(merged_labels(TYPE)).alias("types")
+        "vec_id",
+        joined(merged_labels(role_done(r), r["roles"], e["role_labels"])).alias("roles"),
+        joined(merged_labels(type_done(r), r["note_types"], e["type_labels"])).alias("types"),
     )
 
 
 @query("merge_confidence")
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    r, e = F.col("rules"), F.col("similarity")
     return _staged(spark, folder).select(
-        "vec_id", merged_confidence(ROLE).alias("role_conf"), merged_confidence(TYPE).alias("type_conf")
+        "vec_id",
+        merged_confidence(role_done(r), r["role_confidence"], e["role_confidence"]).alias("role_conf"),
+        merged_confidence(type_done(r), r["type_confidence"], e["type_confidence"]).alias("type_conf"),
     )
 
 
 @query("classification_source")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _staged(spark, folder).select("vec_id", source_name().alias("source"))
+    notes = fx.vector_notes(spark, folder).filter(~is_blank(F.col("note_title")))
+    r = F.col("rules")
+    return with_rules(notes, "note_title").select("vec_id", source_name(role_done(r), type_done(r)).alias("source"))
 
 
 def flat(df: DataFrame, *keys: str) -> DataFrame:
@@ -432,7 +443,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Both score maps of every distinct title that reached stage 2."""
     titles = composed_titles(spark, folder).select("title")
-    maps = exploded_scores(
+    maps = exploded(
         score_titles(titles), "title", lambda d: F.map_entries(F.col(f"embedding_{d}_scores"))
     )
     return maps.select("title", "dim", F.col("e.key").alias("label"), rounded("e.value").alias("score"))

@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlelabels.anchors import anchor_table
+from titlelabels.functions.text import is_blank, let
 from titlelabels.operators.centroids import centroid_library, label_centroids
-from titlelabels.operators.hybrid import OUTPUT_SCHEMA, classification, with_classification, with_gates
-from titlelabels.operators.rules import with_rules
-from titlelabels.operators.similarity import with_similarity
+from titlelabels.operators.hybrid import OUTPUT_SCHEMA, blank_result, merged, needs_vector, with_classification
+from titlelabels.operators.rules import rule_struct
+from titlelabels.operators.similarity import similarity
 from titlelabels.rulepack import RULES, Rule
+from titlelabels.session import checkpointed
 from titlelabels.sources.encoders import Encoder, HashedTokens
 from titlelabels.taxonomy import Settings
 
@@ -96,17 +98,13 @@ def title_counts(df: DataFrame, title_col: str) -> DataFrame:
     return df.groupBy(F.col(title_col).alias("title")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def title_stats(df: DataFrame, title_col: str) -> TitleStats:
-    """Measure the titles of a table: reads the title column only."""
-    row = (
-        title_counts(df, title_col)
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.count(F.lit(1)).alias("titles"),
-            F.coalesce(F.sum(F.octet_length("title")), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
+def title_stats(counts: DataFrame) -> TitleStats:
+    """Size of the titles counted by :func:`title_counts`."""
+    row = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("titles"),
+        F.coalesce(F.sum(F.octet_length("title")), F.lit(0)).alias("bytes"),
+    ).first()
     return TitleStats(row["rows"], row["titles"], row["bytes"])
 
 
@@ -128,16 +126,18 @@ def _classified(df: DataFrame, title_col: str, labeller: Labeller) -> DataFrame:
 def _found(rows: DataFrame, labeller: Labeller) -> DataFrame:
     if rows.isStreaming or not labeller.encoder.by_title:
         return labeller.score(rows, KEY, FOUND)
-    stats = title_stats(rows, KEY)
+    # Kept on disk: the counts are read twice, and results that are only read
+    # back cannot be computed again by every filter that looks at them.
+    counts = checkpointed(title_counts(rows, KEY))
+    stats = title_stats(counts)
     if stats.fits(labeller.limits):
-        titles = rows.select(F.col(KEY).alias("title")).distinct()
-        return _answer(rows, labeller.score(titles, "title", FOUND))
+        return _answer(rows, checkpointed(labeller.score(counts.select("title"), "title", FOUND)))
 
-    hot = title_counts(rows, KEY).filter(
+    hot = counts.filter(
         (F.col("n") >= stats.hot_cut(labeller.limits))
         & (F.octet_length("title") <= labeller.limits.hot_title_bytes)
     )
-    answered = _answer(rows, labeller.score(hot.select("title"), "title", FOUND))
+    answered = _answer(rows, checkpointed(labeller.score(hot.select("title"), "title", FOUND)))
     # A row that has its answer is given no text, which makes its own scoring next to free.
     cold = answered.withColumn("__cold", F.when(F.col(FOUND).isNull(), F.col(KEY)))
     if labeller.encoder.per_row:
@@ -154,17 +154,20 @@ def _cold_by_join(cold: DataFrame, labeller: Labeller) -> DataFrame:
     """
     keep = [c for c in cold.columns if c not in (FOUND, "__cold")]
     settings = labeller.settings
-    ruled = with_gates(with_rules(cold, "__cold", labeller.rules, settings), "__cold", settings)
+    title = F.col("__cold")
+    ruled = cold.withColumn("__rules", rule_struct(title, labeller.rules, settings))
+    is_open = needs_vector(title, F.col("__rules"), settings)
 
-    no_vector = F.lit(None).cast("array<double>")
-    settled = ruled.filter(~F.col("needs_vector")).withColumn("_vector", no_vector)
-    settled = with_similarity(settled, "_vector", labeller.library(cold), settings).select(
-        *keep, F.coalesce(F.col(FOUND), classification(settings)).alias(FOUND)
+    unscored = similarity(F.lit(None).cast("array<double>"), F.col("__library"), settings)
+    by_rules = F.when(is_blank(title), blank_result()).otherwise(
+        let(unscored, lambda e: merged(F.col("__rules"), e, settings))
     )
-    unsettled = ruled.filter("needs_vector").select(*keep, "__cold")
-    titles = unsettled.select(F.col("__cold").alias("__t")).distinct()
+    settled = ruled.filter(~is_open).withColumn("__library", labeller.library(cold))
+    settled = settled.select(*keep, F.coalesce(F.col(FOUND), by_rules).alias(FOUND))
+    unsettled = ruled.filter(is_open).select(*keep, "__cold")
+    titles = unsettled.select(title.alias("__t")).distinct()
     scored = labeller.score(titles, "__t", FOUND)
-    joined = unsettled.join(scored, F.col("__cold") == F.col("__t"), "left").select(*keep, FOUND)
+    joined = unsettled.join(scored, title == F.col("__t"), "left").select(*keep, FOUND)
     return settled.unionByName(joined)
 
 

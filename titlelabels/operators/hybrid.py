@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlelabels.functions.text import is_blank
-from titlelabels.operators.rules import with_rules
-from titlelabels.operators.similarity import score_map, with_similarity
+from titlelabels.functions.text import is_blank, let
+from titlelabels.operators.rules import rule_struct
+from titlelabels.operators.similarity import score_map, similarity
 from titlelabels.rulepack import RULES, Rule
 from titlelabels.sources.encoders import Encoder
-from titlelabels.taxonomy import DIMS, ROLE, TYPE, UNKNOWN, Settings
+from titlelabels.taxonomy import UNKNOWN, Settings
 
 _STRINGS = T.ArrayType(T.StringType())
 _SCORES = T.MapType(T.StringType(), T.FloatType())
@@ -31,66 +31,75 @@ OUTPUT_SCHEMA = T.StructType(
 )
 
 
-def with_gates(df: DataFrame, title_col: str, settings: Settings = Settings()) -> DataFrame:
-    """Add ``is_blank``, ``role_done``, ``type_done`` and ``needs_vector`` to a frame with rule columns."""
-    gates = {f"{d}_done": F.col(f"rule_{d}_conf") >= F.lit(settings.rule_conf_thresh) for d in DIMS}
-    out = df.withColumns({"is_blank": is_blank(F.col(title_col))} | gates)
-    return out.withColumn("needs_vector", ~F.col("is_blank") & ~(F.col("role_done") & F.col("type_done")))
+def passes(rule_confidence: Column, settings: Settings = Settings()) -> Column:
+    """Gate of one dimension: the rules alone decide it."""
+    return rule_confidence >= F.lit(settings.rule_conf_thresh)
 
 
-def with_stages(
-    df: DataFrame,
-    title_col: str,
-    encoder: Encoder,
-    library: Column,
-    rules: tuple[Rule, ...] = RULES,
-    settings: Settings = Settings(),
-) -> DataFrame:
-    """Rule columns, gates and, for the titles that fail a gate, the stage-2 columns."""
-    out = with_gates(with_rules(df, title_col, rules, settings), title_col, settings)
-    out = encoder.add_vectors(out, F.col(title_col), "_vector", F.col("needs_vector"))
-    return with_similarity(out, "_vector", library, settings, encoder.sparse).drop("_vector")
+def role_done(rules: Column, settings: Settings = Settings()) -> Column:
+    return passes(rules["role_confidence"], settings)
+
+
+def type_done(rules: Column, settings: Settings = Settings()) -> Column:
+    return passes(rules["type_confidence"], settings)
+
+
+def needs_vector(title: Column, rules: Column, settings: Settings = Settings()) -> Column:
+    """Whether a title goes to stage 2: it has text and fails a gate."""
+    return ~is_blank(title) & ~(role_done(rules, settings) & type_done(rules, settings))
 
 
-def merged_labels(dim: str) -> Column:
+def merged_labels(done: Column, by_rules: Column, by_vector: Column) -> Column:
     """Rule labels past the gate; else stage-2 labels; else the rule labels after all."""
-    rule, emb = F.col(f"rule_{dim}s"), F.col(f"emb_{dim}s")
-    return F.when(F.col(f"{dim}_done") | (F.size(emb) == 0), rule).otherwise(emb)
+    return F.when(done | (F.size(by_vector) == 0), by_rules).otherwise(by_vector)
 
 
-def merged_confidence(dim: str) -> Column:
+def merged_confidence(done: Column, by_rules: Column, by_vector: Column) -> Column:
     """Unlike the labels, the confidence never falls back to the rules below the gate."""
-    return F.when(F.col(f"{dim}_done"), F.col(f"rule_{dim}_conf")).otherwise(F.col(f"emb_{dim}_conf"))
+    return F.when(done, by_rules).otherwise(by_vector)
 
 
-def source_name() -> Column:
-    role, kind = F.col("role_done"), F.col("type_done")
-    return (
-        F.when(role & kind, "RULES").when(role | kind, "RULES+EMBEDDING").otherwise("EMBEDDING")
-    )
+def source_name(role: Column, kind: Column) -> Column:
+    """Provenance, from the two gates alone."""
+    return F.when(role & kind, "RULES").when(role | kind, "RULES+EMBEDDING").otherwise("EMBEDDING")
+
+
+def _result(values: list[Column]) -> Column:
+    """Result struct; numbers are narrowed to float here and nowhere before."""
+    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, OUTPUT_SCHEMA.fields, strict=True)])
 
 
 def blank_result() -> Column:
     """Result of a title without text."""
     unknown = F.array(F.lit(UNKNOWN))
-    values = [unknown, unknown, F.lit(0.0), F.lit(0.0), F.lit("EMPTY"), F.array(), F.create_map(), F.create_map()]
-    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, OUTPUT_SCHEMA.fields, strict=True)])
+    return _result(
+        [unknown, unknown, F.lit(0.0), F.lit(0.0), F.lit("EMPTY"), F.array(), F.create_map(), F.create_map()]
+    )
 
 
-def classification(settings: Settings = Settings()) -> Column:
-    """The result struct from the columns of :func:`with_stages`; narrowed to float only here."""
-    values = [
-        merged_labels(ROLE),
-        merged_labels(TYPE),
-        merged_confidence(ROLE),
-        merged_confidence(TYPE),
-        source_name(),
-        F.col("rule_tags"),
-        score_map(F.col("emb_role_scores"), settings),
-        score_map(F.col("emb_type_scores"), settings),
-    ]
-    found = F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, OUTPUT_SCHEMA.fields, strict=True)])
-    return F.when(F.col("is_blank"), blank_result()).otherwise(found)
+def merged(rules: Column, found: Column, settings: Settings = Settings()) -> Column:
+    """Result of a title with text, from :func:`rule_struct` and :func:`similarity`."""
+    role, kind = role_done(rules, settings), type_done(rules, settings)
+    return _result(
+        [
+            merged_labels(role, rules["roles"], found["role_labels"]),
+            merged_labels(kind, rules["note_types"], found["type_labels"]),
+            merged_confidence(role, rules["role_confidence"], found["role_confidence"]),
+            merged_confidence(kind, rules["type_confidence"], found["type_confidence"]),
+            source_name(role, kind),
+            rules["rule_hits"],
+            score_map(found["role_scores"], settings),
+            score_map(found["type_scores"], settings),
+        ]
+    )
+
+
+def classification(
+    title: Column, rules: Column, vector: Column, library: Column, settings: Settings, sparse: bool
+) -> Column:
+    """The result struct of one title; without a vector, stage 2 finds nothing."""
+    found = similarity(vector, library, settings, sparse)
+    return F.when(is_blank(title), blank_result()).otherwise(let(found, lambda e: merged(rules, e, settings)))
 
 
 def with_classification(
@@ -103,6 +112,23 @@ def with_classification(
     out: str = "classification",
 ) -> DataFrame:
     """Add the result struct to every row, computed on the row itself."""
-    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
-    staged = with_stages(df, title_col, encoder, library, rules, settings)
-    return staged.select(*keep, classification(settings).alias(out))
+    title = F.col(title_col)
+    work = df.withColumn("__library", library)
+    lib = F.col("__library")
+
+    def with_vector(r: Column, v: Column) -> Column:
+        return classification(title, r, v, lib, settings, encoder.sparse)
+
+    if encoder.per_row:
+        whole = let(
+            rule_struct(title, rules, settings),
+            lambda r: let(
+                F.when(needs_vector(title, r, settings), encoder.column(title)), lambda v: with_vector(r, v)
+            ),
+        )
+        return work.withColumn(out, whole).drop("__library")
+    work = work.withColumn("__rules", rule_struct(title, rules, settings))
+    work = encoder.add_vectors(work, title, "__vector", needs_vector(title, F.col("__rules"), settings))
+    return work.withColumn(out, with_vector(F.col("__rules"), F.col("__vector"))).drop(
+        "__library", "__rules", "__vector"
+    )

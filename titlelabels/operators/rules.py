@@ -1,7 +1,9 @@
 """Stage 1: weighted phrase rules.
 
-Every rule becomes one literal ``rlike`` of the plan, so the stage is a chain of
-projections: no shuffle, no Python, and the same code runs on a stream.
+Every rule is one literal search inside a single Column expression: no shuffle,
+no Python, and the same expression works in select, filter and on streams.
+Intermediate values are bound with ``let``, so the expression grows with the
+number of rules only, also when the optimizer copies it into a filter.
 """
 
 from __future__ import annotations
@@ -20,29 +22,33 @@ from titlelabels.taxonomy import DIMS, Settings
 # the run can fire, and only then are its members searched one by one.
 RUN_LENGTH = 8
 
+Hit = Callable[[int], Column]  # whether the n-th rule fired
 
-def no_strings() -> Column:
-    return F.array().cast("array<string>")
 
+def strings(values: list[Column]) -> Column:
+    """Array of the non-null strings, in order."""
+    return F.array_compact(F.array(*values)) if values else F.array().cast("array<string>")
 
-def _strings(values: list[Column]) -> Column:
-    """Array of the non-null strings, in order; the values must differ.
-
-    ``array_except`` is compiled with the stage, ``array_compact`` is not.
-    """
-    return F.array_except(F.array(*values), F.array(F.lit(None).cast("string"))) if values else no_strings()
 
+def search(text: Column, rules: tuple[Rule, ...]) -> Column:
+    """Array of booleans, one per rule; ``text`` is a folded title."""
+    runs = [rules[i : i + RUN_LENGTH] for i in range(0, len(rules), RUN_LENGTH)]
+    none = [F.array(*[F.lit(False)] * len(run)) for run in runs]
+    found = [F.array(*[text.rlike(rule_pattern(r)) for r in run]) for run in runs]
+    parts = [F.when(text.rlike(any_pattern(run)), f).otherwise(n) for run, f, n in zip(runs, found, none, strict=True)]
+    return F.flatten(F.array(*parts))
 
-def _runs(rules: tuple[Rule, ...]) -> list[tuple[Rule, ...]]:
-    return [rules[i : i + RUN_LENGTH] for i in range(0, len(rules), RUN_LENGTH)]
 
-
-def rule_tags(hit: Callable[[int], Column], rules: tuple[Rule, ...]) -> Column:
-    """Tags of the fired rules in rule order; ``hit(n)`` says whether the n-th rule fired."""
-    return _strings([F.when(hit(n), F.lit(r.tag)) for n, r in enumerate(rules)])
+def fired_rules(hit: Hit, rules: tuple[Rule, ...]) -> Column:
+    """``struct<rule_id, tag>`` of the fired rules in rule order."""
+    items = [
+        F.when(hit(n), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.tag).alias("tag")))
+        for n, r in enumerate(rules)
+    ]
+    return F.array_compact(F.array(*items))
 
 
-def label_weight(hit: Callable[[int], Column], rules: tuple[Rule, ...], dim: str, label: str) -> Column:
+def label_weight(hit: Hit, rules: tuple[Rule, ...], dim: str, label: str) -> Column:
     """Weights of one label added left to right in rule order.
 
     The order matters: doubles that add up in another order can fall on the
@@ -50,141 +56,85 @@ def label_weight(hit: Callable[[int], Column], rules: tuple[Rule, ...], dim: str
     which changes nothing.
     """
     terms = [
-        F.when(hit(n), F.lit(r.weight)).otherwise(F.lit(0.0))
-        for n, r in enumerate(rules)
-        if label in r.labels(dim)
+        F.when(hit(n), F.lit(r.weight)).otherwise(F.lit(0.0)) for n, r in enumerate(rules) if label in r.labels(dim)
     ]
     return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
-def top_weight(weights: list[Column]) -> Column:
-    if not weights:
-        return F.lit(0.0)
-    return weights[0] if len(weights) == 1 else F.greatest(*weights)
-
-
-def confidence(top: Column, settings: Settings) -> Column:
+def confidence(weights: Column, settings: Settings) -> Column:
     """Largest label weight, capped and rounded; 0.0 when no rule fired."""
-    return F.round(F.least(top, F.lit(settings.cap)), settings.digits)
-
-
-def banded(weights: dict[str, Column], top: Column, settings: Settings) -> Column:
-    """Labels inside the band below the top weight, in alphabetical order."""
-    kept = [
-        F.when((weights[x] > 0) & (weights[x] >= F.lit(settings.band_ratio) * top), F.lit(x))
-        for x in sorted(weights)
-    ]
-    return _strings(kept)
-
+    return F.round(F.least(top_weight(weights), F.lit(settings.cap)), settings.digits)
 
-def with_hits(df: DataFrame, title: Column, rules: tuple[Rule, ...] = RULES, prefix: str = "_hit_") -> DataFrame:
-    """Add one boolean column per rule, ``<prefix><n>``."""
-    runs = _runs(rules)
-    text = f"{prefix}text"
-    # Not nullable, so that the compiled stage carries no null checks.
-    out = df.withColumn(text, F.coalesce(fold_title(title), F.lit("")))
-    out = out.withColumns({f"{prefix}run_{k}": F.col(text).rlike(any_pattern(run)) for k, run in enumerate(runs)})
-    hits = {}
-    for k, run in enumerate(runs):
-        for j, r in enumerate(run):
-            hits[f"{prefix}{k * RUN_LENGTH + j}"] = F.col(f"{prefix}run_{k}") & F.col(text).rlike(rule_pattern(r))
-    return out.withColumns(hits).drop(text, *[f"{prefix}run_{k}" for k in range(len(runs))])
 
+def top_weight(weights: Column) -> Column:
+    return F.coalesce(F.array_max(F.transform(weights, lambda w: w["weight"])), F.lit(0.0))
 
-def with_rules(
-    df: DataFrame,
-    title_col: str,
-    rules: tuple[Rule, ...] = RULES,
-    settings: Settings = Settings(),
-    weights: bool = False,
-) -> DataFrame:
-    """Add ``rule_roles, rule_types, rule_role_conf, rule_type_conf, rule_tags``.
 
-    With ``weights`` the summed label weights stay too, as ``rule_role_weights``
-    and ``rule_type_weights`` (arrays of ``struct<label, weight>``, fired labels only).
-    """
-    keep = df.columns
-    out = with_hits(df, F.col(title_col), rules)
-    hit = lambda n: F.col(f"_hit_{n}")
-    labels = {dim: pack_labels(rules, dim) for dim in DIMS}
-    out = out.withColumns(
-        {f"_w_{dim}_{x}": label_weight(hit, rules, dim, x) for dim in DIMS for x in labels[dim]}
-        | {"rule_tags": rule_tags(hit, rules)}
+def banded(weights: Column, settings: Settings) -> Column:
+    """Labels inside the band below the top weight (before the cap), in alphabetical order."""
+    return let(
+        F.lit(settings.band_ratio) * top_weight(weights),
+        lambda floor: F.array_sort(
+            F.transform(F.filter(weights, lambda w: w["weight"] >= floor), lambda w: w["label"])
+        ),
     )
-    w = {dim: {x: F.col(f"_w_{dim}_{x}") for x in labels[dim]} for dim in DIMS}
-    out = out.withColumns({f"_w_top_{dim}": top_weight(list(w[dim].values())) for dim in DIMS})
-    cols = [F.col(f"`{c}`") for c in keep]
-    for dim in DIMS:
-        top = F.col(f"_w_top_{dim}")
-        cols.append(banded(w[dim], top, settings).alias(f"rule_{dim}s"))
-        cols.append(confidence(top, settings).alias(f"rule_{dim}_conf"))
-        if weights:
-            pairs = [F.when(c > 0, F.struct(F.lit(x).alias("label"), c.alias("weight"))) for x, c in w[dim].items()]
-            cols.append(F.array_compact(F.array(*pairs)).alias(f"rule_{dim}_weights"))
-    return out.select(*cols, "rule_tags")
 
 
 def rule_struct(title: Column, rules: tuple[Rule, ...] = RULES, settings: Settings = Settings()) -> Column:
-    """Stage 1 as one Column, usable in select, filter and on streams.
+    """Stage 1 as one Column.
 
-    ``struct<roles, note_types, role_confidence, type_confidence, rule_hits>``;
-    a null title gives the struct of no hits.
+    ``struct<roles, note_types, role_confidence, type_confidence, rule_hits>``
+    plus ``fired`` (rule ids and tags) and ``role_weights``, ``type_weights``
+    (``label, weight`` of the labels that got any). A null title fires nothing.
     """
-    labels = {dim: pack_labels(rules, dim) for dim in DIMS}
-    runs = _runs(rules)
-
-    def search(text: Column) -> Column:
-        per_run = [
-            F.when(text.rlike(any_pattern(run)), F.array(*[text.rlike(rule_pattern(r)) for r in run])).otherwise(
-                F.array(*[F.lit(False)] * len(run))
-            )
-            for run in runs
-        ]
-        return F.flatten(F.array(*per_run))
 
     def weigh(hits: Column) -> Column:
         hit = lambda n: F.get(hits, F.lit(n))
-        sums = [
-            F.array(*[label_weight(hit, rules, dim, x) for x in labels[dim]]).cast("array<double>").alias(dim)
-            for dim in DIMS
-        ]
-        return F.struct(rule_tags(hit, rules).alias("tags"), *sums)
+        fields = [fired_rules(hit, rules).alias("fired")]
+        for dim in DIMS:
+            all_labels = [
+                F.struct(F.lit(x).alias("label"), label_weight(hit, rules, dim, x).alias("weight"))
+                for x in pack_labels(rules, dim)
+            ]
+            array = F.array(*all_labels) if all_labels else F.array()
+            array = array.cast("array<struct<label:string,weight:double>>")
+            fields.append(F.filter(array, lambda w: w["weight"] > 0).alias(dim))
+        return F.struct(*fields)
 
     def conclude(s: Column) -> Column:
-        fields = {}
-        for dim in DIMS:
-            top = F.coalesce(F.array_max(s[dim]), F.lit(0.0))
-            w = {x: F.get(s[dim], F.lit(n)) for n, x in enumerate(labels[dim])}
-            fields[dim] = (banded(w, top, settings), confidence(top, settings))
-        (roles, role_conf), (types, type_conf) = (fields[d] for d in DIMS)
+        role, kind = (s[d] for d in DIMS)
         return F.struct(
-            roles.alias("roles"),
-            types.alias("note_types"),
-            role_conf.alias("role_confidence"),
-            type_conf.alias("type_confidence"),
-            s["tags"].alias("rule_hits"),
+            banded(role, settings).alias("roles"),
+            banded(kind, settings).alias("note_types"),
+            confidence(role, settings).alias("role_confidence"),
+            confidence(kind, settings).alias("type_confidence"),
+            F.transform(s["fired"], lambda f: f["tag"]).alias("rule_hits"),
+            s["fired"].alias("fired"),
+            role.alias("role_weights"),
+            kind.alias("type_weights"),
         )
 
     text = F.coalesce(fold_title(title), F.lit(""))
-    return let(text, lambda t: let(search(t), lambda h: let(weigh(h), conclude)))
+    return let(text, lambda t: let(search(t, rules), lambda h: let(weigh(h), conclude)))
+
+
+def with_rules(
+    df: DataFrame, title_col: str, rules: tuple[Rule, ...] = RULES, settings: Settings = Settings()
+) -> DataFrame:
+    """Add the struct of :func:`rule_struct` as column ``rules``."""
+    return df.withColumn("rules", rule_struct(F.col(title_col), rules, settings))
 
 
 def rule_hits(df: DataFrame, title_col: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per (row of ``df``, fired rule): the input columns, ``rule_id`` and ``tag``."""
-    keep = df.columns
-    out = with_hits(df, F.col(title_col), rules)
-    fired = [
-        F.when(
-            F.col(f"_hit_{n}"), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.tag).alias("tag"))
-        )
-        for n, r in enumerate(rules)
-    ]
-    out = out.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array_compact(F.array(*fired))).alias("_fired"))
-    return out.select(*[F.col(f"`{c}`") for c in keep], "_fired.rule_id", "_fired.tag")
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(*keep, rule_struct(F.col(title_col), rules)["fired"].alias("_fired")).select(
+        *keep, F.inline("_fired")
+    )
 
 
 def label_weights(df: DataFrame, title_col: str, dim: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per (row of ``df``, label with weight): the input columns, ``label`` and ``weight``."""
     keep = [F.col(f"`{c}`") for c in df.columns]
-    weighed = with_rules(df, title_col, rules, weights=True)
-    return weighed.select(*keep, F.inline(f"rule_{dim}_weights"))
+    weights = rule_struct(F.col(title_col), rules)[f"{dim}_weights"]
+    return df.select(*keep, weights.alias("_weights")).select(*keep, F.inline("_weights"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titlelabels.functions.text import let
 from titlelabels.functions.vectors import dot, sparse_dot
 from titlelabels.taxonomy import DIMS, Settings
 
@@ -53,33 +54,42 @@ def score_map(scores: Column, settings: Settings) -> Column:
     )
 
 
-def with_scores(df: DataFrame, vector_col: str, library: Column, sparse: bool = False) -> DataFrame:
-    """Add ``emb_role_scores`` and ``emb_type_scores``; empty where there is no vector."""
-    vector = F.col(vector_col)
+def similarity(vector: Column, library: Column, settings: Settings = Settings(), sparse: bool = False) -> Column:
+    """Stage 2 as one Column.
+
+    Per dimension a struct holds ``<dim>_scores`` (all, in taxonomy order),
+    ``<dim>_kept`` (the survivors, best first), ``<dim>_labels`` and
+    ``<dim>_confidence``. Without a vector the arrays are empty.
+    """
     none = F.array().cast(f"array<{SCORE}>")
-    scores = {
-        f"emb_{d}_scores": F.when(vector.isNotNull(), cosines(vector, F.col("_library")[d], sparse)).otherwise(none)
-        for d in DIMS
-    }
-    return df.withColumn("_library", library).withColumns(scores).drop("_library")
+    scored = F.struct(
+        *[F.when(vector.isNotNull(), cosines(vector, library[d], sparse)).otherwise(none).alias(d) for d in DIMS]
+    )
+
+    def keep(s: Column) -> Column:
+        kept = [above(top_k(s[d], settings.top_k(d)), settings.emb_conf_thresh).alias(f"{d}_kept") for d in DIMS]
+        return F.struct(*[s[d].alias(f"{d}_scores") for d in DIMS], *kept)
+
+    def conclude(s: Column) -> Column:
+        fields = []
+        for d in DIMS:
+            kept = s[f"{d}_kept"]
+            fields += [
+                s[f"{d}_scores"].alias(f"{d}_scores"),
+                kept.alias(f"{d}_kept"),
+                F.transform(kept, lambda e: e["label"]).alias(f"{d}_labels"),
+                best_score(kept, settings).alias(f"{d}_confidence"),
+            ]
+        return F.struct(*fields)
+
+    return let(scored, lambda s: let(keep(s), conclude))
 
 
 def with_similarity(
     df: DataFrame, vector_col: str, library: Column, settings: Settings = Settings(), sparse: bool = False
 ) -> DataFrame:
-    """Stage 2 as a whole.
-
-    Adds per dimension ``emb_<dim>_scores`` (all), ``emb_<dim>_kept`` (the
-    survivors), ``emb_<dim>s`` (labels, best first) and ``emb_<dim>_conf``.
-    """
-    out = with_scores(df, vector_col, library, sparse)
-    out = out.withColumns(
-        {
-            f"emb_{d}_kept": above(top_k(F.col(f"emb_{d}_scores"), settings.top_k(d)), settings.emb_conf_thresh)
-            for d in DIMS
-        }
-    )
-    return out.withColumns(
-        {f"emb_{d}s": F.transform(f"emb_{d}_kept", lambda s: s["label"]) for d in DIMS}
-        | {f"emb_{d}_conf": best_score(F.col(f"emb_{d}_kept"), settings) for d in DIMS}
-    )
+    """Add the struct of :func:`similarity` as column ``similarity``."""
+    out = df.withColumn("__library", library)
+    return out.withColumn(
+        "similarity", similarity(F.col(vector_col), F.col("__library"), settings, sparse)
+    ).drop("__library")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
@@ -24,10 +24,26 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh path below the folder all executors share (``spark.checkpoint.dir``).
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
     Where the setting is missing, as on a single machine, a temporary folder takes its place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="titlelabels-")
-    return f"{root.rstrip('/')}/titlelabels-{uuid4().hex}"
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="titlelabels-"))
+    elif context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named or context.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh path below the shared folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/titlelabels-{uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()

@@ -8,7 +8,7 @@ for every row that carries it is cheap; if not, distinct titles are encoded.
 
 from __future__ import annotations
 
-from abc import ABC, abstractmethod
+from abc import ABC
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -33,9 +33,13 @@ class Encoder(ABC):
         """The encoder for a frame whose columns were renamed."""
         return self
 
-    @abstractmethod
+    def column(self, title: Column) -> Column:
+        """The vector as an expression of the row, for encoders that are cheap per row."""
+        raise NotImplementedError
+
     def add_vectors(self, df: DataFrame, title: Column, out: str, wanted: Column | None = None) -> DataFrame:
         """Add the vector of ``title`` as column ``out``; null where ``wanted`` is false."""
+        return df.withColumn(out, _where(wanted, self.column(title)))
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
         """Dense vectors of an anchor table: ``dim, label, v``."""
@@ -88,8 +92,8 @@ class HashedTokens(Encoder):
             ),
         )
 
-    def add_vectors(self, df: DataFrame, title: Column, out: str, wanted: Column | None = None) -> DataFrame:
-        return df.withColumn(out, _where(wanted, self.entries(title)))
+    def column(self, title: Column) -> Column:
+        return self.entries(title)
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
         return anchors.select("dim", "label", self.dense(F.col("phrase")).alias("v"))
@@ -120,18 +124,18 @@ class VectorTable(Encoder):
 
 @dataclass(frozen=True)
 class VectorColumn(Encoder):
-    """The vector stands beside the title already, in column ``column``."""
+    """The vector stands beside the title already, in column ``vector_col``."""
 
-    column: str
+    vector_col: str
     anchors: DataFrame
     per_row = True
     by_title = False
 
     def renamed(self, names: dict[str, str]) -> Encoder:
-        return VectorColumn(names[self.column], self.anchors)
+        return VectorColumn(names[self.vector_col], self.anchors)
 
-    def add_vectors(self, df: DataFrame, title: Column, out: str, wanted: Column | None = None) -> DataFrame:
-        return df.withColumn(out, _where(wanted, F.col(self.column).cast("array<double>")))
+    def column(self, title: Column) -> Column:
+        return F.col(self.vector_col).cast("array<double>")
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
         return self.anchors.select("dim", "label", F.col("v").cast("array<double>").alias("v"))
