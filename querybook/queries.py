@@ -93,12 +93,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("blank_titles")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return fx.notes(spark, folder).filter(is_blank(F.col("note_title"))).select("note_id", "note_title")
+    return fx.notes(spark, folder).filter(F.expr(is_blank("note_title"))).select("note_id", "note_title")
 
 
 @query("title_upper")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return fx.composed_notes(spark, folder).select("note_id", upper_title(F.col("note_title")).alias("title_upper"))
+    return fx.composed_notes(spark, folder).select("note_id", F.expr(upper_title("note_title")).alias("title_upper"))
 
 
 # --- data tables, with their use by the notes -------------------------------------------
@@ -195,7 +195,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("apply_rules")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     titles = title_counts(fx.notes(spark, folder), "note_title")
-    s = titles.select("title", "n", rule_struct(F.col("title")).alias("s"))
+    s = titles.select("title", "n", rule_struct("title").alias("s"))
     return s.select(
         "title",
         "n",
@@ -223,7 +223,7 @@ def exploded(df: DataFrame, key: str, value: Callable[[str], Column]) -> DataFra
 @query("l2_normalize")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     unit = normalised(fx.read(spark, folder, "embeddings"), "embedding")
-    length = rounded(norm(F.col("embedding"))).alias("length")
+    length = rounded(F.expr(norm("embedding"))).alias("length")
     return unit.select("vec_id", length, F.posexplode("embedding").alias("pos", "x")).select(
         "vec_id", "length", "pos", rounded("x").alias("x")
     )
@@ -246,7 +246,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("encode_titles")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = HashedTokens().add_vectors(composed_titles(spark, folder), F.col("title"), "v")
+    encoded = HashedTokens().add_vectors(composed_titles(spark, folder), "title", "v")
     return encoded.select("title", F.inline("v")).select("title", F.col("i").alias("bucket"), rounded("x").alias("x"))
 
 
@@ -263,7 +263,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("topk_labels")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     best = exploded(
-        _similar(spark, folder), "vec_id", lambda d: top_k(F.col(f"similarity.{d}_scores"), VECTOR_SETTINGS.top_k(d))
+        _similar(spark, folder), "vec_id", lambda d: F.expr(top_k(f"similarity.{d}_scores", VECTOR_SETTINGS.top_k(d)))
     )
     return best.select("vec_id", "dim", (F.col("pos") + 1).alias("place"), "e.label", rounded("e.score").alias("score"))
 
@@ -285,7 +285,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     maps = exploded(
         _similar(spark, folder),
         "vec_id",
-        lambda d: F.map_entries(score_map(F.col(f"similarity.{d}_scores"), VECTOR_SETTINGS)),
+        lambda d: F.map_entries(F.expr(score_map(f"similarity.{d}_scores", VECTOR_SETTINGS))),
     )
     return maps.select("vec_id", "dim", F.col("e.key").alias("label"), F.col("e.value").alias("score"))
 
@@ -309,15 +309,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("stage_gate")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     ruled = with_rules(composed_titles(spark, folder), "title")
-    r = F.col("rules")
-    return ruled.select("title", role_done(r).alias("role_done"), type_done(r).alias("type_done"))
+    r = "rules"
+    return ruled.select("title", F.expr(role_done(r)).alias("role_done"), F.expr(type_done(r)).alias("type_done"))
 
 
 @query("source_rules")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     ruled = with_rules(composed_titles(spark, folder), "title")
-    r = F.col("rules")
-    return ruled.filter(role_done(r) & type_done(r)).select(
+    r = "rules"
+    return ruled.filter(f"{role_done(r)} AND {type_done(r)}").select(
         "title", joined("rules.roles").alias("roles"), joined("rules.note_types").alias("types"), "n"
     )
 
@@ -325,9 +325,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("needs_embedding")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     ruled = with_rules(title_counts(fx.notes(spark, folder), "note_title"), "title")
-    r = F.col("rules")
-    return ruled.filter(needs_vector(F.col("title"), r)).select(
-        "title", role_done(r).alias("role_done"), type_done(r).alias("type_done"), "n"
+    r = "rules"
+    return ruled.filter(needs_vector("title", r)).select(
+        "title", F.expr(role_done(r)).alias("role_done"), F.expr(type_done(r)).alias("type_done"), "n"
     )
 
 
@@ -337,36 +337,36 @@ def vector_labeller(spark: SparkSession, folder: str) -> Labeller:
 
 def _staged(spark: SparkSession, folder: str) -> DataFrame:
     """Vector notes with text, both stages side by side: ``rules``, ``similarity``."""
-    notes = fx.vector_notes(spark, folder).filter(~is_blank(F.col("note_title")))
+    notes = fx.vector_notes(spark, folder).filter(~F.expr(is_blank("note_title")))
     both = with_rules(notes, "note_title")
     return with_similarity(both, "v", vector_library(spark, folder), VECTOR_SETTINGS)
 
 
 @query("merge_labels")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    r, e = F.col("rules"), F.col("similarity")
+    r, e = "rules", "similarity"
     return _staged(spark, folder).select(
         "vec_id",
-        joined(merged_labels(role_done(r), r["roles"], e["role_labels"])).alias("roles"),
-        joined(merged_labels(type_done(r), r["note_types"], e["type_labels"])).alias("types"),
+        joined(F.expr(merged_labels(role_done(r), f"{r}.roles", f"{e}.role_labels"))).alias("roles"),
+        joined(F.expr(merged_labels(type_done(r), f"{r}.note_types", f"{e}.type_labels"))).alias("types"),
     )
 
 
 @query("merge_confidence")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    r, e = F.col("rules"), F.col("similarity")
+    r, e = "rules", "similarity"
     return _staged(spark, folder).select(
         "vec_id",
-        merged_confidence(role_done(r), r["role_confidence"], e["role_confidence"]).alias("role_conf"),
-        merged_confidence(type_done(r), r["type_confidence"], e["type_confidence"]).alias("type_conf"),
+        F.expr(merged_confidence(role_done(r), f"{r}.role_confidence", f"{e}.role_confidence")).alias("role_conf"),
+        F.expr(merged_confidence(type_done(r), f"{r}.type_confidence", f"{e}.type_confidence")).alias("type_conf"),
     )
 
 
 @query("classification_source")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    notes = fx.vector_notes(spark, folder).filter(~is_blank(F.col("note_title")))
-    r = F.col("rules")
-    return with_rules(notes, "note_title").select("vec_id", source_name(role_done(r), type_done(r)).alias("source"))
+    notes = fx.vector_notes(spark, folder).filter(~F.expr(is_blank("note_title")))
+    r = "rules"
+    return with_rules(notes, "note_title").select("vec_id", F.expr(source_name(role_done(r), type_done(r))).alias("source"))
 
 
 def flat(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Column helpers for vectors.
+"""SQL expressions over vectors.
 
 A dense vector is ``array<double>``; a sparse one is an array of
 ``struct<i int, x double>`` in ascending ``i``.
@@ -6,31 +6,22 @@ A dense vector is ``array<double>``; a sparse one is an array of
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from titlelabels.functions.text import let
 
-ZERO = 0.0
 
+def dot(v: str, c: str) -> str:
+    return f"aggregate(zip_with({v}, {c}, (a, b) -> a * b), 0.0D, (acc, x) -> acc + x)"
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(ZERO), lambda a, x: a + x)
 
-
-def dot(v: Column, c: Column) -> Column:
-    return _sum(F.zip_with(v, c, lambda a, b: a * b))
-
-
-def sparse_dot(entries: Column, c: Column) -> Column:
+def sparse_dot(entries: str, c: str) -> str:
     """Sparse against dense; entries outside the dense vector count as zero."""
-    return F.aggregate(
-        entries, F.lit(ZERO), lambda a, e: a + e["x"] * F.coalesce(F.get(c, e["i"]), F.lit(ZERO))
-    )
+    return f"aggregate({entries}, 0.0D, (acc, e) -> acc + e.x * coalesce(get({c}, e.i), 0.0D))"
 
 
-def norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(ZERO), lambda a, x: a + x * x))
+def norm(v: str) -> str:
+    return f"sqrt(aggregate({v}, 0.0D, (acc, x) -> acc + x * x))"
 
 
-def unit(v: Column) -> Column:
+def unit(v: str) -> str:
     """Vector of length 1; a zero vector stays as it is."""
-    return F.when(norm(v) > 0, F.transform(v, lambda x: x / norm(v))).otherwise(v)
+    return let("len", norm(v), f"CASE WHEN len > 0 THEN transform({v}, x -> x / len) ELSE {v} END")

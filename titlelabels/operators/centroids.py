@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from titlelabels.functions.text import literal
 from titlelabels.functions.vectors import unit
 from titlelabels.taxonomy import DIMS, LABELS
 
+OWN_LABEL = 1_000  # place of labels outside the taxonomy
+
 
 def label_means(anchor_vectors: DataFrame) -> DataFrame:
     """Element-wise mean per label, long form ``dim, label, pos, x``.
@@ -28,15 +29,16 @@ def label_centroids(anchor_vectors: DataFrame, renormalise: bool = True) -> Data
     """One row per label: ``dim, label, c array<double>``."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"])
     means = label_means(anchor_vectors).groupBy("dim", "label").agg(ordered.alias("c"))
-    return means.withColumn("c", unit(F.col("c"))) if renormalise else means
+    return means.withColumn("c", F.expr(unit("c"))) if renormalise else means
 
 
-def label_order(dim: Column, label: Column) -> Column:
+def label_order() -> str:
     """Place of a label in its taxonomy; labels of the user's own come last."""
-    places = [
-        F.when(dim == d, F.nullif(F.array_position(F.array(*map(F.lit, LABELS[d])), label), F.lit(0))) for d in DIMS
-    ]
-    return F.coalesce(reduce(F.coalesce, places), F.lit(1_000)).cast("int")
+    places = " ".join(
+        f"WHEN dim = '{d}' THEN nullif(array_position(array({', '.join(map(literal, LABELS[d]))}), label), 0)"
+        for d in DIMS
+    )
+    return f"cast(coalesce(CASE {places} END, {OWN_LABEL}) AS int)"
 
 
 def centroid_library(centroids: DataFrame) -> Column:
@@ -45,6 +47,6 @@ def centroid_library(centroids: DataFrame) -> Column:
     It is a scalar subquery: computed once per query and handed to every task,
     without a join. Its size is the number of labels times the vector length.
     """
-    entry = F.struct(label_order(F.col("dim"), F.col("label")).alias("ord"), "label", "c")
-    arrays = [F.array_sort(F.collect_list(F.when(F.col("dim") == d, entry))).alias(d) for d in DIMS]
-    return centroids.agg(F.struct(*arrays).alias("library")).scalar()
+    entry = f"named_struct('ord', {label_order()}, 'label', label, 'c', c)"
+    arrays = ", ".join(f"'{d}', array_sort(collect_list(CASE WHEN dim = '{d}' THEN {entry} END))" for d in DIMS)
+    return centroids.agg(F.expr(f"named_struct({arrays})").alias("library")).scalar()

@@ -24,11 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlelabels.anchors import anchor_table
-from titlelabels.functions.text import is_blank, let
 from titlelabels.operators.centroids import centroid_library, label_centroids
-from titlelabels.operators.hybrid import OUTPUT_SCHEMA, blank_result, merged, needs_vector, with_classification
-from titlelabels.operators.rules import rule_struct
-from titlelabels.operators.similarity import similarity
+from titlelabels.operators.hybrid import OUTPUT_SCHEMA, classification, needs_vector, with_classification
+from titlelabels.operators.rules import rule_sql
 from titlelabels.rulepack import RULES, Rule
 from titlelabels.session import checkpointed
 from titlelabels.sources.encoders import Encoder, HashedTokens
@@ -154,20 +152,19 @@ def _cold_by_join(cold: DataFrame, labeller: Labeller) -> DataFrame:
     """
     keep = [c for c in cold.columns if c not in (FOUND, "__cold")]
     settings = labeller.settings
-    title = F.col("__cold")
-    ruled = cold.withColumn("__rules", rule_struct(title, labeller.rules, settings))
-    is_open = needs_vector(title, F.col("__rules"), settings)
+    ruled = cold.withColumn("__rules", F.expr(rule_sql("__cold", labeller.rules, settings)))
+    is_open = F.expr(needs_vector("__cold", "__rules", settings))
 
-    unscored = similarity(F.lit(None).cast("array<double>"), F.col("__library"), settings)
-    by_rules = F.when(is_blank(title), blank_result()).otherwise(
-        let(unscored, lambda e: merged(F.col("__rules"), e, settings))
+    settled = ruled.filter(~is_open).withColumns(
+        {"__library": labeller.library(cold), "__vector": F.lit(None).cast("array<double>")}
     )
-    settled = ruled.filter(~is_open).withColumn("__library", labeller.library(cold))
+    by_rules = F.expr(classification("__cold", "__rules", "__vector", "__library", settings, False))
     settled = settled.select(*keep, F.coalesce(F.col(FOUND), by_rules).alias(FOUND))
+
     unsettled = ruled.filter(is_open).select(*keep, "__cold")
-    titles = unsettled.select(title.alias("__t")).distinct()
+    titles = unsettled.select(F.col("__cold").alias("__t")).distinct()
     scored = labeller.score(titles, "__t", FOUND)
-    joined = unsettled.join(scored, title == F.col("__t"), "left").select(*keep, FOUND)
+    joined = unsettled.join(scored, F.col("__cold") == F.col("__t"), "left").select(*keep, FOUND)
     return settled.unionByName(joined)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlelabels.functions.text import is_blank, let
-from titlelabels.operators.rules import rule_struct
-from titlelabels.operators.similarity import score_map, similarity
+from titlelabels.operators.rules import rule_sql
+from titlelabels.operators.similarity import score_map, similarity_sql
 from titlelabels.rulepack import RULES, Rule
 from titlelabels.sources.encoders import Encoder
 from titlelabels.taxonomy import UNKNOWN, Settings
@@ -31,75 +31,68 @@ OUTPUT_SCHEMA = T.StructType(
 )
 
 
-def passes(rule_confidence: Column, settings: Settings = Settings()) -> Column:
-    """Gate of one dimension: the rules alone decide it."""
-    return rule_confidence >= F.lit(settings.rule_conf_thresh)
+def role_done(rules: str, settings: Settings = Settings()) -> str:
+    """Gate of the role dimension: the rules alone decide it."""
+    return f"({rules}.role_confidence >= {settings.rule_conf_thresh}D)"
 
 
-def role_done(rules: Column, settings: Settings = Settings()) -> Column:
-    return passes(rules["role_confidence"], settings)
+def type_done(rules: str, settings: Settings = Settings()) -> str:
+    return f"({rules}.type_confidence >= {settings.rule_conf_thresh}D)"
 
 
-def type_done(rules: Column, settings: Settings = Settings()) -> Column:
-    return passes(rules["type_confidence"], settings)
-
-
-def needs_vector(title: Column, rules: Column, settings: Settings = Settings()) -> Column:
+def needs_vector(title: str, rules: str, settings: Settings = Settings()) -> str:
     """Whether a title goes to stage 2: it has text and fails a gate."""
-    return ~is_blank(title) & ~(role_done(rules, settings) & type_done(rules, settings))
+    return f"(NOT {is_blank(title)} AND NOT ({role_done(rules, settings)} AND {type_done(rules, settings)}))"
 
 
-def merged_labels(done: Column, by_rules: Column, by_vector: Column) -> Column:
+def merged_labels(done: str, by_rules: str, by_vector: str) -> str:
     """Rule labels past the gate; else stage-2 labels; else the rule labels after all."""
-    return F.when(done | (F.size(by_vector) == 0), by_rules).otherwise(by_vector)
+    return f"CASE WHEN {done} OR size({by_vector}) = 0 THEN {by_rules} ELSE {by_vector} END"
 
 
-def merged_confidence(done: Column, by_rules: Column, by_vector: Column) -> Column:
+def merged_confidence(done: str, by_rules: str, by_vector: str) -> str:
     """Unlike the labels, the confidence never falls back to the rules below the gate."""
-    return F.when(done, by_rules).otherwise(by_vector)
+    return f"CASE WHEN {done} THEN {by_rules} ELSE {by_vector} END"
 
 
-def source_name(role: Column, kind: Column) -> Column:
+def source_name(role: str, kind: str) -> str:
     """Provenance, from the two gates alone."""
-    return F.when(role & kind, "RULES").when(role | kind, "RULES+EMBEDDING").otherwise("EMBEDDING")
+    return f"CASE WHEN {role} AND {kind} THEN 'RULES' WHEN {role} OR {kind} THEN 'RULES+EMBEDDING' ELSE 'EMBEDDING' END"
 
 
-def _result(values: list[Column]) -> Column:
+def _result(values: list[str]) -> str:
     """Result struct; numbers are narrowed to float here and nowhere before."""
-    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, OUTPUT_SCHEMA.fields, strict=True)])
+    fields = zip(values, OUTPUT_SCHEMA.fields, strict=True)
+    return f"named_struct({', '.join(f"'{f.name}', cast({v} AS {f.dataType.simpleString()})" for v, f in fields)})"
 
 
-def blank_result() -> Column:
+def blank_result() -> str:
     """Result of a title without text."""
-    unknown = F.array(F.lit(UNKNOWN))
-    return _result(
-        [unknown, unknown, F.lit(0.0), F.lit(0.0), F.lit("EMPTY"), F.array(), F.create_map(), F.create_map()]
-    )
+    unknown = f"array('{UNKNOWN}')"
+    return _result([unknown, unknown, "0.0D", "0.0D", "'EMPTY'", "array()", "map()", "map()"])
 
 
-def merged(rules: Column, found: Column, settings: Settings = Settings()) -> Column:
-    """Result of a title with text, from :func:`rule_struct` and :func:`similarity`."""
+def merged(rules: str, found: str, settings: Settings = Settings()) -> str:
+    """Result of a title with text, from ``rule_sql`` and ``similarity_sql``."""
     role, kind = role_done(rules, settings), type_done(rules, settings)
     return _result(
         [
-            merged_labels(role, rules["roles"], found["role_labels"]),
-            merged_labels(kind, rules["note_types"], found["type_labels"]),
-            merged_confidence(role, rules["role_confidence"], found["role_confidence"]),
-            merged_confidence(kind, rules["type_confidence"], found["type_confidence"]),
+            merged_labels(role, f"{rules}.roles", f"{found}.role_labels"),
+            merged_labels(kind, f"{rules}.note_types", f"{found}.type_labels"),
+            merged_confidence(role, f"{rules}.role_confidence", f"{found}.role_confidence"),
+            merged_confidence(kind, f"{rules}.type_confidence", f"{found}.type_confidence"),
             source_name(role, kind),
-            rules["rule_hits"],
-            score_map(found["role_scores"], settings),
-            score_map(found["type_scores"], settings),
+            f"{rules}.rule_hits",
+            score_map(f"{found}.role_scores", settings),
+            score_map(f"{found}.type_scores", settings),
         ]
     )
 
 
-def classification(
-    title: Column, rules: Column, vector: Column, library: Column, settings: Settings, sparse: bool
-) -> Column:
+def classification(title: str, rules: str, vector: str, library: str, settings: Settings, sparse: bool) -> str:
     """The result struct of one title; without a vector, stage 2 finds nothing."""
-    found = similarity(vector, library, settings, sparse)
-    return F.when(is_blank(title), blank_result()).otherwise(let(found, lambda e: merged(rules, e, settings)))
+    found = let("found", similarity_sql(vector, library, settings, sparse), merged(rules, "found", settings))
+    return f"CASE WHEN {is_blank(title)} THEN {blank_result()} ELSE {found} END"
 
 
 def with_classification(
@@ -112,23 +105,13 @@ def with_classification(
     out: str = "classification",
 ) -> DataFrame:
     """Add the result struct to every row, computed on the row itself."""
-    title = F.col(title_col)
     work = df.withColumn("__library", library)
-    lib = F.col("__library")
-
-    def with_vector(r: Column, v: Column) -> Column:
-        return classification(title, r, v, lib, settings, encoder.sparse)
-
+    first = rule_sql(title_col, rules, settings)
     if encoder.per_row:
-        whole = let(
-            rule_struct(title, rules, settings),
-            lambda r: let(
-                F.when(needs_vector(title, r, settings), encoder.column(title)), lambda v: with_vector(r, v)
-            ),
-        )
-        return work.withColumn(out, whole).drop("__library")
-    work = work.withColumn("__rules", rule_struct(title, rules, settings))
-    work = encoder.add_vectors(work, title, "__vector", needs_vector(title, F.col("__rules"), settings))
-    return work.withColumn(out, with_vector(F.col("__rules"), F.col("__vector"))).drop(
-        "__library", "__rules", "__vector"
-    )
+        vector = f"CASE WHEN {needs_vector(title_col, 'rul', settings)} THEN {encoder.sql(title_col)} END"
+        result = classification(title_col, "rul", "vec", "__library", settings, encoder.sparse)
+        return work.withColumn(out, F.expr(let("rul", first, let("vec", vector, result)))).drop("__library")
+    work = work.withColumn("__rules", F.expr(first))
+    work = encoder.add_vectors(work, title_col, "__vector", needs_vector(title_col, "__rules", settings))
+    result = classification(title_col, "__rules", "__vector", "__library", settings, encoder.sparse)
+    return work.withColumn(out, F.expr(result)).drop("__library", "__rules", "__vector")

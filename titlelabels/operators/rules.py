@@ -1,20 +1,17 @@
 """Stage 1: weighted phrase rules.
 
-Every rule is one literal search inside a single Column expression: no shuffle,
-no Python, and the same expression works in select, filter and on streams.
+Every rule is one literal search inside a single expression: no shuffle, no
+Python, and the same expression works in select, filter and on streams.
 Intermediate values are bound with ``let``, so the expression grows with the
 number of rules only, also when the optimizer copies it into a filter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlelabels.functions.text import fold_title, let
+from titlelabels.functions.text import fold_title, let, literal, pattern_literal
 from titlelabels.rulepack import RULES, Rule, any_pattern, pack_labels, rule_pattern
 from titlelabels.taxonomy import DIMS, Settings
 
@@ -22,119 +19,108 @@ from titlelabels.taxonomy import DIMS, Settings
 # the run can fire, and only then are its members searched one by one.
 RUN_LENGTH = 8
 
-Hit = Callable[[int], Column]  # whether the n-th rule fired
-
+WEIGHTS = "array<struct<label:string,weight:double>>"
 
-def strings(values: list[Column]) -> Column:
-    """Array of the non-null strings, in order."""
-    return F.array_compact(F.array(*values)) if values else F.array().cast("array<string>")
 
-
-def search(text: Column, rules: tuple[Rule, ...]) -> Column:
+def search(text: str, rules: tuple[Rule, ...]) -> str:
     """Array of booleans, one per rule; ``text`` is a folded title."""
-    runs = [rules[i : i + RUN_LENGTH] for i in range(0, len(rules), RUN_LENGTH)]
-    none = [F.array(*[F.lit(False)] * len(run)) for run in runs]
-    found = [F.array(*[text.rlike(rule_pattern(r)) for r in run]) for run in runs]
-    parts = [F.when(text.rlike(any_pattern(run)), f).otherwise(n) for run, f, n in zip(runs, found, none, strict=True)]
-    return F.flatten(F.array(*parts))
+    parts = []
+    for i in range(0, len(rules), RUN_LENGTH):
+        run = rules[i : i + RUN_LENGTH]
+        members = ", ".join(f"{text} RLIKE {pattern_literal(rule_pattern(r))}" for r in run)
+        none = ", ".join("false" for _ in run)
+        parts.append(
+            f"CASE WHEN {text} RLIKE {pattern_literal(any_pattern(run))} THEN array({members}) ELSE array({none}) END"
+        )
+    return f"flatten(array({', '.join(parts)}))"
 
 
-def fired_rules(hit: Hit, rules: tuple[Rule, ...]) -> Column:
+def fired_rules(hits: str, rules: tuple[Rule, ...]) -> str:
     """``struct<rule_id, tag>`` of the fired rules in rule order."""
     items = [
-        F.when(hit(n), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.tag).alias("tag")))
+        f"CASE WHEN {hits}[{n}] THEN named_struct('rule_id', {r.rule_id}, 'tag', {literal(r.tag)}) END"
         for n, r in enumerate(rules)
     ]
-    return F.array_compact(F.array(*items))
+    return f"array_compact(array({', '.join(items)}))"
 
 
-def label_weight(hit: Hit, rules: tuple[Rule, ...], dim: str, label: str) -> Column:
+def label_weight(hits: str, rules: tuple[Rule, ...], dim: str, label: str) -> str:
     """Weights of one label added left to right in rule order.
 
     The order matters: doubles that add up in another order can fall on the
     other side of the band (see tests). A rule that did not fire adds 0.0,
     which changes nothing.
     """
-    terms = [
-        F.when(hit(n), F.lit(r.weight)).otherwise(F.lit(0.0)) for n, r in enumerate(rules) if label in r.labels(dim)
+    terms = [f"if({hits}[{n}], {r.weight}D, 0.0D)" for n, r in enumerate(rules) if label in r.labels(dim)]
+    return " + ".join(["0.0D", *terms])
+
+
+def weighed_labels(hits: str, rules: tuple[Rule, ...], dim: str) -> str:
+    """``struct<label, weight>`` of the labels that got any weight."""
+    items = [
+        f"named_struct('label', {literal(x)}, 'weight', {label_weight(hits, rules, dim, x)})"
+        for x in pack_labels(rules, dim)
     ]
-    return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+    return f"filter(cast(array({', '.join(items)}) AS {WEIGHTS}), w -> w.weight > 0)"
 
 
-def confidence(weights: Column, settings: Settings) -> Column:
-    """Largest label weight, capped and rounded; 0.0 when no rule fired."""
-    return F.round(F.least(top_weight(weights), F.lit(settings.cap)), settings.digits)
+def top_weight(weights: str) -> str:
+    return f"coalesce(array_max(transform({weights}, w -> w.weight)), 0.0D)"
 
 
-def top_weight(weights: Column) -> Column:
-    return F.coalesce(F.array_max(F.transform(weights, lambda w: w["weight"])), F.lit(0.0))
+def confidence(weights: str, settings: Settings) -> str:
+    """Largest label weight, capped and rounded; 0.0 when no rule fired."""
+    return f"round(least({top_weight(weights)}, {settings.cap}D), {settings.digits})"
 
 
-def banded(weights: Column, settings: Settings) -> Column:
+def banded(weights: str, settings: Settings) -> str:
     """Labels inside the band below the top weight (before the cap), in alphabetical order."""
-    return let(
-        F.lit(settings.band_ratio) * top_weight(weights),
-        lambda floor: F.array_sort(
-            F.transform(F.filter(weights, lambda w: w["weight"] >= floor), lambda w: w["label"])
-        ),
+    kept = f"array_sort(transform(filter({weights}, w -> w.weight >= floor), w -> w.label))"
+    return let("floor", f"{settings.band_ratio}D * {top_weight(weights)}", kept)
+
+
+def rule_sql(title: str, rules: tuple[Rule, ...] = RULES, settings: Settings = Settings()) -> str:
+    """Stage 1 as one SQL expression, see :func:`rule_struct`."""
+    weighed = ", ".join(
+        ["named_struct('fired', " + fired_rules("hits", rules)]
+        + [f"'{dim}', {weighed_labels('hits', rules, dim)}" for dim in DIMS]
     )
+    result = f"""named_struct(
+        'roles', {banded("s.role", settings)},
+        'note_types', {banded("s.type", settings)},
+        'role_confidence', {confidence("s.role", settings)},
+        'type_confidence', {confidence("s.type", settings)},
+        'rule_hits', transform(s.fired, f -> f.tag),
+        'fired', s.fired, 'role_weights', s.role, 'type_weights', s.type)"""
+    scored = let("hits", search("text", rules), let("s", weighed + ")", result))
+    return let("text", f"coalesce({fold_title(title)}, '')", scored)
 
 
-def rule_struct(title: Column, rules: tuple[Rule, ...] = RULES, settings: Settings = Settings()) -> Column:
-    """Stage 1 as one Column.
+def rule_struct(title: str, rules: tuple[Rule, ...] = RULES, settings: Settings = Settings()) -> Column:
+    """Stage 1 as one Column; ``title`` is a column name or any SQL expression.
 
     ``struct<roles, note_types, role_confidence, type_confidence, rule_hits>``
     plus ``fired`` (rule ids and tags) and ``role_weights``, ``type_weights``
     (``label, weight`` of the labels that got any). A null title fires nothing.
     """
-
-    def weigh(hits: Column) -> Column:
-        hit = lambda n: F.get(hits, F.lit(n))
-        fields = [fired_rules(hit, rules).alias("fired")]
-        for dim in DIMS:
-            all_labels = [
-                F.struct(F.lit(x).alias("label"), label_weight(hit, rules, dim, x).alias("weight"))
-                for x in pack_labels(rules, dim)
-            ]
-            array = F.array(*all_labels) if all_labels else F.array()
-            array = array.cast("array<struct<label:string,weight:double>>")
-            fields.append(F.filter(array, lambda w: w["weight"] > 0).alias(dim))
-        return F.struct(*fields)
-
-    def conclude(s: Column) -> Column:
-        role, kind = (s[d] for d in DIMS)
-        return F.struct(
-            banded(role, settings).alias("roles"),
-            banded(kind, settings).alias("note_types"),
-            confidence(role, settings).alias("role_confidence"),
-            confidence(kind, settings).alias("type_confidence"),
-            F.transform(s["fired"], lambda f: f["tag"]).alias("rule_hits"),
-            s["fired"].alias("fired"),
-            role.alias("role_weights"),
-            kind.alias("type_weights"),
-        )
-
-    text = F.coalesce(fold_title(title), F.lit(""))
-    return let(text, lambda t: let(search(t, rules), lambda h: let(weigh(h), conclude)))
+    return F.expr(rule_sql(title, rules, settings))
 
 
 def with_rules(
     df: DataFrame, title_col: str, rules: tuple[Rule, ...] = RULES, settings: Settings = Settings()
 ) -> DataFrame:
     """Add the struct of :func:`rule_struct` as column ``rules``."""
-    return df.withColumn("rules", rule_struct(F.col(title_col), rules, settings))
+    return df.withColumn("rules", rule_struct(title_col, rules, settings))
 
 
 def rule_hits(df: DataFrame, title_col: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per (row of ``df``, fired rule): the input columns, ``rule_id`` and ``tag``."""
     keep = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(*keep, rule_struct(F.col(title_col), rules)["fired"].alias("_fired")).select(
-        *keep, F.inline("_fired")
-    )
+    return df.select(*keep, rule_struct(title_col, rules)["fired"].alias("_fired")).select(*keep, F.inline("_fired"))
 
 
 def label_weights(df: DataFrame, title_col: str, dim: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per (row of ``df``, label with weight): the input columns, ``label`` and ``weight``."""
     keep = [F.col(f"`{c}`") for c in df.columns]
-    weights = rule_struct(F.col(title_col), rules)[f"{dim}_weights"]
+    weights = rule_struct(title_col, rules)[f"{dim}_weights"]
     return df.select(*keep, weights.alias("_weights")).select(*keep, F.inline("_weights"))

@@ -1,7 +1,7 @@
 """Stage 2: cosine of a title's vector with every label's centroid, and the best labels.
 
 All of it happens inside the row (arrays of at most one entry per label), so no
-step shuffles.
+step shuffles. Arguments are SQL expressions (see functions.text).
 """
 
 from __future__ import annotations
@@ -13,83 +13,60 @@ from titlelabels.functions.text import let
 from titlelabels.functions.vectors import dot, sparse_dot
 from titlelabels.taxonomy import DIMS, Settings
 
-SCORE = "struct<ord:int,label:string,score:double>"
+SCORES = "array<struct<ord:int,label:string,score:double>>"
 
 
-def cosines(vector: Column, centroids: Column, sparse: bool = False) -> Column:
+def cosines(vector: str, centroids: str, sparse: bool = False) -> str:
     """Array of ``struct<ord, label, score>``, one entry per centroid, in taxonomy order."""
-    product = sparse_dot if sparse else dot
-    return F.transform(
-        centroids,
-        lambda c: F.struct(
-            c["ord"].alias("ord"), c["label"].alias("label"), product(vector, c["c"]).alias("score")
-        ),
-    )
+    product = sparse_dot(vector, "cen.c") if sparse else dot(vector, "cen.c")
+    return f"transform({centroids}, cen -> named_struct('ord', cen.ord, 'label', cen.label, 'score', {product}))"
 
 
-def top_k(scores: Column, k: int) -> Column:
+def top_k(scores: str, k: int) -> str:
     """The k best scores, best first; equal scores keep taxonomy order."""
-    ranked = F.transform(
-        scores,
-        lambda s: F.struct(
-            (-s["score"]).alias("neg"), s["ord"].alias("ord"), s["label"].alias("label"), s["score"].alias("score")
-        ),
-    )
-    return F.slice(F.array_sort(ranked), 1, k)
+    ranked = f"transform({scores}, r -> named_struct('neg', -r.score, 'ord', r.ord, 'label', r.label, 'score', r.score))"
+    return f"slice(array_sort({ranked}), 1, {k})"
 
 
-def above(ranked: Column, threshold: float) -> Column:
+def above(ranked: str, threshold: float) -> str:
     """Those at or above the threshold; compared before any rounding."""
-    return F.filter(ranked, lambda s: s["score"] >= F.lit(threshold))
+    return f"filter({ranked}, r -> r.score >= {threshold}D)"
 
 
-def best_score(kept: Column, settings: Settings) -> Column:
-    return F.coalesce(F.round(F.get(kept, F.lit(0))["score"], settings.digits), F.lit(0.0))
+def best_score(kept: str, settings: Settings) -> str:
+    return f"coalesce(round(get({kept}, 0).score, {settings.digits}), 0.0D)"
 
 
-def score_map(scores: Column, settings: Settings) -> Column:
+def score_map(scores: str, settings: Settings) -> str:
     """Label to rounded score, labels below the threshold included."""
-    return F.map_from_entries(
-        F.transform(scores, lambda s: F.struct(s["label"], F.round(s["score"], settings.digits)))
-    )
+    return f"map_from_entries(transform({scores}, r -> struct(r.label, round(r.score, {settings.digits}))))"
 
 
-def similarity(vector: Column, library: Column, settings: Settings = Settings(), sparse: bool = False) -> Column:
-    """Stage 2 as one Column.
+def similarity_sql(vector: str, library: str, settings: Settings = Settings(), sparse: bool = False) -> str:
+    """Stage 2 as one SQL expression.
 
-    Per dimension a struct holds ``<dim>_scores`` (all, in taxonomy order),
+    Per dimension the struct holds ``<dim>_scores`` (all, in taxonomy order),
     ``<dim>_kept`` (the survivors, best first), ``<dim>_labels`` and
     ``<dim>_confidence``. Without a vector the arrays are empty.
     """
-    none = F.array().cast(f"array<{SCORE}>")
-    scored = F.struct(
-        *[F.when(vector.isNotNull(), cosines(vector, library[d], sparse)).otherwise(none).alias(d) for d in DIMS]
+    scored = ", ".join(
+        f"'{d}', CASE WHEN {vector} IS NULL THEN cast(array() AS {SCORES}) "
+        f"ELSE {cosines(vector, f'{library}.{d}', sparse)} END"
+        for d in DIMS
     )
-
-    def keep(s: Column) -> Column:
-        kept = [above(top_k(s[d], settings.top_k(d)), settings.emb_conf_thresh).alias(f"{d}_kept") for d in DIMS]
-        return F.struct(*[s[d].alias(f"{d}_scores") for d in DIMS], *kept)
-
-    def conclude(s: Column) -> Column:
-        fields = []
-        for d in DIMS:
-            kept = s[f"{d}_kept"]
-            fields += [
-                s[f"{d}_scores"].alias(f"{d}_scores"),
-                kept.alias(f"{d}_kept"),
-                F.transform(kept, lambda e: e["label"]).alias(f"{d}_labels"),
-                best_score(kept, settings).alias(f"{d}_confidence"),
-            ]
-        return F.struct(*fields)
-
-    return let(scored, lambda s: let(keep(s), conclude))
+    kept = ", ".join(f"'{d}', {above(top_k(f'sc.{d}', settings.top_k(d)), settings.emb_conf_thresh)}" for d in DIMS)
+    fields = ", ".join(
+        f"'{d}_scores', sc.{d}, '{d}_kept', kp.{d}, '{d}_labels', transform(kp.{d}, r -> r.label), "
+        f"'{d}_confidence', {best_score(f'kp.{d}', settings)}"
+        for d in DIMS
+    )
+    return let("sc", f"named_struct({scored})", let("kp", f"named_struct({kept})", f"named_struct({fields})"))
 
 
 def with_similarity(
     df: DataFrame, vector_col: str, library: Column, settings: Settings = Settings(), sparse: bool = False
 ) -> DataFrame:
-    """Add the struct of :func:`similarity` as column ``similarity``."""
+    """Add the struct of :func:`similarity_sql` as column ``similarity``."""
     out = df.withColumn("__library", library)
-    return out.withColumn(
-        "similarity", similarity(F.col(vector_col), F.col("__library"), settings, sparse)
-    ).drop("__library")
+    found = F.expr(similarity_sql(vector_col, "__library", settings, sparse))
+    return out.withColumn("similarity", found).drop("__library")

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlelabels.functions.text import let
@@ -33,21 +33,21 @@ class Encoder(ABC):
         """The encoder for a frame whose columns were renamed."""
         return self
 
-    def column(self, title: Column) -> Column:
-        """The vector as an expression of the row, for encoders that are cheap per row."""
+    def sql(self, title: str) -> str:
+        """The vector as an SQL expression of the row, for encoders that are cheap per row."""
         raise NotImplementedError
 
-    def add_vectors(self, df: DataFrame, title: Column, out: str, wanted: Column | None = None) -> DataFrame:
+    def add_vectors(self, df: DataFrame, title: str, out: str, wanted: str | None = None) -> DataFrame:
         """Add the vector of ``title`` as column ``out``; null where ``wanted`` is false."""
-        return df.withColumn(out, _where(wanted, self.column(title)))
+        return df.withColumn(out, F.expr(_where(wanted, self.sql(title))))
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
         """Dense vectors of an anchor table: ``dim, label, v``."""
-        return self.add_vectors(anchors, F.col("phrase"), "v").select("dim", "label", "v")
+        return self.add_vectors(anchors, "phrase", "v").select("dim", "label", "v")
 
 
-def _where(wanted: Column | None, value: Column) -> Column:
-    return value if wanted is None else F.when(wanted, value)
+def _where(wanted: str | None, value: str) -> str:
+    return value if wanted is None else f"CASE WHEN {wanted} THEN {value} END"
 
 
 @dataclass(frozen=True)
@@ -58,45 +58,25 @@ class HashedTokens(Encoder):
     sparse = True
     per_row = True
 
-    def bucket_list(self, title: Column) -> Column:
+    def bucket_list(self, title: str) -> str:
         """Ascending bucket numbers of all tokens, repeats included."""
-        tokens = F.filter(F.split(F.upper(title), "[^A-Z0-9]+"), lambda t: t != "")
-        number = lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("bigint")
-        return F.array_sort(F.transform(tokens, lambda t: F.pmod(number(t), F.lit(self.buckets)).cast("int")))
-
-    def entries(self, title: Column) -> Column:
-        """Sparse unit vector of a title."""
-
-        def counts(all_buckets: Column) -> Column:
-            return F.transform(
-                F.array_distinct(all_buckets),
-                lambda b: F.struct(
-                    b.alias("i"), F.size(F.filter(all_buckets, lambda x: x == b)).cast("double").alias("n")
-                ),
-            )
-
-        def scaled(c: Column) -> Column:
-            return let(
-                F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, e: a + e["n"] * e["n"])),
-                lambda length: F.transform(c, lambda e: F.struct(e["i"].alias("i"), (e["n"] / length).alias("x"))),
-            )
-
-        return let(self.bucket_list(title), lambda b: let(counts(b), scaled))
-
-    def dense(self, title: Column) -> Column:
-        return let(
-            F.map_from_entries(self.entries(title)),
-            lambda m: F.transform(
-                F.sequence(F.lit(0), F.lit(self.buckets - 1)),
-                lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0)),
-            ),
-        )
+        tokens = f"filter(split(upper({title}), '[^A-Z0-9]+'), tok -> tok != '')"
+        number = "cast(conv(substr(md5(cast(tok AS binary)), 1, 8), 16, 10) AS bigint)"
+        return f"array_sort(transform({tokens}, tok -> cast(pmod({number}, {self.buckets}) AS int)))"
+
+    def sql(self, title: str) -> str:
+        """Sparse unit vector."""
+        counts = "transform(array_distinct(bs), b -> named_struct('i', b, 'n', cast(size(filter(bs, o -> o = b)) AS double)))"
+        length = "sqrt(aggregate(cs, 0.0D, (acc, e) -> acc + e.n * e.n))"
+        scaled = let("ln", length, "transform(cs, e -> named_struct('i', e.i, 'x', e.n / ln))")
+        return let("bs", self.bucket_list(title), let("cs", counts, scaled))
 
-    def column(self, title: Column) -> Column:
-        return self.entries(title)
+    def dense_sql(self, title: str) -> str:
+        spread = f"transform(sequence(0, {self.buckets - 1}), i -> coalesce(try_element_at(m, i), 0.0D))"
+        return let("m", f"map_from_entries({self.sql(title)})", spread)
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
-        return anchors.select("dim", "label", self.dense(F.col("phrase")).alias("v"))
+        return anchors.select("dim", "label", F.expr(self.dense_sql("phrase")).alias("v"))
 
 
 class VectorTable(Encoder):
@@ -113,8 +93,8 @@ class VectorTable(Encoder):
         )
         self.anchors = anchors
 
-    def add_vectors(self, df: DataFrame, title: Column, out: str, wanted: Column | None = None) -> DataFrame:
-        keyed = df.withColumn("__vt_key", _where(wanted, title))
+    def add_vectors(self, df: DataFrame, title: str, out: str, wanted: str | None = None) -> DataFrame:
+        keyed = df.withColumn("__vt_key", F.expr(_where(wanted, title)))
         joined = keyed.join(self.vectors, F.col("__vt_key") == F.col("__vt_title"), "left")
         return joined.withColumn(out, F.col("__vt_v")).drop("__vt_key", "__vt_title", "__vt_v")
 
@@ -134,8 +114,8 @@ class VectorColumn(Encoder):
     def renamed(self, names: dict[str, str]) -> Encoder:
         return VectorColumn(names[self.vector_col], self.anchors)
 
-    def column(self, title: Column) -> Column:
-        return F.col(self.vector_col).cast("array<double>")
+    def sql(self, title: str) -> str:
+        return f"cast({self.vector_col} AS array<double>)"
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
         return self.anchors.select("dim", "label", F.col("v").cast("array<double>").alias("v"))
@@ -162,7 +142,7 @@ class ModelVectors(Encoder):
     load: Callable
     path: str
 
-    def add_vectors(self, df: DataFrame, title: Column, out: str, wanted: Column | None = None) -> DataFrame:
+    def add_vectors(self, df: DataFrame, title: str, out: str, wanted: str | None = None) -> DataFrame:
         load, path = self.load, self.path
 
         @F.pandas_udf("array<double>")
@@ -177,9 +157,9 @@ class ModelVectors(Encoder):
                     vectors.loc[part.index] = pd.Series(list(m), index=part.index, dtype="object")
                 yield vectors
 
-        return df.withColumn(out, encode(_where(wanted, title)))
+        return df.withColumn(out, encode(F.expr(_where(wanted, title))))
 
 
 def normalised(vectors: DataFrame, vector_col: str = "v") -> DataFrame:
     """Vectors cast to double and scaled to length 1."""
-    return vectors.withColumn(vector_col, unit(F.col(vector_col).cast("array<double>")))
+    return vectors.withColumn(vector_col, F.expr(let("vec", f"cast({vector_col} AS array<double>)", unit("vec"))))

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from titlelabels.operators.classify import Labeller, classify_notes
@@ -20,7 +19,7 @@ from titlelabels.rulepack import RULES, Rule
 
 def with_rule_struct(stream: DataFrame, title_col: str = "note_title", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add the rule-stage struct ``rules`` to a streaming (or batch) frame."""
-    return stream.withColumn("rules", rule_struct(F.col(title_col), rules))
+    return stream.withColumn("rules", rule_struct(title_col, rules))
 
 
 def label_batches(
