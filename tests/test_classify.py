@@ -112,7 +112,7 @@ def test_columns_schema_and_names_of_the_caller(spark):
         [("SOAP", "old", 1, "x", 2)], "`the title` string, rule_hits string, rules int, text string, __library int"
     )
     out = classify_notes(df, "the title")
-    assert out.schema["classification"].dataType == OUTPUT_SCHEMA
+    assert out.schema["classification"].dataType.simpleString() == OUTPUT_SCHEMA.simpleString()
     assert out.columns == [
         "the title", "rule_hits", "rules", "text", "__library",
         "classification", "note_roles", "note_types", "role_conf", "type_conf", "clf_source",
