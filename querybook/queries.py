@@ -12,7 +12,7 @@ from titlelabels.anchors import anchor_json, anchor_table
 from titlelabels.functions.text import is_blank, upper_title
 from titlelabels.functions.vectors import norm
 from titlelabels.operators.centroids import centroid_library, label_centroids
-from titlelabels.operators.classify import Labeller, classify_notes, score_titles, title_counts
+from titlelabels.operators.classify import Labeller, classify_notes, distinct_titles, score_titles
 from titlelabels.operators.hybrid import (
     merged_confidence,
     merged_labels,
@@ -64,7 +64,7 @@ def rounded(value: str | Column) -> Column:
 
 def composed_titles(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct composed titles and their number of notes: ``title, n``."""
-    return title_counts(fx.composed_notes(spark, folder), "note_title")
+    return distinct_titles(fx.composed_notes(spark, folder), "note_title")
 
 
 # --- reading and filtering -------------------------------------------------------------
@@ -194,7 +194,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("apply_rules")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    titles = title_counts(fx.notes(spark, folder), "note_title")
+    titles = distinct_titles(fx.notes(spark, folder), "note_title")
     s = titles.select("title", "n", rule_struct("title").alias("s"))
     return s.select(
         "title",
@@ -217,14 +217,16 @@ def vector_library(spark: SparkSession, folder: str) -> Column:
 def exploded(df: DataFrame, key: str, value: Callable[[str], Column]) -> DataFrame:
     """One row per entry of the arrays that ``value(dim)`` gives for both dimensions."""
     per_dim = F.array(*[F.struct(F.lit(d).alias("dim"), value(d).alias("entries")) for d in DIMS])
-    return df.select(key, F.inline(per_dim)).select(key, "dim", F.posexplode("entries").alias("pos", "e"))
+    return df.select(key, F.inline(per_dim)).select(
+        key, "dim", F.posexplode_outer("entries").alias("pos", "e")
+    ).filter(F.col("pos").isNotNull())
 
 
 @query("l2_normalize")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     unit = normalised(fx.read(spark, folder, "embeddings"), "embedding")
     length = rounded(F.expr(norm("embedding"))).alias("length")
-    return unit.select("vec_id", length, F.posexplode("embedding").alias("pos", "x")).select(
+    return unit.select("vec_id", length, F.posexplode_outer("embedding").alias("pos", "x")).select(
         "vec_id", "length", "pos", rounded("x").alias("x")
     )
 
@@ -247,7 +249,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("encode_titles")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     encoded = HashedTokens().add_vectors(composed_titles(spark, folder), "title", "v")
-    return encoded.select("title", F.inline("v")).select("title", F.col("i").alias("bucket"), rounded("x").alias("x"))
+    entries = encoded.select("title", F.inline_outer("v")).filter(F.col("i").isNotNull())
+    return entries.select("title", F.col("i").alias("bucket"), rounded("x").alias("x"))
 
 
 def _similar(spark: SparkSession, folder: str) -> DataFrame:
@@ -324,7 +327,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("needs_embedding")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    ruled = with_rules(title_counts(fx.notes(spark, folder), "note_title"), "title")
+    ruled = with_rules(distinct_titles(fx.notes(spark, folder), "note_title"), "title")
     r = "rules"
     return ruled.filter(needs_vector("title", r)).select(
         "title", F.expr(role_done(r)).alias("role_done"), F.expr(type_done(r)).alias("type_done"), "n"
@@ -508,7 +511,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("smoke_report")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    titles = title_counts(fx.notes(spark, folder), "note_title").select("title")
+    titles = distinct_titles(fx.notes(spark, folder), "note_title").select("title")
     return reports.report_lines(score_titles(titles)).select("title", "line")
 
 

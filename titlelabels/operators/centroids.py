@@ -19,7 +19,8 @@ def label_means(anchor_vectors: DataFrame) -> DataFrame:
     anchors moves one number per position and task.
     """
     return (
-        anchor_vectors.select("dim", "label", F.posexplode("v").alias("pos", "x"))
+        anchor_vectors.select("dim", "label", F.posexplode_outer("v").alias("pos", "x"))
+        .filter(F.col("pos").isNotNull())
         .groupBy("dim", "label", "pos")
         .agg(F.avg("x").alias("x"))
     )

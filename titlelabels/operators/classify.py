@@ -96,6 +96,15 @@ def title_counts(df: DataFrame, title_col: str) -> DataFrame:
     return df.groupBy(F.col(title_col).alias("title")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_titles(df: DataFrame, title_col: str) -> DataFrame:
+    """:func:`title_counts`, kept on disk.
+
+    What is read back cannot be computed again: filters on results per title
+    stay on the titles and are not moved down to the single rows.
+    """
+    return checkpointed(title_counts(df, title_col))
+
+
 def title_stats(counts: DataFrame) -> TitleStats:
     """Size of the titles counted by :func:`title_counts`."""
     row = counts.agg(
@@ -124,9 +133,7 @@ def _classified(df: DataFrame, title_col: str, labeller: Labeller) -> DataFrame:
 def _found(rows: DataFrame, labeller: Labeller) -> DataFrame:
     if rows.isStreaming or not labeller.encoder.by_title:
         return labeller.score(rows, KEY, FOUND)
-    # Kept on disk: the counts are read twice, and results that are only read
-    # back cannot be computed again by every filter that looks at them.
-    counts = checkpointed(title_counts(rows, KEY))
+    counts = distinct_titles(rows, KEY)
     stats = title_stats(counts)
     if stats.fits(labeller.limits):
         return _answer(rows, checkpointed(labeller.score(counts.select("title"), "title", FOUND)))

@@ -113,14 +113,23 @@ def with_rules(
     return df.withColumn("rules", rule_struct(title_col, rules, settings))
 
 
+def _taken_apart(df: DataFrame, structs: Column, field: str) -> DataFrame:
+    """One row per struct of an array; rows with an empty array are dropped.
+
+    The outer form is used on purpose: for the plain one the optimizer infers a
+    filter on the array, which repeats the whole rule stage, below any
+    aggregation even for every single row.
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    out = df.select(*keep, structs.alias("_structs")).select(*keep, F.inline_outer("_structs"))
+    return out.filter(F.col(field).isNotNull())
+
+
 def rule_hits(df: DataFrame, title_col: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per (row of ``df``, fired rule): the input columns, ``rule_id`` and ``tag``."""
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(*keep, rule_struct(title_col, rules)["fired"].alias("_fired")).select(*keep, F.inline("_fired"))
+    return _taken_apart(df, rule_struct(title_col, rules)["fired"], "rule_id")
 
 
 def label_weights(df: DataFrame, title_col: str, dim: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per (row of ``df``, label with weight): the input columns, ``label`` and ``weight``."""
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    weights = rule_struct(title_col, rules)[f"{dim}_weights"]
-    return df.select(*keep, weights.alias("_weights")).select(*keep, F.inline("_weights"))
+    return _taken_apart(df, rule_struct(title_col, rules)[f"{dim}_weights"], "weight")

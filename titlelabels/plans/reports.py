@@ -30,7 +30,8 @@ def rule_audit(labelled: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     """``rule_id, tag, n_notes`` for every rule, rules that never fired included."""
     # Equal hit lists are counted first, so few rows are taken apart.
     lists = labelled.groupBy("rule_hits").agg(F.count(F.lit(1)).alias("n"))
-    fired = lists.select(F.explode("rule_hits").alias("tag"), "n").groupBy("tag").agg(F.sum("n").alias("n_fired"))
+    # The outer forms below keep the optimizer from filtering the labelled rows by a recomputed array.
+    fired = lists.select(F.explode_outer("rule_hits").alias("tag"), "n").groupBy("tag").agg(F.sum("n").alias("n_fired"))
     return (
         rule_table(labelled.sparkSession, rules)
         .select("rule_id", "tag")
@@ -42,8 +43,10 @@ def rule_audit(labelled: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 def role_type_matrix(labelled: DataFrame) -> DataFrame:
     """``role, note_type, n_notes``; a note counts once for each of its pairs."""
     lists = labelled.groupBy("note_roles", "note_types").agg(F.count(F.lit(1)).alias("n"))
-    pairs = lists.select(F.explode("note_roles").alias("role"), "note_types", "n").select(
-        "role", F.explode("note_types").alias("note_type"), "n"
+    pairs = (
+        lists.select(F.explode_outer("note_roles").alias("role"), "note_types", "n")
+        .select("role", F.explode_outer("note_types").alias("note_type"), "n")
+        .filter(F.col("role").isNotNull() & F.col("note_type").isNotNull())
     )
     return pairs.groupBy("role", "note_type").agg(F.sum("n").alias("n_notes"))
 
@@ -67,7 +70,7 @@ def label_use(labelled: DataFrame) -> DataFrame:
     )
     used = (
         lists.select("n", F.inline(both))
-        .select("n", "dim", F.explode("labels").alias("label"))
+        .select("n", "dim", F.explode_outer("labels").alias("label"))
         .groupBy("dim", "label")
         .agg(F.sum("n").alias("used"))
     )
