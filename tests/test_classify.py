@@ -18,19 +18,21 @@ from titlelabels import (
 )
 from titlelabels.anchors import anchor_rows, anchor_table
 from titlelabels.operators.centroids import label_centroids
+from titlelabels.operators.classify import TitleStats
 from titlelabels.sources.encoders import loaded_model
 from titlelabels.taxonomy import DIMS, LABELS
 
-EXTRA = ["SPEECH AND SWALLOW CARE", "nursing Note", "ORDER", "hospital note", "A" * 2000 + " NOTE"]
+EXTRA = ["SPEECH AND SWALLOW CARE", "nursing Note", "ORDER", "hospital note", "A" * 2000 + " NOTE", "A" * 2000 + " MD"]
+LONG = EXTRA[-2]
 TITLES = [*fx.TITLES, *EXTRA]
-SMALL = Limits(titles=3, bytes=20_000, hot_title_bytes=100)
+SMALL = Limits(titles=3, bytes=20_000)
 
 
 @pytest.fixture(scope="module")
 def notes(spark):
     """Some titles are rare, some hold a large part of the rows."""
     rows = [(i, TITLES[i % len(TITLES)]) for i in range(280)]
-    rows += [(1000 + i, "TELEHEALTH VISIT") for i in range(150)] + [(2000 + i, None) for i in range(100)]
+    rows += [(1000 + i, "TELEHEALTH VISIT") for i in range(150)] + [(2000 + i, (None, LONG)[i % 2]) for i in range(300)]
     return spark.createDataFrame(rows, "id bigint, note_title string").repartition(5)
 
 
@@ -140,6 +142,12 @@ def test_result_does_not_depend_on_partitioning(spark, notes):
     assert one == many
 
 
+def test_hot_titles_are_bounded_in_number():
+    for rows, limit in ((1_000, 3), (10**12, 50_000), (7, 50_000)):
+        cut = TitleStats(rows, rows, 0).hot_cut(Limits(titles=limit))
+        assert rows // cut <= limit
+
+
 def test_empty_table(spark):
     assert classify_notes(spark.createDataFrame([], "note_title string")).count() == 0
 

@@ -37,6 +37,8 @@ FOUND = "__title_found"
 
 # Upper bound for one result: every label, every tag and both score maps.
 RESULT_BYTES = 4_096
+# Longer titles are looked up by their hash, so that a key has a bound too.
+KEY_BYTES = 1_024
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,6 @@ class Limits:
 
     titles: int = 50_000
     bytes: int = 256 * 1024 * 1024
-    hot_title_bytes: int = 1_024
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,7 @@ class TitleStats:
 
     def hot_cut(self, limits: Limits) -> int:
         """Rows a title must have to count as hot; at most ``hot_limit`` titles reach it."""
-        hot_limit = max(1, min(limits.titles, limits.bytes // (RESULT_BYTES + limits.hot_title_bytes)))
+        hot_limit = max(1, min(limits.titles, limits.bytes // (RESULT_BYTES + KEY_BYTES + 1)))
         return max(2, ceil(self.rows / hot_limit))
 
 
@@ -91,6 +92,14 @@ class Labeller:
         )
 
 
+def lookup_key(title: str) -> Column:
+    """The title, or its hash if it is long; the first letter tells which."""
+    return F.expr(
+        f"CASE WHEN octet_length({title}) <= {KEY_BYTES} THEN concat('t', {title}) "
+        f"ELSE concat('h', sha2({title}, 256)) END"
+    )
+
+
 def title_counts(df: DataFrame, title_col: str) -> DataFrame:
     """Rows per distinct title, counted before the shuffle (``title, n``)."""
     return df.groupBy(F.col(title_col).alias("title")).agg(F.count(F.lit(1)).alias("n"))
@@ -110,15 +119,16 @@ def title_stats(counts: DataFrame) -> TitleStats:
     row = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("titles"),
-        F.coalesce(F.sum(F.octet_length("title")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.octet_length(lookup_key("title"))), F.lit(0)).alias("bytes"),
     ).first()
     return TitleStats(row["rows"], row["titles"], row["bytes"])
 
 
-def _answer(rows: DataFrame, scored: DataFrame) -> DataFrame:
-    """Left join of scored titles, whose size was checked, back to the rows."""
-    lookup = F.broadcast(scored.select(F.col("title").alias("__t"), F.col(FOUND)))
-    return rows.join(lookup, F.col(KEY).eqNullSafe(F.col("__t")), "left").drop("__t")
+def _answer(rows: DataFrame, titles: DataFrame, labeller: Labeller) -> DataFrame:
+    """Score titles, whose number and size were checked, and join the results to their rows."""
+    scored = labeller.score(titles.select("title"), "title", FOUND)
+    lookup = checkpointed(scored.select(lookup_key("title").alias("__t"), FOUND))
+    return rows.join(F.broadcast(lookup), lookup_key(KEY).eqNullSafe(F.col("__t")), "left").drop("__t")
 
 
 def _classified(df: DataFrame, title_col: str, labeller: Labeller) -> DataFrame:
@@ -136,13 +146,9 @@ def _found(rows: DataFrame, labeller: Labeller) -> DataFrame:
     counts = distinct_titles(rows, KEY)
     stats = title_stats(counts)
     if stats.fits(labeller.limits):
-        return _answer(rows, checkpointed(labeller.score(counts.select("title"), "title", FOUND)))
+        return _answer(rows, counts, labeller)
 
-    hot = counts.filter(
-        (F.col("n") >= stats.hot_cut(labeller.limits))
-        & (F.octet_length("title") <= labeller.limits.hot_title_bytes)
-    )
-    answered = _answer(rows, checkpointed(labeller.score(hot.select("title"), "title", FOUND)))
+    answered = _answer(rows, counts.filter(F.col("n") >= stats.hot_cut(labeller.limits)), labeller)
     # A row that has its answer is given no text, which makes its own scoring next to free.
     cold = answered.withColumn("__cold", F.when(F.col(FOUND).isNull(), F.col(KEY)))
     if labeller.encoder.per_row:
@@ -154,8 +160,8 @@ def _found(rows: DataFrame, labeller: Labeller) -> DataFrame:
 def _cold_by_join(cold: DataFrame, labeller: Labeller) -> DataFrame:
     """Rows not answered yet, for an encoder that works on distinct titles.
 
-    Only rows that fail a gate are shuffled; each of their titles has fewer rows
-    than the hot cut or is one of the few over-long ones.
+    Only rows that fail a gate are shuffled, and each of their titles has fewer
+    rows than the hot cut.
     """
     keep = [c for c in cold.columns if c not in (FOUND, "__cold")]
     settings = labeller.settings
