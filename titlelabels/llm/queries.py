@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import byte_pairs
+from titlelabels.llm import byte_pairs, order_minhash, private_data
 from titlelabels.llm.common import table
 
 
@@ -17,12 +17,24 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return order_minhash.compare_edited(table(spark, folder, "documents"))
+
+
+def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts, a hash of the base spans, all spans."""
+    return private_data.digest(table(spark, folder, "documents"))
+
+
 def op8_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts of every document."""
     return byte_pairs.round_trip(table(spark, folder, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_order_minhash": op2_order_minhash,
+    "op7_private_data": op7_private_data,
     "op8_byte_pairs": op8_byte_pairs,
 }
 
