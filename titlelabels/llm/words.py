@@ -11,8 +11,9 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _HALF = np.uint64(32)
 
-_INSIDE = np.ones(256, np.int8)
-_INSIDE[[32, *range(9, 14)]] = 0
+_BLANKS = b" \t\n\x0b\x0c\r"
+#: Odd factors for the places of a shingle.
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _powers = np.ones((2, 1), np.uint64)
 
@@ -36,12 +37,23 @@ def _tables(n: int) -> np.ndarray:
 
 def _chunk(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters = np.frombuffer(data, np.uint8)
-    edges = np.diff(_INSIDE[letters], prepend=np.int8(0), append=np.int8(0))
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    if not len(letters):
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none
+    blank = ((letters - np.uint8(9)) < 5) | (letters == 32)
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, ends = (edges[1::2], edges[::2]) if not blank[0] else (edges[::2], edges[1::2])
+    if not blank[0]:
+        starts = np.concatenate([[0], starts])
+    if len(ends) < len(starts):
+        ends = np.append(ends, len(letters))
     powers, inverse = _tables(len(letters) + 1)
     sums = np.zeros(len(letters) + 1, np.uint64)
-    np.cumsum((letters + np.uint64(1)) * powers[: len(letters)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts]), starts, ends
+    np.multiply(letters, powers[: len(letters)], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    hashes = (sums[ends] - sums[starts]) * inverse[starts]
+    hashes += (ends - starts).astype(np.uint64) * _ODD
+    return mix(hashes), starts, ends
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,7 +63,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found, at = [], 0
     while at < len(data):
         end = min(at + CHUNK, len(data))
-        while end < len(data) and _INSIDE[data[end]]:
+        while end < len(data) and data[end] not in _BLANKS:
             end += 1  # a cut falls on white space only
         part = _chunk(data[at:end])
         found.append((part[0], part[1] + at, part[2] + at))
@@ -65,7 +77,8 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     if n == 0:
         return words
     count = max(n - size + 1, 1)
-    out = np.full(count, np.uint64(min(n, size)), np.uint64)
-    for k in range(min(n, size)):
-        out = mix(out * _BASE + words[k : k + count])
-    return out
+    used = min(n, size)
+    out = words[:count] * _FACTORS[used]
+    for k in range(1, used):
+        out += words[k : k + count] * _FACTORS[k - 1]
+    return mix(out)
