@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import byte_pairs, order_minhash, private_data
+from titlelabels.llm import additive_model, byte_pairs, decision_list, order_minhash, private_data
 from titlelabels.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.compare_edited(table(spark, folder, "documents"))
 
 
+def op5_additive_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of every document, learnt outside the held-out fold."""
+    return additive_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document: counts, a hash of the base spans, all spans."""
     return private_data.digest(table(spark, folder, "documents"))
@@ -32,10 +37,18 @@ def op8_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.round_trip(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and the learnt decision list over every document."""
+    docs = table(spark, folder, "documents")
+    return decision_list.apply(docs, decision_list.fit(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
+    "op5_additive_model": op5_additive_model,
     "op7_private_data": op7_private_data,
     "op8_byte_pairs": op8_byte_pairs,
+    "op10_decision_list": op10_decision_list,
 }
 
 ORACLE: dict[str, str] = {}
