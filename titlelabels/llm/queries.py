@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import additive_model, byte_pairs, decision_list, order_minhash, private_data
+from titlelabels.llm import additive_model, byte_pairs, decision_list, order_minhash, private_data, toxicity
 from titlelabels.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op5_additive_model(spark: SparkSession, folder: str) -> DataFrame:
     return additive_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of every document, learnt outside the held-out fold."""
+    return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document: counts, a hash of the base spans, all spans."""
     return private_data.digest(table(spark, folder, "documents"))
@@ -46,6 +51,7 @@ def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
     "op5_additive_model": op5_additive_model,
+    "op6_toxicity": op6_toxicity,
     "op7_private_data": op7_private_data,
     "op8_byte_pairs": op8_byte_pairs,
     "op10_decision_list": op10_decision_list,
