@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import additive_model, byte_pairs, decision_list, order_minhash, private_data, toxicity
+from titlelabels.llm import additive_model, byte_pairs, decision_list, main_text, order_minhash, private_data, toxicity
 from titlelabels.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.compare_edited(table(spark, folder, "documents"))
 
 
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.main_text(table(spark, folder, "pages"))
+
+
 def op5_additive_model(spark: SparkSession, folder: str) -> DataFrame:
     """Quality scores of every document, learnt outside the held-out fold."""
     return additive_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -50,6 +55,7 @@ def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
+    "op4_main_text": op4_main_text,
     "op5_additive_model": op5_additive_model,
     "op6_toxicity": op6_toxicity,
     "op7_private_data": op7_private_data,
