@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import additive_model, byte_pairs, decision_list, main_text, order_minhash, private_data, toxicity
+from titlelabels.llm import additive_model, byte_pairs, decision_list, main_text, mixing, order_minhash, private_data, toxicity
 from titlelabels.llm.common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes, targets and words taken of every document of the mix."""
+    return mixing.word_counts(table(spark, folder, "documents"))
+
+
 def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return order_minhash.compare_edited(table(spark, folder, "documents"))
@@ -54,6 +59,7 @@ def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_order_minhash": op2_order_minhash,
     "op4_main_text": op4_main_text,
     "op5_additive_model": op5_additive_model,
@@ -63,4 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decision_list": op10_decision_list,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mixing": mixing.sql(),
+}
