@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import additive_model, byte_pairs, decision_list, main_text, mixing, order_minhash, private_data, toxicity
+from titlelabels.llm import additive_model, byte_pairs, decision_list, jaccard_join, main_text, mixing, order_minhash, private_data, toxicity
 from titlelabels.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.compare_edited(table(spark, folder, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle set sizes and near-duplicate components of every document."""
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
 def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     return main_text.main_text(table(spark, folder, "pages"))
@@ -61,6 +66,7 @@ def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_order_minhash": op2_order_minhash,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_main_text": op4_main_text,
     "op5_additive_model": op5_additive_model,
     "op6_toxicity": op6_toxicity,
