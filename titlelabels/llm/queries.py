@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import additive_model, byte_pairs, decision_list, jaccard_join, main_text, mixing, order_minhash, private_data, toxicity
+from titlelabels.llm import additive_model, byte_pairs, decision_list, jaccard_join, main_text, mixing, order_minhash, passages, private_data, toxicity
 from titlelabels.llm.common import table
 
 
@@ -57,6 +57,11 @@ def op8_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.round_trip(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Paragraphs and passages that repeat across documents."""
+    return passages.repeats(table(spark, folder, "documents"))
+
+
 def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and the learnt decision list over every document."""
     docs = table(spark, folder, "documents")
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_private_data": op7_private_data,
     "op8_byte_pairs": op8_byte_pairs,
+    "op9_passages": op9_passages,
     "op10_decision_list": op10_decision_list,
 }
 
