@@ -12,8 +12,9 @@ What keeps large groups from costing the square of their size, without losing a
 * texts of equal sets are one node;
 * in every bucket (a shingle and the nodes with it in their prefix) the node with most
   shared shingles is compared with the others first; what it links is one component;
-* only nodes of different components are compared after that, and only where the number of
-  shingles that either has for itself leaves 0.8 within reach.
+* only nodes of different components are compared after that;
+* a pair is compared only where the prefix shingles that both share, and before that those
+  that either shares with anyone, leave 0.8 within reach.
 
 Words are lower-cased A-Z and split at white space. A text of fewer words than a shingle is
 one shingle; without words, or null, it has the empty set and no links. Shingles and sets are
@@ -139,12 +140,13 @@ def common_shingles(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(df: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """A row for every shingle in a text's prefix: shingle, its class, node, n, and how many of the node's shingles are common.
+    """A row for every text's set: node, n, shared (how many of its shingles are common), rare and often (its prefix in two parts).
 
     Equal sets within a task come once.
     """
     sent = df.sparkSession.sparkContext.broadcast(common)
-    names = ["shingle", "class", "node", "n", "shared"]
+    names = ["node", "n", "shared", "rare", "often"]
+    arrays = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, classes = sent.value
@@ -165,33 +167,30 @@ def prefixes(df: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                         kind = np.where(keys[at] == found, classes[at], 0)
                     length = n - -(-4 * n // 5) + 1
                     first = np.argsort(kind, kind="stable")[:length]  # found is sorted: by class, then hash
-                    out.append((found[first], kind[first], node, n, int((kind > 0).sum())))
-                sizes = [len(o[0]) for o in out]
-                if not out:
-                    continue
-                columns = [
-                    _signed(np.concatenate([o[0] for o in out])),
-                    pa.array(np.concatenate([o[1] for o in out]).astype(np.int32), pa.int32()),
-                    *[pa.array(np.repeat(np.array([o[k] for o in out], np.int64), sizes).astype(t), pa.from_numpy_dtype(t)) for k, t in ((2, np.int64), (3, np.int32), (4, np.int32))],
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                    often = kind[first] > 0
+                    ids = found[first].view(np.int64)
+                    out.append((node, n, int((kind > 0).sum()), ids[~often], ids[often]))
+                if out:
+                    types = [pa.int64(), pa.int32(), pa.int32(), arrays, arrays]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return df.select("text").mapInArrow(run, "shingle long, class int, node long, n int, shared int")
+    return df.select("text").mapInArrow(run, "node long, n int, shared int, rare array<long>, often array<long>")
 
 
-def buckets(rows: DataFrame) -> DataFrame:
-    """Prefix rows of shingles that two nodes or more have: shingle, node, n, shared.
+def buckets(sets: DataFrame) -> DataFrame:
+    """(shingle, node, hot) for every shingle that is in the prefix of two nodes or more; hot where the shingle is a common one.
 
     Rare shingles are shuffled once, for the count and the rows alike. Common ones are few
     but may have very many rows: these are counted with a map-side combine and joined, so that Spark can split them.
     """
     plural = [F.min("node").alias("_low"), F.max("node").alias("_high")]
-    rare = rows.where("class = 0").select("shingle", "node", "n", "shared").repartition("shingle")
+    rare = sets.select(F.explode("rare").alias("shingle"), "node").repartition("shingle")
     many = rare.groupBy("shingle").agg(*plural).where("_low < _high").select("shingle")
     rare = rare.join(many.hint("shuffle_hash"), "shingle", "left_semi")
-    often = rows.where("class > 0").select("shingle", "node", "n", "shared")
+    often = sets.select(F.explode("often").alias("shingle"), "node")
     counted = often.groupBy("shingle").agg(*plural).where("_low < _high").select("shingle")
-    return rare.unionByName(often.join(counted, "shingle", "left_semi")).distinct()
+    often = often.join(counted, "shingle", "left_semi")
+    return rare.withColumn("hot", F.lit(False)).unionByName(often.withColumn("hot", F.lit(True))).distinct()
 
 
 def near(a: str, b: str, overlap: F.Column) -> F.Column:
@@ -236,40 +235,77 @@ def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return both.groupBy("a", "b", "n_a", "n_b").agg(F.sum(shared).cast("long").alias("overlap"))
 
 
-def _ordered(a: str, b: str) -> list[F.Column]:
-    """A pair with the smaller node first."""
-    swap = F.col(a) > F.col(b)
-    one = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    return [one(a, b).alias("a"), one(b, a).alias("b"), one(f"n_{a}", f"n_{b}").alias("n_a"), one(f"n_{b}", f"n_{a}").alias("n_b")]
+def within_reach(x: str, y: str, common: F.Column) -> F.Column:
+    """Whether ``common`` shared prefix shingles leave 0.8 within reach.
+
+    The prefixes hold all shingles of either set up to the earlier end of the two; behind it,
+    at most what that set has left can be shared.
+    """
+    left = F.greatest(F.col(f"n_{x}") - F.col(f"length_{x}"), F.col(f"n_{y}") - F.col(f"length_{y}"))
+    most = F.least(common + left, F.col(f"n_{x}"), F.col(f"n_{y}"))
+    return near(f"n_{x}", f"n_{y}", most)
+
+
+_OF_NODE = ("node", "n", "length", "met", "shared")
+
+
+def _named(rows: DataFrame, side: str, *more: str) -> DataFrame:
+    return rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in (*_OF_NODE, *more)])
+
+
+def _pairs(both: DataFrame) -> DataFrame:
+    """Distinct pairs of the sides x and y, the smaller node as a; those within reach by how many prefix shingles either shares at all."""
+    both = both.where((F.col("node_x") != F.col("node_y")) & within_reach("x", "y", F.least("met_x", "met_y")))
+    swap = F.col("node_x") > F.col("node_y")
+    pick = [
+        F.when(swap, F.col(f"{c}_{v}")).otherwise(F.col(f"{c}_{u}")).alias(name + side)
+        for c, name in (("node", ""), ("n", "n_"), ("length", "length_"))
+        for u, v, side in (("x", "y", "a"), ("y", "x", "b"))
+    ]
+    return both.select(*pick).distinct()
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """Every node of a bucket beside the bucket's leader: the node with most common shingles.
+    """Pairs of every node of a bucket with the bucket's leader: the node with most common shingles."""
+    tops = rows.groupBy("shingle").agg(F.max(F.struct("shared", *[c for c in _OF_NODE if c != "shared"])).alias("_top"))
+    tops = tops.select("shingle", *[F.col(f"_top.{c}").alias(f"{c}_y") for c in _OF_NODE])
+    return _pairs(_named(rows, "x").join(tops, "shingle"))
+
 
-    ``rows``: shingle, node, n, shared, reach.
+def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of a bucket's nodes in different components that are within reach.
+
+    A common shingle's bucket may hold thousands of near copies, so its rows bring their
+    prefixes along and only pairs that share enough of them come out of the join.
     """
-    leader = F.max(F.struct("shared", "node", "n", "reach")).alias("_top")
-    tops = rows.groupBy("shingle").agg(leader)
-    pairs = rows.select("shingle", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("reach").alias("reach_x")).join(tops, "shingle")
-    pairs = pairs.select("x", "n_x", "reach_x", F.col("_top.node").alias("y"), F.col("_top.n").alias("n_y"), F.col("_top.reach").alias("reach_y"))
-    pairs = pairs.where((F.col("x") != F.col("y")) & near("n_x", "n_y", F.least("reach_x", "reach_y")))
-    return pairs.select(*_ordered("x", "y")).distinct()
+    rows = rows.withColumn("prefix", F.array().cast("array<bigint>"))
+    cold, hot = rows.where("not hot"), rows.where("hot").drop("prefix")
+    prefix = sets.select("node", F.concat("rare", "often").alias("prefix")).dropDuplicates(["node"])
+    hot = hot.join(prefix, "node")
 
+    def join(part: DataFrame, enough: list[F.Column]) -> DataFrame:
+        x, y = _named(part, "x", "component", "prefix"), _named(part, "y", "component", "prefix")
+        fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
+        fits &= within_reach("x", "y", F.least("met_x", "met_y"))
+        for more in enough:
+            fits &= more
+        return _pairs(x.join(y, (x.shingle == y.shingle) & fits))
 
-def _rest(rows: DataFrame) -> DataFrame:
-    """All pairs of a bucket's nodes in different components whose sizes and own shingles leave 0.8 within reach.
+    shared = F.size(F.array_intersect("prefix_x", "prefix_y"))
+    return join(cold, []).unionByName(join(hot, [within_reach("x", "y", shared)])).distinct()
 
-    ``rows``: shingle, node, n, reach, component.
-    """
-    x, y = (rows.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "reach", "component")]) for s in "xy")
-    fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
-    pairs = x.join(y, (x.shingle == y.shingle) & fits & near("n_x", "n_y", F.least("reach_x", "reach_y")))
-    return pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b"), F.col("n_x").alias("n_a"), F.col("n_y").alias("n_b")).distinct()
+
+def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that are within reach by the prefix shingles they share."""
+    prefix = F.concat("rare", "often")
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), prefix.alias(f"prefix_{side}")).dropDuplicates([side]), side)
+    return pairs.where(within_reach("a", "b", F.size(F.array_intersect("prefix_a", "prefix_b")))).select("a", "b", "n_a", "n_b")
 
 
 def _open(rows: DataFrame, member: DataFrame) -> DataFrame:
     """Bucket rows with their node's component, in buckets that hold more than one."""
-    rows = rows.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = rows.join(member, "node", "left").withColumn("component", F.coalesce("component", "node")).select("shingle", "hot", *_OF_NODE, "component")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     return rows.join(mixed.where("_low < _high").select("shingle"), "shingle", "left_semi")
 
@@ -286,39 +322,38 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = spark.read.parquet(f"{folder}/survey")
     nodes = found.where("n is not null").select("id", "n", "node")
     prefixes(docs, common_shingles(found.where("n is null").select("shingle", "count"))).write.parquet(f"{folder}/prefixes")
-    held = checkpointed(buckets(spark.read.parquet(f"{folder}/prefixes")))
-    sizes = held.withColumn("reach", F.col("n"))
-
-    pairs = checkpointed(_stars(sizes))
-    candidates = held.select("node").distinct()
-    ids = nodes.join(candidates, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
-    parts = checkpointed(segments(docs, ids))
-    decided = checkpointed(overlaps(pairs, parts))
-    links = decided.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
-
-    for turn in range(STAR_ROUNDS):
-        member = checkpointed(components(links))
-        left = checkpointed(_open(held.select("shingle", "node", "n", "shared"), member))
-        if left.isEmpty():
-            break
-        # How many of a node's shingles another open node has too.
-        live = left.select("node").distinct()
-        each = parts.join(live, "node", "left_semi").select("node", F.explode("part").alias("shingle"))
-        twice = each.groupBy("shingle").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-        reach = each.join(twice.select("shingle"), "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("reach"))
-        left = checkpointed(left.join(reach, "node"))
-        last = turn + 1 == STAR_ROUNDS
-        if last:
-            pairs = _rest(left)
+    sets = spark.read.parquet(f"{folder}/prefixes")
+    held = checkpointed(buckets(sets))
+    met = held.groupBy("node").agg(F.count("*").cast("int").alias("met"))
+    length = (F.size("rare") + F.size("often")).alias("length")
+    about = checkpointed(sets.select("node", "n", "shared", length).join(met, "node").dropDuplicates(["node"]))
+    held = checkpointed(held.join(about, "node"))
+    # Sets of the nodes that any pair so far needs; prefixes of all nodes in buckets.
+    sets = sets.join(about.select("node"), "node", "left_semi")
+
+    links = decided = None
+    for turn in range(STAR_ROUNDS + 1):
+        if turn == 0:
+            pairs = _stars(held)
         else:
-            # The component of the bucket's leader steps back, and the best of the others leads.
-            tops = left.groupBy("shingle").agg(F.max(F.struct("shared", "node", "component")).alias("_top"))
-            others = left.join(tops.select("shingle", F.col("_top.component").alias("_first")), "shingle")
-            pairs = _stars(others.where("component <> _first").select("shingle", "node", "n", "shared", "reach"))
-        pairs = pairs.join(decided.select("a", "b"), ["a", "b"], "left_anti")
-        new = checkpointed(overlaps(pairs, parts))
-        decided = decided.unionByName(new)
-        links = checkpointed(links.unionByName(new.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")))
+            left = checkpointed(_open(held, checkpointed(components(links))))
+            if left.isEmpty():
+                break
+            if turn < STAR_ROUNDS:
+                # The component of the bucket's leader steps back, and the best of the others leads.
+                tops = left.groupBy("shingle").agg(F.max(F.struct("shared", "node", "component")).alias("_top"))
+                others = left.join(tops.select("shingle", F.col("_top.component").alias("_first")), "shingle")
+                pairs = _stars(others.where("component <> _first"))
+            else:
+                pairs = _rest(left, sets)
+            pairs = pairs.join(decided.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = checkpointed(_likely(pairs, sets))
+        live = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        ids = nodes.join(live, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
+        new = checkpointed(overlaps(pairs, segments(docs, checkpointed(ids))))
+        found_links = new.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
+        decided = new if decided is None else decided.unionByName(new)
+        links = found_links if links is None else checkpointed(links.unionByName(found_links))
 
     member = checkpointed(components(links))
     placed = nodes.join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
