@@ -364,3 +364,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns; of every component only the row that names it. Rows with null ids or without words stay."""
+    others = near_duplicates(df, id_col, text_col).where(F.col(id_col) != F.col("component_id"))
+    return df.join(others.select(id_col).distinct(), id_col, "left_anti")
