@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlelabels.llm.common import SLICE
@@ -184,12 +184,13 @@ def buckets(sets: DataFrame) -> DataFrame:
     but may have very many rows: these are counted with a map-side combine and joined, so that Spark can split them.
     """
     plural = [F.min("node").alias("_low"), F.max("node").alias("_high")]
-    rare = sets.select(F.explode("rare").alias("shingle"), "node").repartition("shingle")
-    many = rare.groupBy("shingle").agg(*plural).where("_low < _high").select("shingle")
-    rare = rare.join(many.hint("shuffle_hash"), "shingle", "left_semi")
+    bucket = Window.partitionBy("shingle")
+    rare = sets.select(F.explode("rare").alias("shingle"), "node")
+    rare = rare.withColumns({"_low": F.min("node").over(bucket), "_high": F.max("node").over(bucket)})
+    rare = rare.where("_low < _high").select("shingle", "node")
     often = sets.select(F.explode("often").alias("shingle"), "node")
     counted = often.groupBy("shingle").agg(*plural).where("_low < _high").select("shingle")
-    often = often.join(counted, "shingle", "left_semi")
+    often = often.join(checkpointed(counted), "shingle", "left_semi")  # on its own, so that Spark can split a hot one
     return rare.withColumn("hot", F.lit(False)).unionByName(often.withColumn("hot", F.lit(True))).distinct()
 
 

@@ -34,70 +34,70 @@ def sized(df: DataFrame, keep: list[str], text_col: str = "text", id_col: str =
     """``keep`` columns, the words of each text, and a key that shuffles the rows the same way in every run."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text))
-    return df.select(*keep, F.regexp_count(text, F.lit(WORD)).cast("long").alias("_size"), key.alias("_key"))
+    return df.select(*keep, F.regexp_count(text, F.lit(WORD)).cast("long").alias("__mix_size"), key.alias("__mix_key"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
-    """Weight, target and cut of every source; ``totals`` has one row a source: _none, _source, _total."""
-    rank = F.row_number().over(Window.orderBy("_none", "_source"))
+    """Weight, target and cut of every source; ``totals`` has one row a source: __mix_none, __mix_source, __mix_total."""
+    rank = F.row_number().over(Window.orderBy("__mix_none", "__mix_source"))
     weights = F.element_at(F.array(*map(F.lit, WEIGHTS)), (rank - 1) % len(WEIGHTS) + 1).cast("double")
-    most = F.col("_total") * F.lit(float(ROUNDS))
-    rows = totals.withColumn("_weight", weights).withColumn("_ends", most / F.col("_weight"))
-    # Sources end in the order of _ends; before the k-th ends, those from it on share what the others left.
+    most = F.col("__mix_total") * F.lit(float(ROUNDS))
+    rows = totals.withColumn("__mix_weight", weights).withColumn("__mix_ends", most / F.col("__mix_weight"))
+    # Sources end in the order of __mix_ends; before the k-th ends, those from it on share what the others left.
     # The levels fall once they lie below the end of their source, so the first such level is the highest.
-    order = Window.orderBy("_ends", "_none", "_source")
+    order = Window.orderBy("__mix_ends", "__mix_none", "__mix_source")
     every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = F.coalesce(F.sum(most).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    sharing = F.sum("_weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    cut = (F.sum("_total").over(every) * F.lit(BUDGET) - before) / sharing
-    rows = rows.withColumn("_cut", cut)
-    cut = F.max(F.when(F.col("_cut") <= F.col("_ends"), F.col("_cut"))).over(every)
-    target = F.least(most, F.col("_weight") * F.coalesce("_cut", F.lit(0.0)))
-    return rows.withColumn("_cut", cut).select("_none", "_source", "_total", "_weight", target.alias("_target"))
+    sharing = F.sum("__mix_weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    cut = (F.sum("__mix_total").over(every) * F.lit(BUDGET) - before) / sharing
+    rows = rows.withColumn("__mix_cut", cut)
+    cut = F.max(F.when(F.col("__mix_cut") <= F.col("__mix_ends"), F.col("__mix_cut"))).over(every)
+    target = F.least(most, F.col("__mix_weight") * F.coalesce("__mix_cut", F.lit(0.0)))
+    return rows.withColumn("__mix_cut", cut).select("__mix_none", "__mix_source", "__mix_total", "__mix_weight", target.alias("__mix_target"))
 
 
 def mix(rows: DataFrame, source_col: str = "source") -> DataFrame:
-    """``rows`` (from ``sized``) with size, source_size, target, taken and virtual_finish in one column ``mix``.
+    """``rows`` (from ``sized``) with size, source_size, target, taken and virtual_finish in one column ``__mix``.
 
     ``taken`` counts the words of a document in the mix, at most ``ROUNDS`` times its size.
     """
     # About as many slices as each has rows: neither the sums nor a slice outgrow a task.
     slices = 1 << max(0, (max(rows.count(), 1).bit_length() + 1) // 2)
-    slice_ = F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * slices / (1 << 32)).cast("int")
+    slice_ = F.floor(F.conv(F.substring("__mix_key", 1, 8), 16, 10).cast("long") * slices / (1 << 32)).cast("int")
     rows = rows.withColumns(
-        {"_none": F.col(source_col).isNull(), "_source": F.coalesce(F.col(source_col), F.lit("")), "_slice": slice_}
+        {"__mix_none": F.col(source_col).isNull(), "__mix_source": F.coalesce(F.col(source_col), F.lit("")), "__mix_slice": slice_}
     )
-    keys = ["_none", "_source"]
-    sums = rows.groupBy(*keys, "_slice").agg(F.sum("_size").alias("_sum"))
-    known = targets(sums.groupBy(*keys).agg(F.sum("_sum").alias("_total")))
-    ahead = F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    heads = sums.withColumn("_sum", F.coalesce(ahead, F.lit(0))).join(known, keys)
+    keys = ["__mix_none", "__mix_source"]
+    sums = rows.groupBy(*keys, "__mix_slice").agg(F.sum("__mix_size").alias("__mix_sum"))
+    known = targets(sums.groupBy(*keys).agg(F.sum("__mix_sum").alias("__mix_total")))
+    ahead = F.sum("__mix_sum").over(Window.partitionBy(*keys).orderBy("__mix_slice").rowsBetween(Window.unboundedPreceding, -1))
+    heads = sums.withColumn("__mix_sum", F.coalesce(ahead, F.lit(0))).join(known, keys)
     # Each slice's head goes first in its window and brings what the rows need; no join with the rows.
-    brought = ["_total", "_weight", "_target"]
-    heads = heads.withColumnRenamed("_sum", "_size").withColumn("_key", F.lit(""))
-    line = Window.partitionBy(*keys, "_slice").orderBy("_key", "_size")
+    brought = ["__mix_total", "__mix_weight", "__mix_target"]
+    heads = heads.withColumnRenamed("__mix_sum", "__mix_size").withColumn("__mix_key", F.lit(""))
+    line = Window.partitionBy(*keys, "__mix_slice").orderBy("__mix_key", "__mix_size")
     whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = rows.unionByName(heads, allowMissingColumns=True)
     placed = placed.withColumns(
         {c: F.max(c).over(whole) for c in brought}
-        | {"_done": F.sum("_size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))}
-    ).where("_key <> ''")
-    cut = F.floor(F.col("_target") + 0.5)
-    start = F.col("_done") - F.col("_size")
-    rounds = [F.greatest(F.lit(0), F.least(F.col("_size"), cut - start - F.col("_total") * k)) for k in range(ROUNDS)]
+        | {"__mix_done": F.sum("__mix_size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))}
+    ).where("__mix_key <> ''")
+    cut = F.floor(F.col("__mix_target") + 0.5)
+    start = F.col("__mix_done") - F.col("__mix_size")
+    rounds = [F.greatest(F.lit(0), F.least(F.col("__mix_size"), cut - start - F.col("__mix_total") * k)) for k in range(ROUNDS)]
     result = F.struct(
-        F.col("_size").alias("size"),
-        F.col("_total").alias("source_size"),
-        F.col("_target").alias("target"),
+        F.col("__mix_size").alias("size"),
+        F.col("__mix_total").alias("source_size"),
+        F.col("__mix_target").alias("target"),
         sum(rounds[1:], rounds[0]).cast("long").alias("taken"),
-        (F.col("_done") / F.col("_weight")).alias("virtual_finish"),
+        (F.col("__mix_done") / F.col("__mix_weight")).alias("virtual_finish"),
     )
-    return placed.select(*[c for c in rows.columns if c[0] != "_"], result.alias("mix"))
+    return placed.select(*[c for c in rows.columns if not c.startswith("__mix_")], result.alias("__mix"))
 
 
 def word_counts(df: DataFrame) -> DataFrame:
     """Every document's size and the words of it that the mix takes, in the order of the mix."""
-    out = mix(checkpointed(sized(df, ["doc_id", "source"]))).select("doc_id", "mix.*")
+    out = mix(checkpointed(sized(df, ["doc_id", "source"]))).select("doc_id", "__mix.*")
     return out.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish").orderBy("virtual_finish", "doc_id")
 
 
@@ -108,10 +108,10 @@ def mixed(df: DataFrame, text_col: str = "text", source_col: str = "source", id_
     source stays within half a document of its target. Documents without words are not in the mix.
     """
     rows = mix(sized(df, df.columns, text_col, id_col), source_col)
-    copies = F.floor(F.col("mix.taken") / F.col("mix.size") + 0.5).cast("int")
-    return rows.where("mix.size > 0").select(*df.columns, copies.alias("_copies")).where("_copies > 0").select(
-        *df.columns, F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_copy")
-    ).drop("_copy")
+    copies = F.floor(F.col("__mix.taken") / F.col("__mix.size") + 0.5).cast("int")
+    return rows.where("__mix.size > 0").select(*df.columns, copies.alias("__mix_copies")).where("__mix_copies > 0").select(
+        *df.columns, F.explode(F.array_repeat(F.lit(1), F.col("__mix_copies"))).alias("__mix_copy")
+    ).drop("__mix_copy")
 
 
 def sql(documents: str = "documents") -> str:

@@ -163,9 +163,10 @@ def parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """Pairs (a, b) of different paragraphs of similarity 0.8 or more that collide in a band."""
-    rows = banded(docs).repartition("band")
-    plural = rows.groupBy("band").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high").select("band")
-    held = checkpointed(rows.join(plural.hint("shuffle_hash"), "band", "left_semi").distinct())
+    # One shuffle gives the count and the rows alike, and reads the texts once.
+    bucket = Window.partitionBy("band")
+    rows = banded(docs).withColumns({"_low": F.min("node").over(bucket), "_high": F.max("node").over(bucket)})
+    held = checkpointed(rows.where("_low < _high").select("band", "node", "n").distinct())
     # The paragraph that collides most is nearest to what the others were made from: it leads.
     size = held.groupBy("band").agg(F.count("*").alias("_size"))
     ranked = held.join(size, "band").groupBy("node").agg(F.sum("_size").alias("_met"))
@@ -191,7 +192,7 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs in two documents or more, with ``removed``: false for the first occurrence."""
     place = F.struct("id", "begin")
     seen = rows.groupBy(key).agg(F.min(place).alias("_first"), F.max("id").alias("_last")).where("_first.id < _last")
-    out = rows.join(seen.select(key, "_first"), key)
+    out = rows.join(checkpointed(seen.select(key, "_first")), key)  # on its own, so that Spark can split a hot key
     return out.withColumn("removed", place != F.col("_first")).drop("_first")
 
 
