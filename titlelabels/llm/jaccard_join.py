@@ -36,13 +36,10 @@ from titlelabels.llm.words import LOWER, shingles, word_hashes
 from titlelabels.session import checkpointed, shared_folder
 
 SIZE = 5
-#: A shingle counts as common from this share of a task's documents on, and from so many of them.
-COMMON_SHARE = 0.001
+#: A shingle is common where so many prefixes by hash order hold it.
 COMMON_LEAST = 4
 #: The most common shingles that are sent to every task; the threshold doubles until they fit.
 COMMON_ROWS = 1 << 17
-#: Counts a task holds at most before it drops the shingles it saw once.
-HELD = 1 << 22
 #: Fragments of the global order.
 FRAGMENTS = 8
 #: Rows whose ids are broadcast at most (16 bytes each); above, the join is shuffled.
@@ -66,70 +63,59 @@ def set_key(found: np.ndarray) -> int:
     return int(np.uint64((total * 0xBF58476D1CE4E5B9 + len(found)) & (1 << 64) - 1).astype(np.int64))
 
 
-class _Counts:
-    """Shingles that many of a task's documents share."""
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64), pa.int64())
 
-    def __init__(self):
-        self.waiting: list[np.ndarray] = []
-        self.size = 0
-        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-    def add(self, found: np.ndarray) -> None:
-        self.waiting.append(found)
-        self.size += len(found)
-        if self.size > HELD:
-            self.fold()
+def survey(df: DataFrame) -> DataFrame:
+    """Of ``id`` and ``text``: id, set size n and node (null without words) of every document."""
 
-    def fold(self) -> None:
-        new, counts = np.unique(np.concatenate([*self.waiting, self.keys[:0]]), return_counts=True)
-        keys = np.concatenate([self.keys, new[counts > 1]])
-        at = np.concatenate([self.counts, counts[counts > 1]])
-        self.keys, inverse = np.unique(keys, return_inverse=True)
-        self.counts = np.bincount(inverse, at, len(self.keys)).astype(np.int64)
-        self.waiting, self.size = [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
+                nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), nodes], names=["id", "n", "node"])
 
-    def common(self, docs: int) -> tuple[np.ndarray, np.ndarray]:
-        self.fold()
-        hit = self.counts >= max(COMMON_LEAST, COMMON_SHARE * docs)
-        return self.keys[hit], self.counts[hit]
+    return df.select("id", "text").mapInArrow(run, "id long, n long, node long")
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64), pa.int64())
+def prefix_length(n: int) -> int:
+    """So many of a set's ``n`` shingles, in any order that all sets share, meet every set of similarity 0.8 or more."""
+    return n - -(-4 * n // 5) + 1
 
 
-def survey(df: DataFrame) -> DataFrame:
-    """Of ``id`` and ``text``: a row (id, n, node) for every document, and rows (shingle, count) of each task's common shingles."""
-    names = ["id", "n", "node", "shingle", "count"]
+def first_shingles(df: DataFrame) -> DataFrame:
+    """The shingles of all prefixes by hash order; equal sets within a task come once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs, seen = _Counts(), 0, set()
+        seen = set()
         for whole in batches:
             for start in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(start, SLICE)
-                sizes, nodes = [], []
-                for text in batch.column(1).to_pylist():
+                out = []
+                for text in whole.slice(start, SLICE).column(0).to_pylist():
                     found = shingle_set(text)
-                    sizes.append(len(found))
-                    nodes.append(set_key(found) if len(found) else None)
-                    docs += 1
-                    if len(found) and nodes[-1] not in seen:
-                        seen.add(nodes[-1])
-                        counts.add(found)
-                none = pa.nulls(len(sizes), pa.int64())
-                columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-        keys, numbers = counts.common(docs)
-        none = pa.nulls(len(keys), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, _signed(keys), pa.array(numbers, pa.int64())], names=names)
+                    node = set_key(found) if len(found) else None
+                    if node is not None and node not in seen:
+                        seen.add(node)
+                        out.append(found[: prefix_length(len(found))])
+                if out:
+                    yield pa.RecordBatch.from_arrays([_signed(np.concatenate(out))], names=["shingle"])
 
-    return df.select("id", "text").mapInArrow(run, "id long, n long, node long, shingle long, count long")
+    return df.select("text").mapInArrow(run, "shingle long")
 
 
-def common_shingles(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The common shingles, sorted, and the class of each: the logarithm of its count. At most ``COMMON_ROWS``."""
-    totals = checkpointed(counted.groupBy("shingle").agg(F.sum("count").alias("count")))
-    least, rows = 1, totals.count()
+def common_shingles(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that ``COMMON_LEAST`` prefixes or more hold, sorted, and the class of each: the logarithm of its count.
+
+    At most ``COMMON_ROWS``: the least count doubles until they fit. The order of the
+    shingles only decides how many candidates there are; links are the same in any.
+    """
+    least = COMMON_LEAST
+    totals = found.groupBy("shingle").agg(F.count("*").alias("count")).where(F.col("count") >= least)
+    totals = checkpointed(totals)
+    rows = totals.count()
     while rows > COMMON_ROWS:
         least *= 2
         rows = totals.where(F.col("count") >= least).count()
@@ -165,8 +151,7 @@ def prefixes(df: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                     if len(keys):
                         at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
                         kind = np.where(keys[at] == found, classes[at], 0)
-                    length = n - -(-4 * n // 5) + 1
-                    first = np.argsort(kind, kind="stable")[:length]  # found is sorted: by class, then hash
+                    first = np.argsort(kind, kind="stable")[: prefix_length(n)]  # found is sorted: by class, then hash
                     often = kind[first] > 0
                     ids = found[first].view(np.int64)
                     out.append((node, n, int((kind > 0).sum()), ids[~often], ids[often]))
@@ -320,9 +305,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     folder = shared_folder(spark)
     survey(docs).write.parquet(f"{folder}/survey")
-    found = spark.read.parquet(f"{folder}/survey")
-    nodes = found.where("n is not null").select("id", "n", "node")
-    prefixes(docs, common_shingles(found.where("n is null").select("shingle", "count"))).write.parquet(f"{folder}/prefixes")
+    nodes = spark.read.parquet(f"{folder}/survey")
+    prefixes(docs, common_shingles(first_shingles(docs))).write.parquet(f"{folder}/prefixes")
     sets = spark.read.parquet(f"{folder}/prefixes")
     held = checkpointed(buckets(sets))
     met = held.groupBy("node").agg(F.count("*").cast("int").alias("met"))
