@@ -59,8 +59,8 @@ TITLES: tuple[str | None, ...] = (
     "AUDIT ALCOHOL SCREEN",
     "OCCUPATIONAL THERAPIST NOTE",
     "SPEECH SWALLOW STUDY",
-    "AUDIOLOGY HEARING TEST",
-    "CHAPLAIN VISIT",
+    "SOCIAL WORK CONSULTATION",
+    "CHAPLAIN / AUDIOLOGY HEARING TEST",
     "KINESIOTHERAPY",
     "MEDICAL RECORDS TRANSCRIPTION",
     "INFORMED CONSENT / CODING",
@@ -156,10 +156,15 @@ def vector_notes(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "embeddings").select(
         "vec_id",
         pick(TITLES, F.col("vec_id")).alias("note_title"),
-        F.col("embedding").cast("array<double>").alias("v"),
+        scaled_vector().alias("v"),
     )
 
 
+def scaled_vector() -> Column:
+    """The embedding times 1 to 7, since vectors need not have length 1."""
+    return F.expr("transform(cast(embedding AS array<double>), x -> x * (1 + vec_id % 7))")
+
+
 def anchor_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Every embedding as an anchor of one role and one note type: ``dim, label, v``."""
     by_dim = F.array(
@@ -203,7 +208,7 @@ COMPOSED_SQL = _notes_sql(
 )
 BENCH_SQL = f"notes AS (SELECT {_list_sql(TITLES, 'l_orderkey')} AS note_title FROM lineitem)"
 VECTOR_NOTES_SQL = (
-    f"vnotes AS (SELECT vec_id, {_list_sql(TITLES, 'vec_id')} AS note_title, embedding::DOUBLE[] AS v FROM embeddings)"
+    f"vnotes AS (SELECT vec_id, {_list_sql(TITLES, 'vec_id')} AS note_title, list_transform(embedding::DOUBLE[], lambda x: x * (1 + vec_id % 7)) AS v FROM embeddings)"
 )
 ANCHOR_VECTORS_SQL = f"""anchors AS (
   SELECT 'role' AS dim, {_list_sql(ROLE_LABELS, 'label')} AS label, embedding::DOUBLE[] AS v FROM embeddings

@@ -90,7 +90,7 @@ TITLE_COUNTS = "t AS (SELECT note_title AS title, count(*) AS n FROM notes GROUP
 def _hashed(name: str, source: str, keys: str, text: str) -> str:
     """Sparse hashed vectors ``<name>(keys, b, x)`` of the texts of ``source``."""
     return f"""{name}_tokens AS (
-  SELECT {keys}, unnest(string_split_regex(upper({text}), '[^A-Z0-9]+')) AS token FROM {source}),
+  SELECT {keys}, unnest(string_split_regex(upper({text}), '[^\\p{{L}}\\p{{N}}]+')) AS token FROM {source}),
 {name}_counts AS (
   SELECT {keys}, (('0x' || substr(md5(token), 1, 8))::UBIGINT % 256)::INTEGER AS b, count(*)::DOUBLE AS c
   FROM {name}_tokens WHERE token <> '' GROUP BY {keys}, b),
@@ -121,7 +121,7 @@ best AS (
   WHERE place <= CASE WHEN dim = 'role' THEN {S.top_k_role} ELSE {S.top_k_type} END),
 kept AS (SELECT * FROM best WHERE s >= {threshold}::DOUBLE),
 found AS (
-  SELECT id, dim, string_agg(label, '|' ORDER BY place) AS labels, round(max(s), 4) AS conf FROM kept GROUP BY id, dim),
+  SELECT id, dim, string_agg(label, '|' ORDER BY place) AS labels, round_even(max(s), 4) AS conf FROM kept GROUP BY id, dim),
 sizes_of AS (
   SELECT id, (count(*) FILTER (dim = 'role'))::INTEGER AS n_role, (count(*) FILTER (dim = 'type'))::INTEGER AS n_type
   FROM scores GROUP BY id)"""
@@ -175,7 +175,7 @@ VECTOR_SCORES = f"""{VECTOR_CENTROIDS},
 cents AS (
   SELECT dim, label, ord, list(x ORDER BY pos) AS c FROM units JOIN taxonomy USING (dim, label) GROUP BY dim, label, ord),
 scores AS (
-  SELECT vec_id AS id, dim, label, ord, list_inner_product(v, c) AS s FROM vnotes, cents),
+  SELECT vec_id AS id, dim, label, ord, list_inner_product(v, c) / sqrt(list_inner_product(v, v)) AS s FROM vnotes, cents),
 {_ranked(fx.VECTOR_THRESHOLD)}"""
 VECTORS = with_(fx.VECTOR_NOTES_SQL, VECTOR_SCORES)
 VECTOR_HYBRID = with_(
@@ -253,10 +253,10 @@ def oracle() -> dict[str, str]:
         "rule_confidence": ruled(composed) + "SELECT title, role_conf, type_conf FROM ruled",
         "band_labels": ruled(composed) + "SELECT title, roles, types FROM ruled",
         "apply_rules": ruled(notes) + "SELECT title, n, roles, types, role_conf, type_conf, tags FROM ruled",
-        "l2_normalize": """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+        "l2_normalize": """WITH e AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * (1 + vec_id % 7)) AS v FROM embeddings),
             x AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS pos FROM e),
             l AS (SELECT vec_id, sqrt(sum(x * x)) AS l FROM x GROUP BY vec_id)
-            SELECT vec_id, round(1.0, 4)::DOUBLE AS length, pos::INTEGER AS pos, round(x / l, 4) AS x
+            SELECT vec_id, round(l, 4)::DOUBLE AS length, pos::INTEGER AS pos, round(x / l, 4) AS x
             FROM x JOIN l USING (vec_id)""",
         "label_centroids": with_(VECTOR_CENTROIDS) + "SELECT dim, label, pos, round(x, 4) AS x FROM means",
         "label_centroids_unit": with_(VECTOR_CENTROIDS) + "SELECT dim, label, pos, round(x, 4) AS x FROM units",
@@ -268,7 +268,7 @@ def oracle() -> dict[str, str]:
         "embedding_confidence": VECTORS
         + """SELECT vec_id, coalesce(r.conf, 0)::DOUBLE AS role_conf, coalesce(t.conf, 0)::DOUBLE AS type_conf FROM vnotes
              LEFT JOIN found r ON r.id = vec_id AND r.dim = 'role' LEFT JOIN found t ON t.id = vec_id AND t.dim = 'type'""",
-        "score_maps": VECTORS + "SELECT id AS vec_id, dim, label, round(s, 4) AS score FROM scores",
+        "score_maps": VECTORS + "SELECT id AS vec_id, dim, label, round_even(s, 4) AS score FROM scores",
         "embedding_classify": VECTORS
         + """SELECT vec_id, coalesce(r.labels, '') AS roles, coalesce(t.labels, '') AS types,
              coalesce(r.conf, 0)::DOUBLE AS role_conf, coalesce(t.conf, 0)::DOUBLE AS type_conf,
@@ -292,7 +292,7 @@ def oracle() -> dict[str, str]:
         + """SELECT note_title AS title, roles, types AS note_types, role_conf AS role_confidence,
              type_conf AS note_type_confidence, source AS classification_source FROM out""",
         "title_score_rows": hashed(composed)
-        + "SELECT id AS title, dim, label, round(s, 4)::DOUBLE AS score FROM scores",
+        + "SELECT id AS title, dim, label, round_even(s, 4)::DOUBLE AS score FROM scores",
         "output_schema": with_(
             notes,
             values_cte(

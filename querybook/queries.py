@@ -224,9 +224,10 @@ def exploded(df: DataFrame, key: str, value: Callable[[str], Column]) -> DataFra
 
 @query("l2_normalize")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    unit = normalised(fx.read(spark, folder, "embeddings"), "embedding")
+    vectors = fx.read(spark, folder, "embeddings").select("vec_id", fx.scaled_vector().alias("embedding"))
     length = rounded(F.expr(norm("embedding"))).alias("length")
-    return unit.select("vec_id", length, F.posexplode_outer("embedding").alias("pos", "x")).select(
+    unit = normalised(vectors.withColumn("length", length), "embedding")
+    return unit.select("vec_id", "length", F.posexplode_outer("embedding").alias("pos", "x")).select(
         "vec_id", "length", "pos", rounded("x").alias("x")
     )
 
@@ -254,7 +255,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _similar(spark: SparkSession, folder: str) -> DataFrame:
-    return with_similarity(fx.vector_notes(spark, folder), "v", vector_library(spark, folder), VECTOR_SETTINGS)
+    return with_similarity(normalised(fx.vector_notes(spark, folder)), "v", vector_library(spark, folder), VECTOR_SETTINGS)
 
 
 @query("cosine_scores")
@@ -340,7 +341,7 @@ def vector_labeller(spark: SparkSession, folder: str) -> Labeller:
 
 def _staged(spark: SparkSession, folder: str) -> DataFrame:
     """Vector notes with text, both stages side by side: ``rules``, ``similarity``."""
-    notes = fx.vector_notes(spark, folder).filter(~F.expr(is_blank("note_title")))
+    notes = normalised(fx.vector_notes(spark, folder)).filter(~F.expr(is_blank("note_title")))
     both = with_rules(notes, "note_title")
     return with_similarity(both, "v", vector_library(spark, folder), VECTOR_SETTINGS)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests import brute
 from titlelabels.functions.text import is_blank
 from titlelabels.operators.rules import rule_hits, rule_struct, with_rules
-from titlelabels.rulepack import RULES, load_rules, parse_rules, rule_table
+from titlelabels.rulepack import RULES, Rule, check_rules, load_rules, rule_table
 from titlelabels.taxonomy import ROLE_LABELS, TYPE_LABELS, Settings
 
 # title, roles, confidence, types, confidence, fired rules
@@ -130,12 +130,15 @@ def test_blank_equals_python_strip(spark):
 
 def test_rule_table_round_trip_and_own_rules(spark):
     assert load_rules(rule_table(spark)) == RULES
-    own = parse_rules("1 | a:x | FOO~BAR | NEW_ROLE | | 0.9\n2 | a:y | O'NEIL | | PLAN | 0.5", {})
+    own = check_rules((Rule(1, "a:x", ("FOO~BAR",), ("NEW_ROLE",), (), 0.9), Rule(2, "a:y", ("O'NEIL",), (), ("PLAN",), 0.5)))
     df = spark.createDataFrame([("foobar o'neil",)], "title string")
     s = with_rules(df, "title", own).first().rules
     assert (s.roles, s.note_types, s.rule_hits) == (["NEW_ROLE"], ["PLAN"], ["a:x", "a:y"])
     with pytest.raises(ValueError):
-        parse_rules("1 | a | FOO | X | | 0")
+        check_rules((Rule(1, "a", ("FOO",), ("X",), (), 0.0),))
+    for bad in ("FOO|BAR", "FOO[", "A{B|C", "T.[O]", "A]", "{A[B}]"):
+        with pytest.raises(ValueError):
+            check_rules((Rule(1, "a", (bad,), ("X",), (), 0.5),))
 
 
 def test_counts_of_the_pack():

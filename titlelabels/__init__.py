@@ -4,7 +4,7 @@ from titlelabels.operators.classify import Labeller, Limits, classify_notes, sco
 from titlelabels.operators.hybrid import OUTPUT_SCHEMA
 from titlelabels.operators.rules import rule_struct, with_rules
 from titlelabels.plans.labelling import label_notes, run
-from titlelabels.rulepack import RULES, Rule, load_rules, parse_rules, rule_table
+from titlelabels.rulepack import RULES, Rule, load_rules, rule_table
 from titlelabels.sources.encoders import Encoder, HashedTokens, ModelVectors, VectorColumn, VectorTable
 from titlelabels.taxonomy import ROLE_LABELS, TYPE_LABELS, Settings
 
@@ -25,7 +25,6 @@ __all__ = [
     "classify_notes",
     "label_notes",
     "load_rules",
-    "parse_rules",
     "rule_struct",
     "rule_table",
     "run",

@@ -10,7 +10,10 @@ from titlelabels.functions.text import let
 
 
 def dot(v: str, c: str) -> str:
-    return f"aggregate(zip_with({v}, {c}, (a, b) -> a * b), 0.0D, (acc, x) -> acc + x)"
+    """Product of two vectors; unequal lengths are an error."""
+    product = f"aggregate(zip_with({v}, {c}, (a, b) -> a * b), 0.0D, (acc, x) -> acc + x)"
+    wrong = "cast(raise_error('a vector and a centroid differ in length') AS double)"
+    return f"CASE WHEN size({v}) = size({c}) THEN {product} ELSE {wrong} END"
 
 
 def sparse_dot(entries: str, c: str) -> str:

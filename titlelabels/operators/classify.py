@@ -4,11 +4,10 @@ Note titles repeat: few distinct titles cover most rows. So distinct titles are
 scored once and the results go back by a broadcast join, which moves no row.
 How many titles that covers is decided by a measurement, never by a guess:
 
-* all distinct titles fit under the limits: every row is answered by the join;
-* they do not: the most frequent titles (bounded in number, because titles with
-  at least rows/limit rows are at most ``limit``) are answered by the join, and
-  every other row is scored where it stands. Hot titles cost nothing, rows are
-  not shuffled, no title is left out.
+* titles that fit under the limits, the most frequent ones first (titles with at
+  least rows/limit rows are at most ``limit``), are answered by the join;
+* every row that has no answer then is scored where it stands. Hot titles cost
+  nothing, rows are not shuffled, no title is left out.
 
 Only an encoder that is too costly per row needs a shuffle, of the rows that
 fail a gate and are not hot; no title among them is frequent, so no task gets
@@ -30,15 +29,20 @@ from titlelabels.operators.rules import rule_sql
 from titlelabels.rulepack import RULES, Rule
 from titlelabels.session import checkpointed
 from titlelabels.sources.encoders import Encoder, HashedTokens
-from titlelabels.taxonomy import Settings
+from titlelabels.taxonomy import DIMS, LABELS, Settings
 
 KEY = "__title_key"
 FOUND = "__title_found"
 
-# Upper bound for one result: every label, every tag and both score maps.
-RESULT_BYTES = 4_096
-# Longer titles are looked up by their hash, so that a key has a bound too.
-KEY_BYTES = 1_024
+# Titles are looked up by their hash, 64 letters.
+KEY_BYTES = 64
+
+
+def result_bytes(rules: tuple[Rule, ...]) -> int:
+    """Upper bound for one result of a pack: every tag, every label as result and in its score map."""
+    labels = {x for r in rules for d in DIMS for x in r.labels(d)} | {x for d in DIMS for x in LABELS[d]}
+    texts = [r.tag for r in rules] + 2 * sorted(labels)
+    return 256 + sum(len(t.encode()) + 24 for t in texts) + 8 * len(labels)
 
 
 @dataclass(frozen=True)
@@ -53,15 +57,11 @@ class Limits:
 class TitleStats:
     rows: int
     titles: int
-    bytes: int
-
-    def fits(self, limits: Limits) -> bool:
-        return self.titles <= limits.titles and self.bytes + self.titles * RESULT_BYTES <= limits.bytes
 
-    def hot_cut(self, limits: Limits) -> int:
-        """Rows a title must have to count as hot; at most ``hot_limit`` titles reach it."""
-        hot_limit = max(1, min(limits.titles, limits.bytes // (RESULT_BYTES + KEY_BYTES + 1)))
-        return max(2, ceil(self.rows / hot_limit))
+    def cut(self, limits: Limits, each: int) -> int:
+        """Rows a title must have to be broadcast; at most as many titles reach it as fit, at ``each`` bytes."""
+        most = max(1, min(limits.titles, limits.bytes // (each + KEY_BYTES)))
+        return 1 if self.titles <= most else max(2, ceil(self.rows / most))
 
 
 @dataclass(frozen=True)
@@ -93,11 +93,8 @@ class Labeller:
 
 
 def lookup_key(title: str) -> Column:
-    """The title, or its hash if it is long; the first letter tells which."""
-    return F.expr(
-        f"CASE WHEN octet_length({title}) <= {KEY_BYTES} THEN concat('t', {title}) "
-        f"ELSE concat('h', sha2({title}, 256)) END"
-    )
+    """The title's hash, whatever its length."""
+    return F.sha2(F.col(title), 256)
 
 
 def title_counts(df: DataFrame, title_col: str) -> DataFrame:
@@ -119,9 +116,8 @@ def title_stats(counts: DataFrame) -> TitleStats:
     row = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("titles"),
-        F.coalesce(F.sum(F.octet_length(lookup_key("title"))), F.lit(0)).alias("bytes"),
     ).first()
-    return TitleStats(row["rows"], row["titles"], row["bytes"])
+    return TitleStats(row["rows"], row["titles"])
 
 
 def _answer(rows: DataFrame, titles: DataFrame, labeller: Labeller) -> DataFrame:
@@ -144,12 +140,10 @@ def _found(rows: DataFrame, labeller: Labeller) -> DataFrame:
     if rows.isStreaming or not labeller.encoder.by_title:
         return labeller.score(rows, KEY, FOUND)
     counts = distinct_titles(rows, KEY)
-    stats = title_stats(counts)
-    if stats.fits(labeller.limits):
-        return _answer(rows, counts, labeller)
-
-    answered = _answer(rows, counts.filter(F.col("n") >= stats.hot_cut(labeller.limits)), labeller)
-    # A row that has its answer is given no text, which makes its own scoring next to free.
+    cut = title_stats(counts).cut(labeller.limits, result_bytes(labeller.rules))
+    answered = _answer(rows, counts.filter(F.col("n") >= cut), labeller)
+    # Every row without an answer is scored on its own, also where the rows read now are not
+    # those counted before. A row that has its answer is given no text, which makes that next to free.
     cold = answered.withColumn("__cold", F.when(F.col(FOUND).isNull(), F.col(KEY)))
     if labeller.encoder.per_row:
         own = labeller.score(cold, "__cold", "__own")

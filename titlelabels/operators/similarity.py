@@ -34,12 +34,13 @@ def above(ranked: str, threshold: float) -> str:
 
 
 def best_score(kept: str, settings: Settings) -> str:
-    return f"coalesce(round(get({kept}, 0).score, {settings.digits}), 0.0D)"
+    """Halves round to the even digit, here and in the map."""
+    return f"coalesce(bround(get({kept}, 0).score, {settings.digits}), 0.0D)"
 
 
 def score_map(scores: str, settings: Settings) -> str:
     """Label to rounded score, labels below the threshold included."""
-    return f"map_from_entries(transform({scores}, r -> struct(r.label, round(r.score, {settings.digits}))))"
+    return f"map_from_entries(transform({scores}, r -> struct(r.label, bround(r.score, {settings.digits}))))"
 
 
 def similarity_sql(vector: str, library: str, settings: Settings = Settings(), sparse: bool = False) -> str:

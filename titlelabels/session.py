@@ -27,11 +27,13 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Where the setting is missing, as on a single machine, a temporary folder takes its place.
+    On a single machine a temporary folder takes its place; a cluster without the setting is an error.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="titlelabels-"))
     elif context.getCheckpointDir() is None:
         context.setCheckpointDir(named)

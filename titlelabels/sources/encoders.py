@@ -60,7 +60,7 @@ class HashedTokens(Encoder):
 
     def bucket_list(self, title: str) -> str:
         """Ascending bucket numbers of all tokens, repeats included."""
-        tokens = f"filter(split(upper({title}), '[^A-Z0-9]+'), tok -> tok != '')"
+        tokens = f"filter(split(upper({title}), '[^\\\\p{{L}}\\\\p{{N}}]+'), tok -> tok != '')"
         number = "cast(conv(substr(md5(cast(tok AS binary)), 1, 8), 16, 10) AS bigint)"
         return f"array_sort(transform({tokens}, tok -> cast(pmod({number}, {self.buckets}) AS int)))"
 
@@ -80,31 +80,50 @@ class HashedTokens(Encoder):
 
 
 class VectorTable(Encoder):
-    """Vectors computed elsewhere: a table of titles with one vector each.
+    """Vectors computed elsewhere: a table of titles with one vector each, of any length.
 
     ``anchors`` holds the vectors of the anchor phrases, ``dim, label, v``. A
-    title that is not in the table gets no scores.
+    title that is not in the table is an error, or, with ``missing="rules"``,
+    gets no scores and so what the rules say.
     """
 
-    def __init__(self, vectors: DataFrame, anchors: DataFrame, title_col: str = "title", vector_col: str = "v"):
-        # One row per title whatever the table holds, so that the join cannot multiply rows.
-        self.vectors = vectors.groupBy(F.col(title_col).alias("__vt_title")).agg(
-            F.min(F.col(vector_col).cast("array<double>")).alias("__vt_v")
-        )
+    def __init__(
+        self,
+        vectors: DataFrame,
+        anchors: DataFrame,
+        title_col: str = "title",
+        vector_col: str = "v",
+        missing: str = "raise",
+    ):
+        if missing not in ("raise", "rules"):
+            raise ValueError("missing must be 'raise' or 'rules'")
+        found = vectors.select(F.col(title_col).alias("__vt_title"), F.col(vector_col).alias("__vt_v"))
+        self.vectors = normalised(found, "__vt_v")
         self.anchors = anchors
+        self.missing = missing
 
     def add_vectors(self, df: DataFrame, title: str, out: str, wanted: str | None = None) -> DataFrame:
         keyed = df.withColumn("__vt_key", F.expr(_where(wanted, title)))
-        joined = keyed.join(self.vectors, F.col("__vt_key") == F.col("__vt_title"), "left")
-        return joined.withColumn(out, F.col("__vt_v")).drop("__vt_key", "__vt_title", "__vt_v")
+        # Rows that want no vector stay out of the join, where they would share one key.
+        asking = keyed.filter(F.col("__vt_key").isNotNull())
+        titles = asking.select(F.col("__vt_key").alias("__vt_title")).distinct()
+        # Only wanted vectors are brought together: one row per title, so that the join cannot multiply rows.
+        known = self.vectors.join(titles, "__vt_title", "left_semi").groupBy("__vt_title").agg(F.min("__vt_v").alias("__vt_v"))
+        joined = asking.join(known, F.col("__vt_key") == F.col("__vt_title"), "left")
+        vector = F.col("__vt_v")
+        if self.missing == "raise":
+            vector = F.coalesce(vector, F.raise_error(F.concat(F.lit("no vector for title "), "__vt_key")).cast("array<double>"))
+        joined = joined.withColumn(out, vector).drop("__vt_title", "__vt_v")
+        rest = keyed.filter(F.col("__vt_key").isNull()).withColumn(out, F.lit(None).cast("array<double>"))
+        return joined.unionByName(rest).drop("__vt_key")
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
-        return self.anchors.select("dim", "label", F.col("v").cast("array<double>").alias("v"))
+        return normalised(self.anchors.select("dim", "label", "v"))
 
 
 @dataclass(frozen=True)
 class VectorColumn(Encoder):
-    """The vector stands beside the title already, in column ``vector_col``."""
+    """The vector stands beside the title already, in column ``vector_col``, of any length."""
 
     vector_col: str
     anchors: DataFrame
@@ -115,10 +134,10 @@ class VectorColumn(Encoder):
         return VectorColumn(names[self.vector_col], self.anchors)
 
     def sql(self, title: str) -> str:
-        return f"cast({self.vector_col} AS array<double>)"
+        return let("raw", f"cast({self.vector_col} AS array<double>)", unit("raw"))
 
     def anchor_vectors(self, anchors: DataFrame) -> DataFrame:
-        return self.anchors.select("dim", "label", F.col("v").cast("array<double>").alias("v"))
+        return normalised(self.anchors.select("dim", "label", "v"))
 
 
 @lru_cache(maxsize=4)
