@@ -354,4 +354,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns; of every component only the row that names it. Rows with null ids or without words stay."""
     others = near_duplicates(df, id_col, text_col).where(F.col(id_col) != F.col("component_id"))
-    return df.join(others.select(id_col).distinct(), id_col, "left_anti")
+    others = checkpointed(others.select(F.col(id_col).alias("_other")).distinct())
+    # Few ids are broadcast, so that the texts stay where they are.
+    others = F.broadcast(others) if others.count() <= BROADCAST_ROWS else others
+    return df.join(others, F.col(id_col) == F.col("_other"), "left_anti")
