@@ -9,7 +9,7 @@ from titlelabels import Labeller, Limits, classify_notes, label_notes, run
 from titlelabels.anchors import anchor_rows, anchor_table
 from titlelabels.operators.rules import with_rules
 from titlelabels.plans import reports
-from titlelabels.session import shared_folder
+from titlelabels.session import checkpoint_root, shared_folder
 from titlelabels.sources.notes import eligible_notes, scan_notes
 from titlelabels.sources.sinks import cluster_by_labels, write_anchors, write_notes
 from titlelabels.streaming.notes import label_batches, with_rule_struct
@@ -151,3 +151,24 @@ def test_shared_folder_follows_the_setting(spark):
     if root:
         assert shared_folder(spark).startswith(root)
     assert shared_folder(spark) != shared_folder(spark)
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    shared, source = Path(checkpoint_root(spark).removeprefix("file:")), str(tmp_path / "in")
+    rows = [("COMPLETED", "INPATIENT", "NURSING PROGRESS NOTE"), ("SIGNED", "INPATIENT", "CONSULT"), ("COMPLETED", "OUT", "SOAP")]
+    spark.createDataFrame(rows, "status string, patient_class string, note_title string").write.parquet(source)
+    before = set(shared.iterdir())
+    columns = ("status", "note_title")
+    run(spark, source, path=str(tmp_path / "out"), columns=columns, z_order=True)
+    run(spark, source, path=str(tmp_path / "all"), columns=columns, statuses=("COMPLETED", "SIGNED"), classes=("INPATIENT", "OUT"))
+    assert set(shared.iterdir()) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1 and spark.read.parquet(str(tmp_path / "all")).count() == 3
+
+
+def test_a_hot_group_of_one_task_is_cut_too(spark):
+    df = spark.range(8000).coalesce(1).selectExpr("id", "'SOAP' AS note_title")
+    from titlelabels.sources.sinks import cluster_by_labels
+
+    out = cluster_by_labels(classify_notes(df), files=8)
+    sizes = [len(p) for p in out.select("id").rdd.glom().collect()]
+    assert max(sizes) < 3000

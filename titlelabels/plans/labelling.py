@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from titlelabels.operators.classify import Labeller, classify_notes
-from titlelabels.sources.notes import NOTE_COLUMNS, eligible_notes, scan_notes
+from titlelabels.session import scratch
+from titlelabels.sources.notes import NOTE_COLUMNS, PATIENT_CLASSES, STATUSES, eligible_notes, scan_notes
 from titlelabels.sources.sinks import write_notes
 
 
@@ -16,9 +17,11 @@ def label_notes(
     title_col: str = "note_title",
     columns: Sequence[str] = NOTE_COLUMNS,
     labeller: Labeller | None = None,
+    statuses: Sequence[str] = STATUSES,
+    classes: Sequence[str] = PATIENT_CLASSES,
 ) -> DataFrame:
     """Eligible notes with their labels."""
-    return classify_notes(eligible_notes(notes, columns), title_col, labeller)
+    return classify_notes(eligible_notes(notes, columns, statuses, classes), title_col, labeller)
 
 
 def run(
@@ -32,7 +35,11 @@ def run(
     labeller: Labeller | None = None,
     fmt: str = "parquet",
     files: int | None = None,
+    z_order: bool = False,
+    statuses: Sequence[str] = STATUSES,
+    classes: Sequence[str] = PATIENT_CLASSES,
 ) -> None:
-    """Label a note table and write it, clustered by labels and source."""
-    labelled = label_notes(scan_notes(spark, source), title_col, columns, labeller)
-    write_notes(labelled, table=table, path=path, fmt=fmt, files=files)
+    """Label a note table and write it, clustered by labels and source; what is kept on the way is deleted."""
+    with scratch(spark):
+        labelled = label_notes(scan_notes(spark, source), title_col, columns, labeller, statuses, classes)
+        write_notes(labelled, table=table, path=path, fmt=fmt, files=files, z_order=z_order)

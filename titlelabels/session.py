@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +48,32 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/titlelabels-{uuid4().hex}"
 
 
+_scratch: ContextVar[str | None] = ContextVar("_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder below the shared one for everything kept inside the block; deleted at its end."""
+    folder = shared_folder(spark)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back."""
-    checkpoint_root(df.sparkSession)
+    """The rows written to the shared folder and read back.
+
+    Inside :func:`scratch` they are a table in its folder; else a checkpoint, which Spark
+    removes if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    """
+    spark, folder = df.sparkSession, _scratch.get()
+    if folder is not None:
+        path = f"{folder}/{uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    checkpoint_root(spark)
     return df.checkpoint()

@@ -27,6 +27,11 @@ def has_class(classes: Sequence[str] = PATIENT_CLASSES) -> Column:
     return F.col("patient_class").isin(*classes)
 
 
-def eligible_notes(notes: DataFrame, columns: Sequence[str] = NOTE_COLUMNS) -> DataFrame:
+def eligible_notes(
+    notes: DataFrame,
+    columns: Sequence[str] = NOTE_COLUMNS,
+    statuses: Sequence[str] = STATUSES,
+    classes: Sequence[str] = PATIENT_CLASSES,
+) -> DataFrame:
     """Signed notes of inpatients, reduced to ``columns``; a null on either side drops the row."""
-    return notes.filter(has_status() & has_class()).select(*columns)
+    return notes.filter(has_status(statuses) & has_class(classes)).select(*columns)

@@ -52,14 +52,15 @@ def z_value(roles: Column, note_types: Column, source: Column) -> Column:
 def cluster_by_labels(df: DataFrame, files: int | None = None, z_order: bool = False) -> DataFrame:
     """Rows with equal labels and source side by side: a range shuffle and a sort inside each task.
 
-    One combination of labels may hold a large part of all rows. The number of
-    the task a row comes from is the last range key, so such a combination is
-    cut into several ranges; unlike a random number it stays the same when a
-    task is run again.
+    One combination of labels may hold a large part of all rows, also of one task's. A hash
+    of the row's own columns and its task is the last range key, so such a combination is cut into
+    several ranges; it stays the same when a task is run again.
     """
     out = with_layout_keys(df)
     z = z_value(F.col("note_roles"), F.col("note_types"), F.col("clf_source")) if z_order else F.lit(0)
-    out = out.withColumns({"__z": z, "__task": F.spark_partition_id()})
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "struct", "array", "variant")]
+    cut = F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id())
+    out = out.withColumns({"__z": z, "__task": cut})
     keys = [*(["__z"] if z_order else []), ROLE_KEY, TYPE_KEY, "clf_source"]
     ranged = out.repartitionByRange(*([files] if files else []), *keys, "__task")
     return ranged.sortWithinPartitions(*keys).drop("__z", "__task")

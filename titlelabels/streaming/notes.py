@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from titlelabels.operators.classify import Labeller, classify_notes
 from titlelabels.operators.rules import rule_struct
 from titlelabels.rulepack import RULES, Rule
+from titlelabels.session import scratch
 
 
 def with_rule_struct(stream: DataFrame, title_col: str = "note_title", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -32,10 +33,16 @@ def label_batches(
     """Label every micro-batch and hand it to ``write(batch, batch_id)``.
 
     A batch can come again after a failure, so ``write`` must replace what it
-    wrote for the same ``batch_id``.
+    wrote for the same ``batch_id``. It must write before it returns: what the
+    batch kept on the way is deleted then.
     """
+
+    def label(batch: DataFrame, number: int) -> None:
+        with scratch(batch.sparkSession):
+            write(classify_notes(batch, title_col, labeller), number)
+
     return (
-        stream.writeStream.foreachBatch(lambda b, n: write(classify_notes(b, title_col, labeller), n))
+        stream.writeStream.foreachBatch(label)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
