@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlelabels.llm.common import SLICE
-from titlelabels.llm.graph import components
+from titlelabels.llm.graph import compact, components
 from titlelabels.llm.words import LOWER, shingles, word_hashes
 from titlelabels.session import checkpointed, shared_folder
 
@@ -308,20 +308,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = spark.read.parquet(f"{folder}/survey")
     prefixes(docs, common_shingles(first_shingles(docs))).write.parquet(f"{folder}/prefixes")
     sets = spark.read.parquet(f"{folder}/prefixes")
-    held = checkpointed(buckets(sets))
+    held = compact(buckets(sets))
     met = held.groupBy("node").agg(F.count("*").cast("int").alias("met"))
     length = (F.size("rare") + F.size("often")).alias("length")
-    about = checkpointed(sets.select("node", "n", "shared", length).join(met, "node").dropDuplicates(["node"]))
-    held = checkpointed(held.join(about, "node"))
+    about = compact(sets.select("node", "n", "shared", length).join(met, "node").dropDuplicates(["node"]))
+    held = compact(held.join(about, "node"))
     # Sets of the nodes that any pair so far needs; prefixes of all nodes in buckets.
-    sets = sets.join(about.select("node"), "node", "left_semi")
+    sets = compact(sets.join(about.select("node"), "node", "left_semi"))
 
     links = decided = None
     for turn in range(STAR_ROUNDS + 1):
         if turn == 0:
             pairs = _stars(held)
         else:
-            left = checkpointed(_open(held, checkpointed(components(links))))
+            left = compact(_open(held, compact(components(links))))
             if left.isEmpty():
                 break
             if turn < STAR_ROUNDS:
@@ -332,15 +332,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             else:
                 pairs = _rest(left, sets)
             pairs = pairs.join(decided.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = checkpointed(_likely(pairs, sets))
+        pairs = compact(_likely(compact(pairs), sets))
         live = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ids = nodes.join(live, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
-        new = checkpointed(overlaps(pairs, segments(docs, checkpointed(ids))))
+        new = compact(overlaps(pairs, segments(docs, compact(ids))))
         found_links = new.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
         decided = new if decided is None else decided.unionByName(new)
-        links = found_links if links is None else checkpointed(links.unionByName(found_links))
+        links = found_links if links is None else compact(links.unionByName(found_links))
 
-    member = checkpointed(components(links))
+    member = compact(components(links))
     placed = nodes.join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
     least = placed.where("_key is not null").groupBy("_key").agg(F.min("id").alias("_least"))
     out = placed.join(least, "_key", "left")

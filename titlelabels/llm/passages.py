@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlelabels.llm.common import SLICE
-from titlelabels.llm.graph import components
+from titlelabels.llm.graph import compact, components
 from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, near, overlaps, set_key
 from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
-from titlelabels.session import checkpointed, shared_folder
+from titlelabels.session import shared_folder
 
 LEAST_WORDS = 20
 UNIT = 20
@@ -166,11 +166,11 @@ def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
     # One shuffle gives the count and the rows alike, and reads the texts once.
     bucket = Window.partitionBy("band")
     rows = banded(docs).withColumns({"_low": F.min("node").over(bucket), "_high": F.max("node").over(bucket)})
-    held = checkpointed(rows.where("_low < _high").select("band", "node", "n").distinct())
+    held = compact(rows.where("_low < _high").select("band", "node", "n").distinct())
     # The paragraph that collides most is nearest to what the others were made from: it leads.
     size = held.groupBy("band").agg(F.count("*").alias("_size"))
     ranked = held.join(size, "band").groupBy("node").agg(F.sum("_size").alias("_met"))
-    held = checkpointed(held.join(ranked, "node"))
+    held = compact(held.join(ranked, "node"))
     tops = held.groupBy("band").agg(F.max(F.struct("_met", "node", "n")).alias("_top"))
     pairs = held.join(tops, "band").where(F.col("node") != F.col("_top.node"))
     swap = F.col("node") > F.col("_top.node")
@@ -181,10 +181,10 @@ def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
         pick("n", "_top.n").alias("n_a"),
         pick("_top.n", "n").alias("n_b"),
     )
-    pairs = checkpointed(pairs.where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")).distinct())
+    pairs = compact(pairs.where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")).distinct())
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = paragraphs.join(nodes.withColumnRenamed("node", "key"), "key", "left_semi")
-    wanted = checkpointed(wanted.groupBy(F.col("key").alias("node")).agg(F.min("id").alias("id")))
+    wanted = compact(wanted.groupBy(F.col("key").alias("node")).agg(F.min("id").alias("id")))
     return overlaps(pairs, parts(docs, wanted)).where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
 
 
@@ -192,7 +192,7 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs in two documents or more, with ``removed``: false for the first occurrence."""
     place = F.struct("id", "begin")
     seen = rows.groupBy(key).agg(F.min(place).alias("_first"), F.max("id").alias("_last")).where("_first.id < _last")
-    out = rows.join(checkpointed(seen.select(key, "_first")), key)  # on its own, so that Spark can split a hot key
+    out = rows.join(compact(seen.select(key, "_first")), key)  # on its own, so that Spark can split a hot key
     return out.withColumn("removed", place != F.col("_first")).drop("_first")
 
 
@@ -208,17 +208,17 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     found = spark.read.parquet(f"{folder}/units")
 
     paragraphs = found.where("n is not null").select("key", "id", "begin", "end")
-    member = checkpointed(components(linked(docs, paragraphs)))
+    member = compact(components(linked(docs, paragraphs)))
     placed = paragraphs.join(member.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("cluster", F.coalesce("component", "key")).select("id", "begin", "end", "cluster")
     lines = _repeated(placed, "cluster").withColumn("kind", F.lit("paragraph"))
 
-    windows = checkpointed(_repeated(found.where("n is null").select("key", "id", "begin", "end"), "key"))
+    windows = compact(_repeated(found.where("n is null").select("key", "id", "begin", "end"), "key"))
     by_doc = Window.partitionBy("id", "removed").orderBy("begin", "end")
     before = F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     spans = windows.withColumns({"_new": F.coalesce((F.col("begin") > before).cast("int"), F.lit(1)), "_last": F.lag("key").over(by_doc)})
     touching = spans.where("_new = 0 and key <> _last").select(F.col("key").alias("a"), F.col("_last").alias("b")).distinct()
-    together = checkpointed(components(touching))
+    together = compact(components(compact(touching)))
     spans = spans.withColumn("_span", F.sum("_new").over(by_doc))
     spans = spans.groupBy("id", "removed", "_span").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("key").alias("node"))
     spans = spans.join(together, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
