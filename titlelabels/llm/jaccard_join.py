@@ -258,6 +258,14 @@ def _stars(rows: DataFrame) -> DataFrame:
     return _pairs(_named(rows, "x").join(tops, "shingle"))
 
 
+def _prefixes_of(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """node and prefix of the given nodes only; few of them are broadcast, so that other sets stay where they are."""
+    nodes = compact(nodes.distinct())
+    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+    found = sets.join(nodes, "node", "left_semi")
+    return found.select("node", F.concat("rare", "often").alias("prefix")).dropDuplicates(["node"])
+
+
 def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """All pairs of a bucket's nodes in different components that are within reach.
 
@@ -266,8 +274,7 @@ def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """
     rows = rows.withColumn("prefix", F.array().cast("array<bigint>"))
     cold, hot = rows.where("not hot"), rows.where("hot").drop("prefix")
-    prefix = sets.select("node", F.concat("rare", "often").alias("prefix")).dropDuplicates(["node"])
-    hot = hot.join(prefix, "node")
+    hot = hot.join(_prefixes_of(hot.select("node"), sets), "node")
 
     def join(part: DataFrame, enough: list[F.Column]) -> DataFrame:
         x, y = _named(part, "x", "component", "prefix"), _named(part, "y", "component", "prefix")
@@ -283,9 +290,10 @@ def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that are within reach by the prefix shingles they share."""
-    prefix = F.concat("rare", "often")
+    live = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    found = compact(_prefixes_of(live, sets))
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), prefix.alias(f"prefix_{side}")).dropDuplicates([side]), side)
+        pairs = pairs.join(found.select(F.col("node").alias(side), F.col("prefix").alias(f"prefix_{side}")), side)
     return pairs.where(within_reach("a", "b", F.size(F.array_intersect("prefix_a", "prefix_b")))).select("a", "b", "n_a", "n_b")
 
 
