@@ -462,6 +462,42 @@ def test_passages_cluster_near_paragraphs_and_cut_them(spark):
     assert out[2].strip() == "foot" and out[5].strip() == ""
 
 
+def test_paragraphs_that_meet_in_a_band_are_all_compared(spark):
+    r = random.Random(11)
+    rows = []
+    for group in range(3):  # drifting copies: every one is near its neighbours only
+        words = prose(60, 300 + group).split()
+        for _ in range(60):
+            words[r.randrange(60)] = f"neu{r.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = df.select(F.col("doc_id").alias("id"), "text")
+    sets = {i: next(iter(passages.Text(t).paragraphs()))[2] for i, t in rows}
+    keys = {i: passages.set_key(s) for i, s in sets.items()}
+    held = defaultdict(set)
+    for i, s in sets.items():
+        for band in passages.bands(s).tolist():
+            held[band].add(i)
+    parent = {k: k for k in keys.values()}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for members in held.values():
+        for a in members:
+            for b in members:
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if a < b and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = find(keys[a]), find(keys[b])
+                    parent[max(x, y)] = min(x, y)
+    want = {k: find(k) for k in parent}
+    paragraphs = passages.units(docs).where("n is not null").select("key", "id", "begin", "end")
+    got = {x.node: x.component for x in components(passages.linked(docs, paragraphs)).collect()}
+    assert {k: got.get(k, k) for k in want} == want
+
+
 def test_windows_do_not_depend_on_what_stands_around():
     inner = prose(51, 77)
     own = set(passages.Text(prose(30, 1) + " " + inner + " " + prose(40, 2)).windows()[0].tolist())

@@ -2,9 +2,9 @@
 
 A paragraph is a line of ``LEAST_WORDS`` words or more, as a set of word shingles. Its
 MinHash is cut into bands tuned for recall (at similarity 0.8 a pair shares a band with
-probability 0.998); paragraphs that collide in a band are joined, most often colliding one first, and
-kept as links where the exact Jaccard similarity is 0.8 or more. Connected paragraphs are one
-cluster: its first occurrence stays, the others are removals.
+probability 0.998); paragraphs that collide in a band are compared, most often colliding one first, then
+all that no link connects yet, and linked where the exact Jaccard similarity is 0.8 or more. Connected
+paragraphs are one cluster: its first occurrence stays, the others are removals.
 
 A passage that repeats inside otherwise different paragraphs is found through windows of
 ``UNIT`` words that begin where a 5-gram has the least hash among its ``REACH`` neighbours.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
-from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, near, overlaps, set_key
+from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, STAR_ROUNDS, near, overlaps, set_key
 from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
 from titlelabels.session import shared_folder
 
@@ -36,6 +36,8 @@ UNIT = 20
 REACH = 27
 BANDS = 9
 ROWS = 3
+#: Fragments of a set that sift the last pairs of a band before their whole sets are compared.
+SIFTED = 2
 
 _rng = np.random.default_rng(99)
 _SEEDS = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -161,8 +163,37 @@ def parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node", "fragment"])
 
 
+def _compared(rows: DataFrame, tops: DataFrame) -> DataFrame:
+    """Distinct pairs of every row's node with its band's leader (column _top), the smaller node as a; sizes that leave 0.8 within reach."""
+    pairs = rows.join(tops, "band").where(F.col("node") != F.col("_top.node"))
+    return _ordered(pairs, ("node", "n"), ("_top.node", "_top.n"))
+
+
+def _ordered(pairs: DataFrame, x: tuple[str, str], y: tuple[str, str]) -> DataFrame:
+    swap = F.col(x[0]) > F.col(y[0])
+    pick = [F.when(swap, F.col(v)).otherwise(F.col(u)).alias(name) for u, v, name in ((x[0], y[0], "a"), (y[0], x[0], "b"), (x[1], y[1], "n_a"), (y[1], x[1], "n_b"))]
+    return pairs.select(*pick).where(near("n_a", "n_b", F.least("n_a", "n_b"))).distinct()
+
+
+def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of a band's nodes in different components whose shingles in the first fragments leave 0.8 within reach."""
+    begun = sets.where(F.col("fragment") < SIFTED).groupBy("node").agg(F.flatten(F.collect_list("part")).alias("begun"))
+    rows = compact(rows.join(begun, "node", "left").withColumn("begun", F.coalesce("begun", F.array().cast("array<bigint>"))))
+    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "component", "begun")] for side in ("x", "y"))
+    x, y = rows.select("band", *x), rows.select(F.col("band").alias("_band"), *y)
+    behind = F.least(F.col("n_x") - F.size("begun_x"), F.col("n_y") - F.size("begun_y"))
+    fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
+    fits &= near("n_x", "n_y", F.least("n_x", "n_y"))
+    fits &= near("n_x", "n_y", F.size(F.array_intersect("begun_x", "begun_y")) + behind)
+    return _ordered(x.join(y, (x.band == y._band) & fits), ("node_x", "n_x"), ("node_y", "n_y"))
+
+
 def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different paragraphs of similarity 0.8 or more that collide in a band."""
+    """Pairs (a, b) of different paragraphs of similarity 0.8 or more that connect all such paragraphs that collide in a band.
+
+    Every band's leader is compared with the others first, in ``STAR_ROUNDS`` rounds; then
+    all pairs of a band that are still in different components.
+    """
     # One shuffle gives the count and the rows alike, and reads the texts once.
     bucket = Window.partitionBy("band")
     rows = banded(docs).withColumns({"_low": F.min("node").over(bucket), "_high": F.max("node").over(bucket)})
@@ -171,21 +202,38 @@ def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
     size = held.groupBy("band").agg(F.count("*").alias("_size"))
     ranked = held.join(size, "band").groupBy("node").agg(F.sum("_size").alias("_met"))
     held = compact(held.join(ranked, "node"))
-    tops = held.groupBy("band").agg(F.max(F.struct("_met", "node", "n")).alias("_top"))
-    pairs = held.join(tops, "band").where(F.col("node") != F.col("_top.node"))
-    swap = F.col("node") > F.col("_top.node")
-    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    pairs = pairs.select(
-        pick("node", "_top.node").alias("a"),
-        pick("_top.node", "node").alias("b"),
-        pick("n", "_top.n").alias("n_a"),
-        pick("_top.n", "n").alias("n_b"),
-    )
-    pairs = compact(pairs.where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")).distinct())
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = paragraphs.join(nodes.withColumnRenamed("node", "key"), "key", "left_semi")
+    wanted = paragraphs.join(held.select(F.col("node").alias("key")).distinct(), "key", "left_semi")
     wanted = compact(wanted.groupBy(F.col("key").alias("node")).agg(F.min("id").alias("id")))
-    return overlaps(pairs, parts(docs, wanted)).where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
+    sets = compact(parts(docs, wanted))
+
+    links = decided = None
+    for turn in range(STAR_ROUNDS + 1):
+        if turn == 0:
+            pairs = _compared(held, held.groupBy("band").agg(F.max(F.struct("_met", "node", "n")).alias("_top")))
+        else:
+            left = compact(_open(held, compact(components(links))))
+            if left.isEmpty():
+                break
+            if turn < STAR_ROUNDS:
+                # The component of the band's leader steps back, and the best of the others leads.
+                first = left.groupBy("band").agg(F.max(F.struct("_met", "node", "component")).alias("_top"))
+                others = left.join(first.select("band", F.col("_top.component").alias("_first")), "band").where("component <> _first")
+                pairs = _compared(others, others.groupBy("band").agg(F.max(F.struct("_met", "node", "n")).alias("_top")))
+            else:
+                pairs = _rest(left, sets)
+            pairs = pairs.join(decided, ["a", "b"], "left_anti").select("a", "b", "n_a", "n_b")
+        pairs = compact(pairs)
+        decided = pairs.select("a", "b") if decided is None else decided.unionByName(pairs.select("a", "b"))
+        new = compact(overlaps(pairs, sets).where(near("n_a", "n_b", F.col("overlap"))).select("a", "b"))
+        links = new if links is None else compact(links.unionByName(new))
+    return links
+
+
+def _open(rows: DataFrame, member: DataFrame) -> DataFrame:
+    """Band rows with their node's component, in bands that hold more than one."""
+    rows = rows.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return rows.join(mixed.where("_low < _high").select("band"), "band", "left_semi")
 
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
