@@ -498,6 +498,36 @@ def test_paragraphs_that_meet_in_a_band_are_all_compared(spark):
     assert {k: got.get(k, k) for k in want} == want
 
 
+def test_passages_cover_shared_runs_to_their_ends(spark):
+    rows = []
+    for k in range(30):  # runs of 51 words and more, in three documents each; a part of some is in an earlier one
+        inner = prose(51 + 3 * k, 500 + k)
+        if k % 3 == 0:
+            rows.append((len(rows), prose(40, 600 + k) + " " + " ".join(inner.split()[8:-9]) + " " + prose(30, 650 + k)))
+        rows += [(len(rows) + j, prose(35 + k, 700 + 3 * k + j) + "\n" * (j % 2) + " é " + inner + " " + prose(25, 800 + 3 * k + j)) for j in range(3)]
+    rows += [(900 + j, "same " * 120) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = defaultdict(list)
+    for x in passages.repeats(df).where("kind = 'passage' and removed").collect():
+        got[x.doc_id].append((x.begin, x.end))
+    first, runs = {}, defaultdict(set)
+    for i, text in rows:
+        spots = [m.span() for m in re.finditer(r"\S+", text)]
+        words = [text[a:b].lower() for a, b in spots]
+        for size, seen in ((51, True), (20, False)):
+            for k in range(len(words) - size + 1):
+                run = tuple(words[k : k + size])
+                if first.setdefault(run, i) != i:
+                    if seen:
+                        assert any(a <= spots[k][0] and spots[k + size - 1][1] <= b for a, b in got[i]), (i, k)
+                    else:
+                        runs[i] |= set(range(spots[k][0], spots[k + 19][1]))
+    for i, spans in got.items():  # and nothing but repeated runs
+        assert {x for a, b in spans for x in range(a, b)} <= runs[i] | (set(range(600)) if i == 900 else set())
+    out = {x.doc_id: x.text for x in passages.without_repeats(df).collect()}
+    assert out[900].split()[:20] == ["same"] * 20 and out[901].strip() == ""
+
+
 def test_windows_do_not_depend_on_what_stands_around():
     inner = prose(51, 77)
     own = set(passages.Text(prose(30, 1) + " " + inner + " " + prose(40, 2)).windows()[0].tolist())

@@ -9,7 +9,9 @@ paragraphs are one cluster: its first occurrence stays, the others are removals.
 A passage that repeats inside otherwise different paragraphs is found through windows of
 ``UNIT`` words that begin where a 5-gram has the least hash among its ``REACH`` neighbours.
 Whatever the text around, any passage of over 50 words that two documents share holds such
-a window, the same in both. Equal windows that touch in a document are one span.
+a window, the same in both. These are seeds only: within ``REACH`` words of a seed that
+repeats, every run of ``UNIT`` words is looked up, so that a shared run is found with its
+real ends, and no word of it is between two windows. Repeated runs that touch in a document are one span.
 
 Null texts, empty ones and lines under ``LEAST_WORDS`` words take no part. Repeats inside one
 document are not repeats across documents and stay. Spans are in code points, ends exclusive. Rows
@@ -64,19 +66,39 @@ class Text:
                 found = np.sort(shingles(self.words[a:b], SIZE))
                 yield int(self.starts[a]), int(self.ends[b - 1]), found[np.concatenate([[True], found[1:] != found[:-1]])]
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, begins and ends of the windows."""
+    def runs(self, first: np.ndarray) -> np.ndarray:
+        """Keys of the runs of ``UNIT`` words that begin at the words ``first``."""
+        key = np.zeros(len(first), np.uint64)
+        for k in range(UNIT):
+            key += self.words[first + k] * _PLACES[k]
+        return mix(key)
+
+    def anchors(self) -> np.ndarray:
+        """First words of the windows."""
         n = len(self.words)
-        grams = shingles(self.words, SIZE)
         if n < UNIT:
-            return grams[:0], self.starts[:0], self.starts[:0]
+            return np.zeros(0, np.int64)
+        grams = shingles(self.words, SIZE)
         width = min(REACH, len(grams))
         around = np.lib.stride_tricks.sliding_window_view(grams, width)
         first = np.unique(around.argmin(axis=1) + np.arange(len(around)))
-        first = first[first + UNIT <= n]
-        words = self.words[first[:, None] + np.arange(UNIT)]
-        keys = mix((words * _PLACES).sum(axis=1, dtype=np.uint64))
-        return keys, self.starts[first], self.ends[first + UNIT - 1]
+        return first[first + UNIT <= n]
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, begins and ends of the windows."""
+        first = self.anchors()
+        return self.runs(first), self.starts[first], self.ends[first + UNIT - 1]
+
+    def around(self, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the runs within ``REACH`` words of the windows with these begins, and whether each is such a window."""
+        n = len(self.words) - UNIT + 1
+        at = np.searchsorted(self.starts, begins)
+        at = at[(at < n) & (self.starts[np.minimum(at, len(self.starts) - 1)] == begins)] if n > 0 else at[:0]
+        steps = np.zeros(max(n, 0) + 1, np.int64)
+        np.add.at(steps, np.maximum(at - REACH, 0), 1)
+        np.add.at(steps, np.minimum(at + REACH + 1, n), -1)
+        first = np.flatnonzero(np.cumsum(steps[:-1]))
+        return first, np.isin(first, at)
 
 
 def bands(found: np.ndarray) -> np.ndarray:
@@ -239,11 +261,64 @@ def _open(rows: DataFrame, member: DataFrame) -> DataFrame:
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs in two documents or more, with ``removed``: false for the first occurrence."""
     place = F.struct("id", "begin")
-    seen = rows.groupBy(key).agg(F.min(place).alias("_first"), F.max("id").alias("_last")).where("_first.id < _last")
-    out = rows.join(compact(seen.select(key, "_first")), key)  # on its own, so that Spark can split a hot key
+    out = _shared(rows, key, F.struct("id", "begin"))
     return out.withColumn("removed", place != F.col("_first")).drop("_first")
 
 
+def _shared(rows: DataFrame, key: str, place: F.Column) -> DataFrame:
+    """Rows whose ``key`` occurs in two documents or more, with the least ``place`` as ``_first``."""
+    seen = rows.groupBy(key).agg(F.min(place).alias("_first"), F.max("id").alias("_last")).where("_first.id < _last")
+    return rows.join(compact(seen.select(key, "_first")), key)  # on its own, so that Spark can split a hot key
+
+
+def seeded(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """key, id, begin, end and seed of all runs of ``UNIT`` words within ``REACH`` of the windows of ``seeds`` (id, begin)."""
+    few = seeds.count() <= BROADCAST_ROWS
+    places = seeds.groupBy(F.col("id").alias("_id")).agg(F.sort_array(F.collect_set("begin")).alias("begins"))
+    texts = docs.join(F.broadcast(places) if few else places, F.col("id") == F.col("_id")).select("id", "text", "begins")
+    names = ["key", "id", "begin", "end", "seed"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batches(batches):
+            keys, ids, begins, ends, marks = [], [], [], [], []
+            for i, text, places in zip(batch["id"], batch["text"], batch["begins"], strict=True):
+                own = Text(text)
+                first, seed = own.around(np.array(places, np.int64))
+                keys.append(own.runs(first).view(np.int64))
+                ids.append(np.full(len(first), i, np.int64))
+                begins.append(own.starts[first].astype(np.int32))
+                ends.append(own.ends[first + UNIT - 1].astype(np.int32))
+                marks.append(seed)
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ids, begins, ends, marks)], names=names)
+
+    return texts.mapInArrow(run, "key long, id long, begin int, end int, seed boolean")
+
+
+def _spans(runs: DataFrame) -> DataFrame:
+    """Repeated runs that touch in a document as one span: id, removed, begin, end, cluster.
+
+    A run of the document that has it first is removed only behind that first occurrence,
+    so that of runs that repeat at each word one stays whole.
+    """
+    first = (F.col("id") == F.col("_first.id")) & (F.col("begin") < F.col("_first.end"))
+    by_doc = Window.partitionBy("id", "removed").orderBy("begin", "end")
+    before = F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("removed", ~first).withColumn("_new", F.coalesce((F.col("begin") > before).cast("int"), F.lit(1)))
+    runs = runs.withColumn("_span", F.sum("_new").over(by_doc))
+    # Spans with a window in common are one cluster; those without any, by all their runs.
+    names = F.collect_set(F.when(F.col("seed"), F.col("key"))).alias("_seeds")
+    spans = runs.groupBy("id", "removed", "_span").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("key").alias("_least"), names)
+    spans = compact(spans.withColumn("node", F.coalesce(F.array_min("_seeds"), "_least")).drop("_least"))
+    touching = spans.select(F.col("node").alias("a"), F.explode("_seeds").alias("b"))
+    apart = spans.where("size(_seeds) = 0").select("id", "removed", "_span", F.col("node").alias("a"))
+    if not apart.isEmpty():
+        touching = touching.unionByName(runs.join(apart, ["id", "removed", "_span"]).select("a", F.col("key").alias("b")))
+    together = compact(components(compact(touching.where("a <> b").distinct())))
+    spans = spans.join(together, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
+    return spans.select("id", "removed", "begin", "end", "cluster")
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every span of a document that repeats in another: id, kind, begin, end, cluster, removed.
 
@@ -261,15 +336,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     placed = placed.withColumn("cluster", F.coalesce("component", "key")).select("id", "begin", "end", "cluster")
     lines = _repeated(placed, "cluster").withColumn("kind", F.lit("paragraph"))
 
-    windows = compact(_repeated(found.where("n is null").select("key", "id", "begin", "end"), "key"))
-    by_doc = Window.partitionBy("id", "removed").orderBy("begin", "end")
-    before = F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    spans = windows.withColumns({"_new": F.coalesce((F.col("begin") > before).cast("int"), F.lit(1)), "_last": F.lag("key").over(by_doc)})
-    touching = spans.where("_new = 0 and key <> _last").select(F.col("key").alias("a"), F.col("_last").alias("b")).distinct()
-    together = compact(components(compact(touching)))
-    spans = spans.withColumn("_span", F.sum("_new").over(by_doc))
-    spans = spans.groupBy("id", "removed", "_span").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("key").alias("node"))
-    spans = spans.join(together, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
+    seeds = compact(_shared(found.where("n is null").select("key", "id", "begin"), "key", F.struct("id")).select("id", "begin"))
+    seeded(docs, seeds).write.parquet(f"{folder}/runs")
+    runs = spark.read.parquet(f"{folder}/runs")
+    spans = _spans(compact(_shared(runs, "key", F.struct("id", "begin", "end"))))
     spans = spans.withColumn("kind", F.lit("passage"))
     columns = [F.col("id").alias(id_col), "kind", "begin", "end", "cluster", "removed"]
     return lines.select(*columns).unionByName(spans.select(*columns))
