@@ -236,6 +236,16 @@ def test_main_text_of_odd_pages(spark):
     assert got[2] == ("", 0) and got[1][1] == len(got[1][0]) > 30
 
 
+def test_main_text_of_parts_with_misleading_names():
+    long = "many words here " * 10
+    for around in ('<main class="has-sidebar">', '<div id="content" class="no-sidebar">', '<article class="post comments-open">', '<div class="legal-news">',
+                   '<div class="sidebar"><main>', '<body class="widget"><div class="social">', '<article class="ad">'):
+        page = f'<nav><a href=/>Home</a></nav>{around}<h1>Head</h1><p>{long}<div class="comments"><p>me too</div><div class="ad-box">buy</div>'
+        assert main_text.extract(page) == f"Head\n{long.strip()}", around
+    page = f'<article><p>{long}</p><div class="comments">{"<p>" + long * 3 + "</p>"}</div></article><aside><article>{long}</article></aside>'
+    assert main_text.extract(page) == long.strip()
+
+
 def test_main_text_of_all_pages(spark):
     import html
 

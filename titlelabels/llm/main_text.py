@@ -2,7 +2,8 @@
 
 Markup is stripped into lines, one per block element. A line weighs its letters outside
 links; lines of menus, adverts, forms and other parts that their element, role or class
-names as such are taken out, and the borders of page parts leave empty lines. The sum of
+names as such are taken out, and the borders of page parts leave empty lines. A part is not
+taken out by its name where all article or main text, or most of a page without any, is inside. The sum of
 weights over a window of ``WINDOW`` lines then surges where running text begins and dives
 to zero where it ends: the lines between a surge that reaches ``SURGE`` and its dive are
 kept. Inside an article or main element every surge counts, and where a page has one with
@@ -19,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from html import unescape
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
@@ -56,63 +58,92 @@ DROPPED_NAMES = frozenset(
     "comment comments disqus respond reply replies share sharing social related recommended recommendations widget pagination pager "
     "copyright legal masthead toolbar search skip hidden banner".split()
 )
-#: Such words are overruled where the element is the page's content.
+#: Words that say nothing beside such a word: ``ad-box`` is an ``ad``; ``has-sidebar`` and ``comments-open`` are no parts.
+NEUTRAL_NAMES = frozenset("box wrapper wrap container section area block list item inner left right top bottom".split())
+#: Elements that no class or id takes out.
+WHOLE = frozenset("html body main article".split())
+#: Named parts inside each other that are told apart.
+NESTED = 8
+#: Such words beside a header's name say that the element is the page's content.
 KEPT_NAMES = frozenset("article content main body post entry story text".split())
 HEADER_NAMES = frozenset(("header", "topbar", "head"))
 
 
-def _dropped(name: str, rest: str, inside_main: bool) -> bool:
-    if name in DROPPED or (name == "header" and not inside_main):
-        return True
-    if not rest or name in ("html", "body", "main", "article") and "class" not in rest and "hidden" not in rest:
-        return False
+def _named(value: str) -> bool:
+    """Whether a whole word of a class or id says that the part is no main text."""
+    for token in value.split():
+        parts = {p.lower() for p in NAME_PART.findall(token)} - NEUTRAL_NAMES
+        if parts and parts <= DROPPED_NAMES:
+            return True
+    return False
+
+
+def _dropped(name: str, rest: str, inside_main: bool) -> tuple[bool, bool]:
+    """Whether an element is taken out whatever it holds (hidden, role), and whether its name asks for it."""
+    named = name in DROPPED or (name == "header" and not inside_main)
+    if not rest:
+        return False, named
     parts: set[str] = set()
     for m in ATTRIBUTE.finditer(rest):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "role" and value.strip().lower() in DROPPED_ROLES:
-            return True
+            return True, named
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, named
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, named
         if key in ("class", "id"):
-            parts |= {p.lower() for p in NAME_PART.findall(value)}
-    if name in ("html", "body"):
-        return False
-    found = parts & DROPPED_NAMES
-    if found and (found & {"comment", "comments", "ad", "ads", "advert", "sidebar"} or not parts & KEPT_NAMES):
-        return True
-    return bool(parts & HEADER_NAMES) and not inside_main and not parts & KEPT_NAMES
-
-
-def lines(html: str) -> list[tuple[str, int, bool]]:
-    """Text, weight and whether in an article or main element; ``WINDOW`` empty lines at the borders of page parts."""
-    out: list[tuple[str, int, bool]] = []
+            named |= name not in WHOLE and _named(value)
+            parts |= {p.lower() for p in value.split()}
+    return False, named or name not in WHOLE and bool(parts & HEADER_NAMES) and not inside_main and not parts & KEPT_NAMES
+
+
+class Line(NamedTuple):
+    text: str
+    weight: int
+    main: bool
+    #: The block that holds the line and the one around it.
+    blocks: tuple[int, int] = (-1, -1)
+    #: Parts around the line whose names ask to take them out.
+    named: tuple[int, ...] = ()
+
+
+GAP = [Line("", 0, False)] * WINDOW
+
+
+def lines(html: str) -> list[Line]:
+    """The lines outside the parts taken out; ``WINDOW`` empty lines at the borders of page parts."""
+    out: list[Line] = []
     texts: list[str] = []
-    open_names: list[tuple[str, bool, bool]] = []  # name, dropped, main
+    open_names: list[tuple[str, bool, bool, int]] = []  # name, dropped, main, number of the named part or -1
+    blocks: list[int] = [-1, -1]
+    named: list[int] = []
+    holds: list[int] = []  # main elements in each named part
     count: Counter = Counter()
-    dropped = main = links = 0
+    dropped = main = links = opened = 0
     linked = 0
-    gap = [("", 0, False)] * WINDOW
 
     def flush() -> None:
         nonlocal linked
         if texts:
             text = " ".join("".join(texts).split())
             if text:
-                out.append((text, max(len(text) - linked, 0), main > 0))
+                out.append(Line(text, max(len(text) - linked, 0), main > 0, (blocks[-1], blocks[-2]), tuple(named)))
             texts.clear()
         linked = 0
 
     def leave(name: str) -> None:
         nonlocal dropped, main
         while open_names:
-            last, was_dropped, was_main = open_names.pop()
+            last, was_dropped, was_main, part = open_names.pop()
+            blocks.pop()
             count[last] -= 1
             dropped -= was_dropped
             main -= was_main
-            if was_dropped or was_main:
-                out.extend(gap)
+            if part >= 0:
+                named.pop()
+            if was_dropped or was_main or part >= 0:
+                out.extend(GAP)
             if last == name:
                 return
 
@@ -154,24 +185,50 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         rest = m["rest"] if m["rest"] is not None else m["loose"] or ""
         if rest.endswith("/") and not block:
             continue
-        drop = _dropped(name, rest, main > 0)
+        drop, by_name = _dropped(name, rest, main > 0)
+        by_name &= not drop and not dropped and len(named) < NESTED
         is_main = name in MAIN and not drop and not dropped
-        if drop or block:
-            if drop:
+        if drop or by_name or block:
+            if drop or by_name:
                 flush()
-            open_names.append((name, drop, is_main))
+            if name == "main" and is_main:
+                for part in named:
+                    holds[part] += 1
+            if by_name:
+                named.append(len(holds))
+                holds.append(0)
+            open_names.append((name, drop, is_main, named[-1] if by_name else -1))
+            blocks.append(opened)
+            opened += 1
             count[name] += 1
             dropped += drop
             main += is_main
-            if drop or is_main:
-                out.extend(gap)
+            if drop or by_name or is_main:
+                out.extend(GAP)
     flush()
-    return out
+    return _without(out, holds)
+
+
+def _without(found: list[Line], holds: list[int]) -> list[Line]:
+    """The lines outside named parts, but for parts that hold the page's own text."""
+    weight, inside = [0] * len(holds), [0] * len(holds)
+    for line in found:
+        for part in line.named:
+            weight[part] += line.weight
+            inside[part] += line.weight * line.main
+    total, in_main = sum(line.weight for line in found), sum(line.weight for line in found if line.main)
+    taken = set()
+    for part, mains in enumerate(holds):
+        alone = in_main - inside[part] < SURGE
+        own = mains or alone and (0 < in_main == inside[part] or 2 * weight[part] > total)
+        if not own:
+            taken.add(part)
+    return [line for line in found if not taken.intersection(line.named)] if taken else found
 
 
 def extract(html: str | None) -> str:
     """The main text: blocks in page order, one per line."""
-    found = lines(html or "")
+    found = [line[:3] for line in lines(html or "")]
     weights = [w for _, w, _ in found]
     regions: list[tuple[int, int, int, bool]] = []  # first line, end, highest window, in main
     at, n = 0, len(found)
