@@ -246,6 +246,16 @@ def test_main_text_of_parts_with_misleading_names():
     assert main_text.extract(page) == long.strip()
 
 
+def test_main_text_ranks_regions_by_their_sums():
+    long, other = "many words here " * 10, "further text of the page " * 8
+    card = "<article><h3>Read</h3><p>a few words</p></article>"
+    assert main_text.extract(f"<div><p>{long}</p><p>{other}</p></div>{card}") == f"{long.strip()}\n{other.strip()}"
+    assert main_text.extract(f"<div><p>{long * 9}</p></div><article><p>{long}</p></article>") == f"{(long * 9).strip()}\n{long.strip()}"
+    advert = '<div class="ad">buy now</div>'
+    page = f"<div><h1>Head</h1>{advert}<p>{long}</p>{advert}<p>short</p>{advert}<p>{other}</p>{advert}<p>The end.</p></div>{advert}<div><p>elsewhere</p></div>"
+    assert main_text.extract(page) == f"Head\n{long.strip()}\nshort\n{other.strip()}\nThe end."
+
+
 def test_main_text_of_all_pages(spark):
     import html
 

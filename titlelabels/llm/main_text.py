@@ -6,9 +6,10 @@ names as such are taken out, and the borders of page parts leave empty lines. A
 taken out by its name where all article or main text, or most of a page without any, is inside. The sum of
 weights over a window of ``WINDOW`` lines then surges where running text begins and dives
 to zero where it ends: the lines between a surge that reaches ``SURGE`` and its dive are
-kept. Inside an article or main element every surge counts, and where a page has one with
-text, only such regions count; a page in which no window reaches ``SURGE`` keeps the region of the
-highest one.
+kept. Inside an article or main element every line counts, and only such regions do, unless a
+surge outside has more weight than all of them, or they have no surge: then all surges count. A short
+region joins them where it lies between surges of its parent, or beside one with only parts taken
+out between. A page in which no window reaches ``SURGE`` keeps the region of the highest one.
 
 Null and empty pages give the empty text, and so do pages without text outside the parts
 taken out. Unclosed and stray tags end at their enclosing block; an unclosed script or comment
@@ -228,30 +229,59 @@ def _without(found: list[Line], holds: list[int]) -> list[Line]:
 
 def extract(html: str | None) -> str:
     """The main text: blocks in page order, one per line."""
-    found = [line[:3] for line in lines(html or "")]
-    weights = [w for _, w, _ in found]
-    regions: list[tuple[int, int, int, bool]] = []  # first line, end, highest window, in main
-    at, n = 0, len(found)
+    found = lines(html or "")
+    inner, at, n = [], 0, len(found)
     while at < n:
-        if not found[at][0]:
+        if not found[at].text:
             at += 1
             continue
         end = at
-        while end < n and any(t for t, _, _ in found[end : end + WINDOW]):
+        while end < n and any(line.text for line in found[end : end + WINDOW]):
             end += 1
-        high = max(sum(weights[i : i + WINDOW]) for i in range(at, end))
-        regions.append((at, end, high, found[at][2]))
+        if found[at].main:
+            inner.append((at, end))
         at = end
-    if any(r[3] for r in regions):
-        kept = [r for r in regions if r[3]]
+    weights = [line.weight for line in found]
+    high = max((sum(weights[i : i + WINDOW]) for a, b in inner for i in range(a, b)), default=0)
+    within = sum(sum(weights[a:b]) for a, b in inner)
+    # Outside an article, a line of links alone is an empty one: regions end there too.
+    outer = _by_weight([0 if line.main else line.weight for line in found])
+    larger = any(r[2] >= SURGE and (high < SURGE or sum(weights[r[0] : r[1]]) > within) for r in outer)
+    if inner and not larger:
+        kept = inner
     else:
-        # Outside an article, a line of links alone is an empty one: regions end there too.
-        regions = _by_weight(weights)
-        kept = [r for r in regions if r[2] >= SURGE] or sorted(regions, key=lambda r: -r[2])[:1]
-    return "\n".join(t for a, b, _, _ in kept for t, _, _ in found[a:b] if t)
-
-
-def _by_weight(weights: list[int]) -> list[tuple[int, int, int, bool]]:
+        surges = [r for r in outer if r[2] >= SURGE] or sorted(outer, key=lambda r: -r[2])[:1]
+        kept = _joined(found, outer, surges)
+        if high >= SURGE:
+            kept = sorted(kept + inner)
+    return "\n".join(line.text for a, b in kept for line in found[a:b] if line.text)
+
+
+def _joined(found: list[Line], regions: list[tuple[int, int, int]], surges: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The surges, with short regions of the same parent: between two of them, or beside one where only parts taken out lie between."""
+    kept = [r in surges for r in regions]
+    around = [{b for line in found[r[0] : r[1]] if line.weight for b in line.blocks if b >= 0} for r in regions]
+    for order in (range(1, len(regions)), range(len(regions) - 2, -1, -1)):
+        step = order.step
+        for k in order:
+            near = k - step
+            a, b = sorted((k, near))
+            if kept[near] and around[k] & around[near] and not any(line.text for line in found[regions[a][1] : regions[b][0]]):
+                kept[k] = True
+    last: dict[int, int] = {}  # of every block the last surge
+    first: dict[int, int] = {}
+    for k, r in enumerate(regions):
+        if r in surges:
+            for b in around[k]:
+                first.setdefault(b, k)
+                last[b] = k
+    for k in range(len(regions)):
+        kept[k] |= any(first.get(b, k) < k < last.get(b, k) for b in around[k])
+    return [r[:2] for r, keep in zip(regions, kept, strict=True) if keep]
+
+
+def _by_weight(weights: list[int]) -> list[tuple[int, int, int]]:
+    """First line, end and highest window of every region."""
     out, at, n = [], 0, len(weights)
     while at < n:
         if not weights[at]:
@@ -264,7 +294,7 @@ def _by_weight(weights: list[int]) -> list[tuple[int, int, int, bool]]:
             if weights[end]:
                 last = end
             end += 1
-        out.append((at, last + 1, high, False))
+        out.append((at, last + 1, high))
         at = end
     return out
 
