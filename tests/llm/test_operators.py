@@ -202,6 +202,19 @@ def test_near_duplicates_with_null_and_equal_ids(spark):
     ]
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = prose(60, 901), prose(60, 902), prose(60, 903)
+    near = c.rsplit(" ", 1)[0] + " other"
+    rows = [(1, a, "p"), (5, a, "q"), (5, b, "r"), (6, b + " ", "s"), (7, c, "t"), (7, c, "t"), (7, near, "t"), (None, a, "u"), (None, near, "v")]
+    rows += [(None, prose(60, 904), x) for x in "wxw"] + [(None, None, "y"), (5, "", "z"), (5, "", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra string").repartition(3)
+    got = [tuple(r) for r in jaccard_join.one_per_component(df).collect()]
+    assert sorted(x for _, t, x in got if not t) == ["y", "z", "z"]
+    got = [r for r in got if r[1]]
+    assert sorted(str(i) for i, _, _ in got) == ["1", "5", "7", "None"] and set(got) <= set(rows)
+    assert {(1, a, "p"), (5, b, "r")} <= set(got)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 160)] + [(200, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -68,7 +68,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def survey(df: DataFrame) -> DataFrame:
-    """Of ``id`` and ``text``: id, set size n and node (null without words) of every document."""
+    """Of ``id`` and ``text``: id, set size n, node (null without words) and mark (a hash of the text) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -76,9 +76,10 @@ def survey(df: DataFrame) -> DataFrame:
                 batch = whole.slice(start, SLICE)
                 sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
                 nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), nodes], names=["id", "n", "node"])
+                columns = [batch.column(0), pa.array(map(len, sets), pa.int64()), nodes, batch.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "node", "mark"])
 
-    return df.select("id", "text").mapInArrow(run, "id long, n long, node long")
+    return df.select("id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, "id long, n long, node long, mark long")
 
 
 def prefix_length(n: int) -> int:
@@ -309,6 +310,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null ids never name a component unless it has no other.
     """
+    placed = _placed(df, id_col, text_col)
+    least = placed.where("_key is not null").groupBy("_key").agg(F.min("id").alias("_least"))
+    out = placed.join(least, "_key", "left")
+    return out.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("id")).alias("component_id"),
+    )
+
+
+def _placed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, n, node, mark and _key (its component; null without words) of every row."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     folder = shared_folder(spark)
@@ -349,20 +362,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         links = found_links if links is None else compact(links.unionByName(found_links))
 
     member = compact(components(links))
-    placed = nodes.join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
-    least = placed.where("_key is not null").groupBy("_key").agg(F.min("id").alias("_least"))
-    out = placed.join(least, "_key", "left")
-    return out.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("id")).alias("component_id"),
-    )
+    return nodes.join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns; of every component only the row that names it. Rows with null ids or without words stay."""
-    others = near_duplicates(df, id_col, text_col).where(F.col(id_col) != F.col("component_id"))
-    others = checkpointed(others.select(F.col(id_col).alias("_other")).distinct())
+    """All columns; of every component one row: of the smallest id (null ids last), then of the smallest text hash. Rows without words stay."""
+    rows = _placed(df, id_col, text_col).where("_key is not null").groupBy("_key", "id", "mark").agg(F.count("*").alias("_rows"))
+    rows = checkpointed(rows)
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "mark")
+    rows = rows.join(rows.groupBy("_key").agg(F.min(place).alias("_first")), "_key")
+    rows = checkpointed(rows.select(F.col("id").alias("_other"), F.col("mark").alias("_mark"), "_rows", (place == F.col("_first")).alias("_stays")))
+    own = F.col(id_col).cast("long").eqNullSafe(F.col("_other")) & (F.xxhash64(text_col) == F.col("_mark"))
     # Few ids are broadcast, so that the texts stay where they are.
-    others = F.broadcast(others) if others.count() <= BROADCAST_ROWS else others
-    return df.join(others, F.col(id_col) == F.col("_other"), "left_anti")
+    sent = lambda part: F.broadcast(part) if part.count() <= BROADCAST_ROWS else part
+    out = df.join(sent(rows.where("not _stays").select("_other", "_mark")), own, "left_anti")
+    again = rows.where("_stays and _rows > 1").select("_other", "_mark")
+    if again.isEmpty():
+        return out
+    again = sent(again)
+    # Of rows with one id and text, the one of the least hash over all columns.
+    one = out.join(again, own, "left_semi").groupBy(id_col, text_col).agg(F.min_by(F.struct(*df.columns), F.xxhash64(*df.columns)).alias("_row"))
+    return out.join(again, own, "left_anti").unionByName(one.select("_row.*"))
