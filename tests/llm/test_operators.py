@@ -531,6 +531,18 @@ def test_paragraphs_that_meet_in_a_band_are_all_compared(spark):
     assert {k: got.get(k, k) for k in want} == want
 
 
+def test_short_lines_and_wrapped_paragraphs_take_part(spark):
+    words = prose(63, 41).split()
+    wrapped = lambda w: "\n".join(" ".join(w[k : k + 7]) for k in range(0, 63, 7))
+    rows = [(1, "All rights reserved\n\n" + wrapped(words)), (2, prose(30, 42) + "\nall rights reserved"), (3, prose(30, 43) + "\n" + wrapped([*words[:-1], "changed"])), (4, "alone here")]
+    found = passages.repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("kind = 'paragraph'").collect()
+    texts = dict(rows)
+    spans = {(r.doc_id, texts[r.doc_id][r.begin : r.end].lower(), r.removed) for r in found}
+    assert {(1, "all rights reserved", False), (2, "all rights reserved", True)} <= spans
+    assert {(1, wrapped(words).lower(), False), (3, wrapped([*words[:-1], "changed"]).lower(), True)} <= spans
+    assert not [r for r in found if r.doc_id == 4]
+
+
 def test_passages_cover_shared_runs_to_their_ends(spark):
     rows = []
     for k in range(30):  # runs of 51 words and more, in three documents each; a part of some is in an earlier one

@@ -1,6 +1,7 @@
 """Substring dedup: paragraphs by MinHash banding, and repeated passages inside paragraphs.
 
-A paragraph is a line of ``LEAST_WORDS`` words or more, as a set of word shingles. Its
+A paragraph is a line, or a block of consecutive lines under ``LEAST_WORDS`` words, as a set of
+word shingles. Equal sets are one; a set of under ``LEAST_SET`` shingles is near no other. Its
 MinHash is cut into bands tuned for recall (at similarity 0.8 a pair shares a band with
 probability 0.998); paragraphs that collide in a band are compared, most often colliding one first, then
 all that no link connects yet, and linked where the exact Jaccard similarity is 0.8 or more. Connected
@@ -13,7 +14,7 @@ a window, the same in both. These are seeds only: within ``REACH`` words of a se
 repeats, every run of ``UNIT`` words is looked up, so that a shared run is found with its
 real ends, and no word of it is between two windows. Repeated runs that touch in a document are one span.
 
-Null texts, empty ones and lines under ``LEAST_WORDS`` words take no part. Repeats inside one
+Null texts and empty ones take no part. Repeats inside one
 document are not repeats across documents and stay. Spans are in code points, ends exclusive. Rows
 with equal ids count as one document; null ids are no document and take no part.
 """
@@ -34,6 +35,8 @@ from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
 from titlelabels.session import shared_folder
 
 LEAST_WORDS = 20
+#: Two different sets of similarity 0.8 or more have so many shingles at least.
+LEAST_SET = 4
 UNIT = 20
 REACH = 27
 BANDS = 9
@@ -59,12 +62,26 @@ class Text:
         breaks = np.searchsorted(starts, np.flatnonzero(letters == 10))
         self.lines = np.concatenate([[0], breaks, [len(starts)]])
 
+    def ranges(self) -> Iterator[tuple[int, int]]:
+        """First and end word of every line, and of every block of two or more short lines in a row."""
+        block, held = 0, 0
+        for a, b in zip(self.lines[:-1].tolist(), self.lines[1:].tolist(), strict=True):
+            if 0 < b - a < LEAST_WORDS:
+                block, held = (block, held + 1) if held else (a, 1)
+            else:
+                if held > 1:
+                    yield block, a
+                held = 0
+            if b > a:
+                yield a, b
+        if held > 1:
+            yield block, int(self.lines[-1])
+
     def paragraphs(self) -> Iterator[tuple[int, int, np.ndarray]]:
         """Begin, end and shingle set of each."""
-        for a, b in zip(self.lines[:-1].tolist(), self.lines[1:].tolist(), strict=True):
-            if b - a >= LEAST_WORDS:
-                found = np.sort(shingles(self.words[a:b], SIZE))
-                yield int(self.starts[a]), int(self.ends[b - 1]), found[np.concatenate([[True], found[1:] != found[:-1]])]
+        for a, b in self.ranges():
+            found = np.sort(shingles(self.words[a:b], SIZE))
+            yield int(self.starts[a]), int(self.ends[b - 1]), found[np.concatenate([[True], found[1:] != found[:-1]])]
 
     def runs(self, first: np.ndarray) -> np.ndarray:
         """Keys of the runs of ``UNIT`` words that begin at the words ``first``."""
@@ -149,8 +166,8 @@ def banded(docs: DataFrame) -> DataFrame:
             found, nodes, sizes = [], [], []
             for text in batch["text"]:
                 for _, _, s in Text(text).paragraphs():
-                    node = set_key(s)
-                    if node not in seen:
+                    node = set_key(s) if len(s) >= LEAST_SET else None
+                    if node is not None and node not in seen:
                         seen.add(node)
                         found.append(bands(s))
                         nodes.append(node)
@@ -174,6 +191,8 @@ def parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             rows = []
             for text in batch["text"]:
                 for _, _, s in Text(text).paragraphs():
+                    if len(s) < LEAST_SET:
+                        continue
                     node = set_key(s)
                     cut = np.split(s, np.searchsorted(s, edges))
                     rows += [(node, k, p.view(np.int64)) for k, p in enumerate(cut) if len(p)]
