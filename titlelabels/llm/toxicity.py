@@ -1,16 +1,17 @@
 """Toxicity score: bags of subword embeddings under a linear softmax.
 
 A word's vector is the average of the embeddings of its byte n-grams (with word borders,
-hashed into ``BUCKETS`` rows), a passage's vector the average over its words; a linear layer
-and a softmax give the odds of the toxic class. Embeddings and layer are trained together in
-numpy, first on words weighted by how many toxic and other documents hold them, then on
-documents as bags of passages, where the worst passage answers for the document. A
-misspelled word shares most n-grams with the word it stands for, and so its vector.
+hashed into ``BUCKETS`` rows); a linear layer and a softmax give the odds of the toxic class.
+Embeddings and layer are trained together in numpy, first on words weighted by how many
+toxic and other documents hold them, then on documents as bags of words, where the single
+worst word answers for the document. So a phrase of harmless words cannot score, and a long
+text is judged by its maximum. A misspelled word shares most n-grams with the word it stands
+for, and so its vector.
 
 As the softmax is over two classes and averages are linear, each n-gram contributes one
 number; scoring looks these up over all bytes of a text at once.
 
-Null and empty texts, and texts without words, score as the empty passage (the lowest odds). Without
+Null and empty texts, and texts without words, get the lowest odds. Without
 labels of both kinds every score is 0.
 """
 
