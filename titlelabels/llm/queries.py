@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlelabels.llm import additive_model, byte_pairs, decision_list, jaccard_join, main_text, mixing, order_minhash, passages, private_data, toxicity
+from titlelabels.llm import (
+    additive_model,
+    archive,
+    byte_pairs,
+    conversation,
+    decision_list,
+    jaccard_join,
+    main_text,
+    mixing,
+    order_minhash,
+    passages,
+    private_data,
+    toxicity,
+)
 from titlelabels.llm.common import table
 
 
@@ -68,6 +81,16 @@ def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     return decision_list.apply(docs, decision_list.fit(docs, table(spark, folder, "labels")))
 
 
+def op12_conversation(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged conversations: faults, cost and initials of the cheapest edits, digest of the repaired rows."""
+    return conversation.audited(table(spark, folder, "conversations"))
+
+
+def op13_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as it is read back from a content-addressed WARC archive."""
+    return archive.archived(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_order_minhash": op2_order_minhash,
@@ -79,8 +102,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_pairs": op8_byte_pairs,
     "op9_passages": op9_passages,
     "op10_decision_list": op10_decision_list,
+    "op12_conversation": op12_conversation,
+    "op13_archive": op13_archive,
 }
 
 ORACLE: dict[str, str] = {
     "op1_mixing": mixing.sql(),
+    "op13_archive": archive.sql(),
 }
