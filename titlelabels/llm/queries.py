@@ -18,6 +18,7 @@ from titlelabels.llm import (
     order_minhash,
     passages,
     private_data,
+    spelling,
     toxicity,
 )
 from titlelabels.llm.common import table
@@ -81,6 +82,11 @@ def op10_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     return decision_list.apply(docs, decision_list.fit(docs, table(spark, folder, "labels")))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, some misspelt, with the form each goes to."""
+    return spelling.grouped(table(spark, folder, "documents"))
+
+
 def op12_conversation(spark: SparkSession, folder: str) -> DataFrame:
     """Damaged conversations: faults, cost and initials of the cheapest edits, digest of the repaired rows."""
     return conversation.audited(table(spark, folder, "conversations"))
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_pairs": op8_byte_pairs,
     "op9_passages": op9_passages,
     "op10_decision_list": op10_decision_list,
+    "op11_spelling": op11_spelling,
     "op12_conversation": op12_conversation,
     "op13_archive": op13_archive,
 }
