@@ -37,14 +37,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def numbered_pieces(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the pieces with their occurrence numbers, and their places in the text."""
+    """Hashes of the pieces with their occurrence numbers, and their places in the text.
+
+    A piece's hash depends on the piece and its number alone, not on the text around it.
+    """
     pieces = shingles(word_hashes(text.encode())[0], WORDS)
     n = len(pieces)
-    # Sorted by piece, then place: the place is kept in the low bits.
-    low = np.uint64((1 << n.bit_length()) - 1)
-    keyed = np.sort((pieces & ~low) | np.arange(n, dtype=np.uint64))
-    places = (keyed & low).astype(np.int64)
-    keyed &= ~low
+    places = np.argsort(pieces, kind="stable")  # by piece, then place
+    keyed = pieces[places]
     first = np.flatnonzero(np.concatenate([[True], keyed[1:] != keyed[:-1]])) if n else np.zeros(0, np.int64)
     number = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
     return mix(keyed + number.astype(np.uint64) * _BASE), places
