@@ -63,8 +63,6 @@ DROPPED_NAMES = frozenset(
 NEUTRAL_NAMES = frozenset("box wrapper wrap container section area block list item inner left right top bottom".split())
 #: Elements that no class or id takes out.
 WHOLE = frozenset("html body main article".split())
-#: Named parts inside each other that are told apart.
-NESTED = 8
 #: Such words beside a header's name say that the element is the page's content.
 KEPT_NAMES = frozenset("article content main body post entry story text".split())
 HEADER_NAMES = frozenset(("header", "topbar", "head"))
@@ -105,8 +103,8 @@ class Line(NamedTuple):
     main: bool
     #: The block that holds the line and the one around it.
     blocks: tuple[int, int] = (-1, -1)
-    #: Parts around the line whose names ask to take them out.
-    named: tuple[int, ...] = ()
+    #: The innermost part around the line whose name asks to take it out, or -1.
+    part: int = -1
 
 
 GAP = [Line("", 0, False)] * WINDOW
@@ -118,7 +116,8 @@ def lines(html: str) -> list[Line]:
     texts: list[str] = []
     open_names: list[tuple[str, bool, bool, int]] = []  # name, dropped, main, number of the named part or -1
     blocks: list[int] = [-1, -1]
-    named: list[int] = []
+    named: list[int] = [-1]
+    around: list[int] = []  # of each named part the one around it, or -1
     holds: list[int] = []  # main elements in each named part
     count: Counter = Counter()
     dropped = main = links = opened = 0
@@ -129,12 +128,13 @@ def lines(html: str) -> list[Line]:
         if texts:
             text = " ".join("".join(texts).split())
             if text:
-                out.append(Line(text, max(len(text) - linked, 0), main > 0, (blocks[-1], blocks[-2]), tuple(named)))
+                out.append(Line(text, max(len(text) - linked, 0), main > 0, (blocks[-1], blocks[-2]), named[-1]))
             texts.clear()
         linked = 0
 
     def leave(name: str) -> None:
-        nonlocal dropped, main
+        nonlocal dropped, main, links
+        links = 0  # a link ends with the first block that ends in or around it
         while open_names:
             last, was_dropped, was_main, part = open_names.pop()
             blocks.pop()
@@ -187,15 +187,15 @@ def lines(html: str) -> list[Line]:
         if rest.endswith("/") and not block:
             continue
         drop, by_name = _dropped(name, rest, main > 0)
-        by_name &= not drop and not dropped and len(named) < NESTED
+        by_name &= not drop and not dropped
         is_main = name in MAIN and not drop and not dropped
         if drop or by_name or block:
             if drop or by_name:
                 flush()
-            if name == "main" and is_main:
-                for part in named:
-                    holds[part] += 1
+            if name == "main" and is_main and named[-1] >= 0:
+                holds[named[-1]] += 1
             if by_name:
+                around.append(named[-1])
                 named.append(len(holds))
                 holds.append(0)
             open_names.append((name, drop, is_main, named[-1] if by_name else -1))
@@ -207,24 +207,29 @@ def lines(html: str) -> list[Line]:
             if drop or by_name or is_main:
                 out.extend(GAP)
     flush()
-    return _without(out, holds)
+    return _without(out, holds, around)
 
 
-def _without(found: list[Line], holds: list[int]) -> list[Line]:
-    """The lines outside named parts, but for parts that hold the page's own text."""
-    weight, inside = [0] * len(holds), [0] * len(holds)
+def _without(found: list[Line], holds: list[int], around: list[int]) -> list[Line]:
+    """The lines outside named parts, but for parts that hold the page's own text. ``around`` names each part's outer one, which opened before it."""
+    weight, inside, holds = [0] * len(holds), [0] * len(holds), list(holds)
     for line in found:
-        for part in line.named:
-            weight[part] += line.weight
-            inside[part] += line.weight * line.main
+        if line.part >= 0:
+            weight[line.part] += line.weight
+            inside[line.part] += line.weight * line.main
+    for part in range(len(holds) - 1, -1, -1):
+        if (outer := around[part]) >= 0:
+            weight[outer] += weight[part]
+            inside[outer] += inside[part]
+            holds[outer] += holds[part]
     total, in_main = sum(line.weight for line in found), sum(line.weight for line in found if line.main)
     taken = set()
     for part, mains in enumerate(holds):
         alone = in_main - inside[part] < SURGE
         own = mains or alone and (0 < in_main == inside[part] or 2 * weight[part] > total)
-        if not own:
+        if not own or around[part] in taken:
             taken.add(part)
-    return [line for line in found if not taken.intersection(line.named)] if taken else found
+    return [line for line in found if line.part not in taken] if taken else found
 
 
 def extract(html: str | None) -> str:
