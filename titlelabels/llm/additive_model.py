@@ -11,14 +11,17 @@ labels of both kinds the score is the share of ones (0.5 without labels).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from titlelabels.llm.common import FIT_ROWS, labelled, map_rows, remainder
+from titlelabels.llm.common import FIT_ROWS, SLICE, labelled, map_rows, remainder
 from titlelabels.llm.statistics import COUNTS, SHARES, measure, schema
 
 BINS = 48
@@ -165,13 +168,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn_from, bound: int =
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and the score of every row's text."""
+    """``keep`` columns and the score of every row's text; statistics by text, table entries added for a whole slice at once."""
     first = len(COUNTS)
+    keep = tuple(c for c in keep if c != "score")
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("score", T.DoubleType())])
 
-    def row(text):
-        return (float(model.score(np.array([measure(text)[first:]]))[0]),)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                x = np.array([measure(text)[first:] for text in batch.column(len(keep)).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(model.score(x))], names=schema.names)
 
-    return map_rows(df, [text_col], "score double", lambda: row, keep)
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
