@@ -18,17 +18,21 @@ labels of both kinds every score is 0.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlelabels.llm.common import labelled, map_rows, remainder
-from titlelabels.llm.words import mix
+from titlelabels.llm.words import mix, word_hashes
+from titlelabels.session import checkpointed
 
 BUCKETS = 1 << 17
 SIZES = (3, 4, 5)
 DIMENSIONS = 6
 #: Labelled documents learnt from, toxic and others each.
 FIT_ROWS = 2_500
+#: Distinct words of documents learnt from, summed over documents.
+FIT_WORDS = 3_000_000
 WORD_STEPS = 60
 BAG_STEPS = 60
 RATE = 0.5
@@ -112,8 +116,8 @@ class _Adagrad:
         self.x += RATE * g / np.sqrt(self.seen)
 
 
-def indexed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """N-grams of all words in word order, how many each word has, where they begin, and the buckets they stand for."""
+def indexed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of all words in word order, and how many each word has."""
     parts, counts = [], []
     for k in range(0, len(words), BLOCK):
         found, n = grams(" ".join(words[k : k + BLOCK]).encode())
@@ -121,24 +125,31 @@ def indexed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         order = np.argsort(word, kind="stable")
         parts.append(np.concatenate([b.astype(np.int32) for b, _ in found])[order])
         counts.append(np.bincount(word, minlength=n))
-    per_word = np.concatenate(counts)
-    used, bucket = np.unique(np.concatenate(parts), return_inverse=True)
-    return bucket.astype(np.int32), per_word, np.cumsum(per_word) - per_word, used
+    return np.concatenate(parts), np.concatenate(counts)
 
 
 def learn(bags: list[list[str]], toxic: np.ndarray) -> Model | None:
     """The model of documents as lists of their distinct lower-cased words, with 0/1 labels."""
-    y = np.asarray(toxic, float)
-    if not len(y) or y.min() == y.max():
-        return None
     known: dict[str, int] = {}
     flat = np.array([known.setdefault(w, len(known)) for bag in bags for w in bag], np.int64)
-    sizes = np.array([len(bag) for bag in bags])
+    sizes = np.array([len(bag) for bag in bags], np.int64)
+    bucket, per_word = indexed(list(known)) if known else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+    return trained(flat, sizes, np.asarray(toxic, float), bucket, per_word)
+
+
+def trained(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray, bucket: np.ndarray, per_word: np.ndarray) -> Model | None:
+    """The model of documents as numbers of words: ``flat`` has them, document after document, ``sizes`` how many each has.
+
+    ``bucket`` has the n-grams of all words, word after word, ``per_word`` how many each has; ``y`` the 0/1 labels.
+    """
+    if not len(y) or y.min() == y.max() or not len(flat):
+        return None
     full = np.flatnonzero(sizes)
     begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-    owner = np.repeat(np.arange(len(bags)), sizes)
-    bucket, per_word, first, used = indexed(list(known))
-    n = len(known)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    first = np.cumsum(per_word) - per_word
+    used, bucket = np.unique(bucket, return_inverse=True)
+    bucket, n = bucket.astype(np.int32), len(per_word)
 
     rng = np.random.default_rng(7)
     embedding = rng.normal(0, 0.05, (len(used), DIMENSIONS)).astype(np.float32)
@@ -190,7 +201,7 @@ def learn(bags: list[list[str]], toxic: np.ndarray) -> Model | None:
         of_place = odds[flat]
         worst = np.maximum.reduceat(of_place, begins)
         worst_at = np.flatnonzero(of_place == np.repeat(worst, sizes[full]))
-        _, one = np.unique(owner[worst_at], return_index=True)
+        one = np.unique(owner[worst_at], return_index=True)[1]
         words = flat[worst_at[one]]
         p = 1 / (1 + np.exp(-worst))
         update(words, vectors(words), weight[full] * (y[full] - p))
@@ -225,15 +236,38 @@ def words_of(text: str | None) -> list[str]:
     return sorted({w.decode("utf-8", "ignore") for w in plain.split()})
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, learn_from, bound: int = FIT_ROWS) -> Model | None:
-    """The model of about ``bound`` labelled documents of either class that ``learn_from`` (a condition on the id) admits."""
+def numbered(words: list[str]) -> tuple[list[int], list[dict]]:
+    """Hashes of words in ascending order, and beside each hash the word's n-grams."""
+    if not words:
+        return [], []
+    hashes = word_hashes(" ".join(words).encode())[0].view(np.int64)
+    bucket, per_word = indexed(words)
+    found = dict(zip(hashes.tolist(), np.split(bucket, np.cumsum(per_word)[:-1]), strict=True))
+    return sorted(found), [{"word": h, "grams": found[h].tolist()} for h in sorted(found)]
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, learn_from, bound: int = FIT_ROWS, words: int = FIT_WORDS) -> Model | None:
+    """The model of about ``bound`` labelled documents of either class that ``learn_from`` (a condition on the id) admits.
+
+    Tasks turn texts into numbers; the driver gets, as arrays, at most about ``words`` numbers of distinct words of
+    documents (fewer documents are taken where these would have more) and the n-grams of each word once.
+    """
     # One table of both classes, each bounded: the label is the class, so rows of one class are picked at its own rate.
     parts = []
     for kind in (0, 1):
         rows = labelled(docs, labels.where(F.col(label).isin(0, 1)), label, learn_from & (F.col(label) == kind), bound)
-        parts.append(map_rows(rows, ["text"], "words array<string>", lambda: lambda t: (words_of(t),), ("_id", "label")))
-    rows = parts[0].unionByName(parts[1]).toArrow().sort_by([("_id", "ascending"), ("label", "ascending")])
-    return learn(rows["words"].to_pylist(), rows["label"].to_numpy())
+        outputs = "words array<long>, entries array<struct<word: long, grams: array<int>>>"
+        parts.append(map_rows(rows, ["text"], outputs, lambda: lambda t: numbered(words_of(t)), ("_id", "label")))
+    rows = checkpointed(parts[0].unionByName(parts[1]))
+    total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
+    if total > words:
+        rows = rows.where(F.pmod(F.xxhash64("_id", F.lit("words")), F.lit(1 << 30)) < int(words / total * (1 << 30)))
+    bags = rows.select("_id", "label", "words").toArrow().sort_by([("_id", "ascending"), ("label", "ascending")])
+    known = rows.select(F.inline("entries")).dropDuplicates(["word"]).toArrow().sort_by("word")
+    lists, entries = bags["words"].combine_chunks(), known["grams"].combine_chunks()
+    flat = np.searchsorted(known["word"].to_numpy(), lists.flatten().to_numpy())
+    sizes, per_word = (pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in (lists, entries))
+    return trained(flat, sizes.astype(np.int64), bags["label"].to_numpy().astype(float), entries.flatten().to_numpy(), per_word.astype(np.int64))
 
 
 def score(df: DataFrame, model: Model | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
