@@ -32,7 +32,7 @@ from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
 from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, STAR_ROUNDS, near, overlaps, set_key
 from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
-from titlelabels.session import shared_folder
+from titlelabels.session import checkpointed, shared_folder
 
 LEAST_WORDS = 20
 #: Two different sets of similarity 0.8 or more have so many shingles at least.
@@ -365,15 +365,22 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns, removed spans cut out of the texts; a text without repeats stays as it is."""
-    gone = repeats(df, id_col, text_col).where("removed")
-    gone = gone.groupBy(id_col).agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("_gone"))
-    whole = F.length(text_col)
+    """All rows and columns, removed spans cut out of the texts; a text without repeats stays as it is.
+
+    Every row is a document of its own, also where ids are null or the same: rows are numbered by id (nulls last), then by
+    the text's hash, and spans belong to a row's number.
+    """
+    order = [F.col(f"`{id_col}`").asc_nulls_last(), F.xxhash64(f"`{text_col}`"), F.col("__at")]
+    rows = df.withColumn("__at", F.monotonically_increasing_id()).orderBy(*order).drop("__at")
+    rows = checkpointed(rows.withColumn("__row", F.monotonically_increasing_id()))
+    gone = repeats(rows, "__row", text_col).where("removed")
+    gone = gone.groupBy("__row").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("__gone"))
     # Pieces between the spans: from the furthest end so far to the next begin.
     kept = F.expr(
-        f"aggregate(_gone, named_struct('at', 0, 'out', ''), (s, g) -> named_struct('at', greatest(s.at, g.end), "
+        f"aggregate(__gone, named_struct('at', 0, 'out', ''), (s, g) -> named_struct('at', greatest(s.at, g.end), "
         f"'out', concat(s.out, if(g.begin > s.at, substring(`{text_col}`, s.at + 1, g.begin - s.at), ''))))"
     )
-    out = df.join(gone, id_col, "left").withColumn("_kept", kept)
-    text = F.concat(F.col("_kept.out"), F.expr(f"substring(`{text_col}`, _kept.at + 1, {2**31 - 1})"))
-    return out.withColumn(text_col, F.when(F.col("_gone").isNull() | whole.isNull(), F.col(text_col)).otherwise(text)).select(df.columns)
+    out = rows.join(gone, "__row", "left").withColumn("__kept", kept)
+    text = F.concat(F.col("__kept.out"), F.expr(f"substring(`{text_col}`, __kept.at + 1, {2**31 - 1})"))
+    whole = F.col("__gone").isNull() | F.col(f"`{text_col}`").isNull()
+    return out.withColumn(text_col, F.when(whole, F.col(f"`{text_col}`")).otherwise(text)).select(*[F.col(f"`{c}`") for c in df.columns])
