@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from titlelabels.taxonomy import ROLE, ROLE_LABELS, TYPE, TYPE_LABELS
 
-# 64 titles; the place in the list is the title id.
-TITLES: tuple[str | None, ...] = (
+# Titles that a report of the job prints.
+PRINTED_TITLES = (
     "NURSING PROGRESS NOTE",
     "PHYSICIAN H&P",
     "PHYSICAL THERAPY EVALUATION",
@@ -36,6 +36,10 @@ TITLES: tuple[str | None, ...] = (
     "",
     "NOTE",
     "MISC CLINICAL DOCUMENTATION",
+)
+# 64 titles; the place in the list is the title id.
+TITLES: tuple[str | None, ...] = (
+    *PRINTED_TITLES,
     "IV ACCESS NOTE - PSYCHIATRY MEDICINE",
     "MEDICINE SERVICE MEDICATION REVIEW",
     "MEDICATION REVIEW BY MEDICINE",
@@ -165,6 +169,36 @@ def scaled_vector() -> Column:
     return F.expr("transform(cast(embedding AS array<double>), x -> x * (1 + vec_id % 7))")
 
 
+SHARED_TITLE = "TELEHEALTH VISIT"
+LETTERS_THRESHOLD = 0.85
+
+
+def own_title() -> Column:
+    return F.concat(pick(SERVICES, F.col("vec_id")), F.lit(" VISIT "), F.col("vec_id").cast("string"))
+
+
+def shared_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """A note with a title of its own per embedding; every second one has a note with the one shared title too."""
+    titles = F.when(F.col("vec_id") % 2 == 0, F.array(own_title(), F.lit(SHARED_TITLE))).otherwise(F.array(own_title()))
+    return read(spark, folder, "embeddings").select("vec_id", F.explode(titles).alias("note_title"))
+
+
+def title_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The vector of every title of :func:`shared_notes`: ``title, v``; the shared title has that of embedding 0."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", own_title().alias("title"), scaled_vector().alias("v"))
+    return vectors.select("title", "v").unionByName(vectors.where("vec_id = 0").select(F.lit(SHARED_TITLE).alias("title"), "v"))
+
+
+def numbered_title() -> Column:
+    own = F.concat_ws(" ", pick(SERVICES, F.col("o_custkey")), pick(KINDS, F.col("o_orderkey")), F.col("o_orderkey").cast("string"))
+    return F.when(F.col("o_orderkey") % 5 < 2, SHARED_TITLE).otherwise(own)
+
+
+def numbered_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """One note per order: two fifths with one title, the others with a title of their own."""
+    return read(spark, folder, "orders").select(*_note_columns(numbered_title()))
+
+
 def anchor_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Every embedding as an anchor of one role and one note type: ``dim, label, v``."""
     by_dim = F.array(
@@ -206,6 +240,26 @@ COMPOSED_SQL = _notes_sql(
     f"{_list_sql(SERVICES, 'o_custkey')} || ' ' || {_list_sql(KINDS, 'o_orderkey')} || "
     f"{_list_sql(SUFFIXES, 'o_orderkey')}",
 )
+NUMBERED_SQL = _notes_sql(
+    "notes",
+    f"CASE WHEN o_orderkey % 5 < 2 THEN {quoted(SHARED_TITLE)} ELSE {_list_sql(SERVICES, 'o_custkey')} || ' ' || "
+    f"{_list_sql(KINDS, 'o_orderkey')} || ' ' || o_orderkey END",
+)
+_OWN = f"{_list_sql(SERVICES, 'vec_id')} || ' VISIT ' || vec_id"
+_SCALED = "list_transform(embedding::DOUBLE[], lambda x: x * (1 + vec_id % 7))"
+SHARED_SQL = f"""snotes AS (
+  SELECT vec_id, unnest(CASE WHEN vec_id % 2 = 0 THEN [{_OWN}, {quoted(SHARED_TITLE)}] ELSE [{_OWN}] END) AS note_title
+  FROM embeddings),
+vnotes AS (
+  SELECT {_OWN} AS vec_id, {_OWN} AS note_title, {_SCALED} AS v FROM embeddings
+  UNION ALL SELECT {quoted(SHARED_TITLE)}, {quoted(SHARED_TITLE)}, {_SCALED} FROM embeddings WHERE vec_id = 0)"""
+
+
+def letters_sql(text: str) -> str:
+    count = f"length(lower({text})) - length(replace(lower({text}), chr((97 + i)::INTEGER), ''))"
+    return f"list_transform(range(26), lambda i: ({count})::DOUBLE)"
+
+
 BENCH_SQL = f"notes AS (SELECT {_list_sql(TITLES, 'l_orderkey')} AS note_title FROM lineitem)"
 VECTOR_NOTES_SQL = (
     f"vnotes AS (SELECT vec_id, {_list_sql(TITLES, 'vec_id')} AS note_title, list_transform(embedding::DOUBLE[], lambda x: x * (1 + vec_id % 7)) AS v FROM embeddings)"

@@ -187,6 +187,23 @@ VECTOR_HYBRID = with_(
     _merged("g.vec_id", "g.vec_id,"),
 )
 
+SHARED_HYBRID = VECTOR_HYBRID.replace(fx.VECTOR_NOTES_SQL, fx.SHARED_SQL)
+# The model counts letters; anchors have length 1, as every vector that a centroid is made of.
+LETTERS_HYBRID = (
+    VECTOR_HYBRID.replace(
+        fx.VECTOR_NOTES_SQL,
+        f"""{fx.COMPOSED_SQL},
+vnotes AS (SELECT note_title AS vec_id, note_title, {fx.letters_sql("note_title")} AS v FROM (SELECT DISTINCT note_title FROM notes)),
+{PHRASES},
+raw AS (SELECT dim, label, {fx.letters_sql("phrase")} AS v FROM phrases)""",
+    )
+    .replace(
+        fx.ANCHOR_VECTORS_SQL,
+        "anchors AS (SELECT dim, label, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM raw)",
+    )
+    .replace(f"s >= {fx.VECTOR_THRESHOLD}::DOUBLE", f"s >= {fx.LETTERS_THRESHOLD}::DOUBLE")
+)
+
 FLAT = "roles, types, role_conf, type_conf, source, tags, n_role_scores, n_type_scores"
 ELIGIBLE = "status IN ('COMPLETED', 'AMENDED', 'UNCOSIGNED') AND patient_class IN ('INPATIENT')"
 NOTE_FLAT = """roles AS note_roles, types AS note_types, role_conf, type_conf, source AS clf_source, tags AS rule_hits"""
@@ -284,6 +301,22 @@ def oracle() -> dict[str, str]:
         "hybrid_classify": VECTOR_HYBRID + f"SELECT vec_id, title AS note_title, {FLAT} FROM merged",
         "empty_result": hashed(notes) + f"SELECT note_id, note_title, {FLAT} FROM out WHERE source = 'EMPTY'",
         "classify_notes": hashed(composed) + f"SELECT note_id, note_title, {FLAT} FROM out",
+        "classify_hot_cold": hashed(fx.NUMBERED_SQL) + f"SELECT note_id, note_title, {FLAT} FROM out",
+        "classify_by_column": hashed(composed)
+        + f"SELECT note_id, note_title AS heading, author_name AS note_title, {FLAT} FROM out",
+        "classify_vector_table": SHARED_HYBRID
+        + f"SELECT s.vec_id, s.note_title, {FLAT} FROM snotes s JOIN merged m ON m.title = s.note_title",
+        "classify_model_vectors": LETTERS_HYBRID
+        + f"SELECT note_id, note_title, {FLAT} FROM notes JOIN merged m ON m.title = note_title",
+        "clustered_files": with_(composed) + "SELECT count(*) AS n_notes, 8 AS n_files, 0 AS n_overlaps, true AS balanced FROM notes",
+        "z_ordered_files": with_(notes) + "SELECT count(*) AS n_notes, 8 AS n_files, 0 AS n_overlaps, true AS balanced FROM notes",
+        "published_run": with_(notes, RULE_DATA, TAXONOMY, PHRASES)
+        + f"""SELECT {S.rule_conf_thresh}::DOUBLE AS rule_conf_thresh, {S.emb_conf_thresh}::DOUBLE AS emb_conf_thresh,
+              (SELECT count(*) FROM rules) AS n_rules,
+              (SELECT count(*) FROM taxonomy WHERE dim = 'role') AS n_role_labels,
+              (SELECT count(*) FROM taxonomy WHERE dim = 'type') AS n_type_labels, 'hashed-tokens-256' AS model,
+              count(*) AS n_notes, count(*) AS n_read, (SELECT count(DISTINCT (dim, label)) FROM phrases) AS n_anchor_labels
+              FROM notes WHERE {ELIGIBLE}""",
         "classify_notes_flat": hashed(notes) + f"SELECT note_id, {NOTE_FLAT} FROM out",
         "classify_line_notes": hashed(fx.BENCH_SQL)
         + """SELECT roles, types, role_conf, type_conf, source, count(*) AS n_notes FROM out

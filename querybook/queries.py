@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from querybook import fixtures as fx
+from querybook import letters
 from titlelabels.anchors import anchor_json, anchor_table
 from titlelabels.functions.text import is_blank, upper_title
 from titlelabels.functions.vectors import norm
 from titlelabels.operators.centroids import centroid_library, label_centroids
-from titlelabels.operators.classify import Labeller, classify_notes, distinct_titles, score_titles
+from titlelabels.operators.classify import Labeller, Limits, answers, classify_notes, distinct_titles, score_titles
 from titlelabels.operators.hybrid import (
     merged_confidence,
     merged_labels,
@@ -24,12 +25,13 @@ from titlelabels.operators.hybrid import (
 from titlelabels.operators.rules import label_weights, rule_hits, rule_struct, with_rules
 from titlelabels.operators.similarity import score_map, top_k, with_similarity
 from titlelabels.plans import reports
-from titlelabels.plans.labelling import label_notes
+from titlelabels.plans.labelling import label_notes, layout_weights, run
 from titlelabels.rulepack import rule_table
 from titlelabels.session import shared_folder
-from titlelabels.sources.encoders import HashedTokens, VectorColumn, normalised
+from titlelabels.sources import published
+from titlelabels.sources.encoders import HashedTokens, ModelVectors, VectorColumn, VectorTable, normalised
 from titlelabels.sources.notes import eligible_notes, has_class, has_status, scan_notes
-from titlelabels.sources.sinks import cluster_by_labels, write_notes
+from titlelabels.sources.sinks import cluster_by_labels, layout_report, write_notes
 from titlelabels.taxonomy import DIMS, ROLE, TYPE, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -409,6 +411,37 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return flat(classify_notes(fx.composed_notes(spark, folder)), "note_id", "note_title")
 
 
+@query("classify_hot_cold")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """One title holds two fifths of the notes, the others have a title each; fewer may be looked up than there are."""
+    out = classify_notes(fx.numbered_notes(spark, folder), labeller=Labeller(limits=Limits(titles=100)))
+    return flat(out, "note_id", "note_title")
+
+
+@query("classify_by_column")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The titles stand in a column of another name, beside a column of the usual one."""
+    notes = fx.composed_notes(spark, folder).withColumnRenamed("note_title", "heading")
+    out = classify_notes(notes.withColumn("note_title", F.col("author_name")), title_col="heading")
+    return flat(out, "note_id", "heading", "note_title")
+
+
+@query("classify_vector_table")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors come from a table of titles; one title holds a third of the notes."""
+    encoder = VectorTable(fx.title_vectors(spark, folder), fx.anchor_vectors(spark, folder))
+    labeller = Labeller(encoder=encoder, settings=VECTOR_SETTINGS, limits=Limits(titles=100))
+    return flat(classify_notes(fx.shared_notes(spark, folder), labeller=labeller), "vec_id", "note_title")
+
+
+@query("classify_model_vectors")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors come from a model on the workers; the most frequent titles are looked up, the others encoded once each."""
+    settings = Settings(emb_conf_thresh=fx.LETTERS_THRESHOLD)
+    labeller = Labeller(encoder=ModelVectors(letters.load, ""), settings=settings, limits=Limits(titles=200))
+    return flat(classify_notes(fx.composed_notes(spark, folder), labeller=labeller), "note_id", "note_title")
+
+
 @query("classify_notes_flat")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return classify_notes(fx.notes(spark, folder)).select(
@@ -510,6 +543,43 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_by_labels(labelled, z_order=True).select("note_id", "role_key", "type_key", "clf_source")
 
 
+def _written(spark: SparkSession, notes: DataFrame, z_order: bool) -> DataFrame:
+    """How the files of labelled notes lie, read back from them."""
+    path, labeller = shared_folder(spark), Labeller()
+    known = answers(notes, "note_title", labeller)
+    weights = layout_weights(notes, "note_title", labeller, known, z_order)
+    write_notes(classify_notes(notes, labeller=labeller, known=known), path=path, files=8, z_order=z_order, weights=weights)
+    laid = layout_report(spark, path, z_order)
+    return laid.select(
+        "n_notes",
+        F.col("n_files").cast("int").alias("n_files"),
+        F.col("n_overlaps").cast("int").alias("n_overlaps"),
+        (F.col("largest_share") <= 2).alias("balanced"),
+    )
+
+
+@query("clustered_files")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _written(spark, fx.composed_notes(spark, folder), False)
+
+
+@query("z_ordered_files")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _written(spark, fx.notes(spark, folder), True)
+
+
+@query("published_run")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job; what it published, read back: the manifest beside counts of the notes and the anchors."""
+    source, path = shared_folder(spark), shared_folder(spark)
+    fx.notes(spark, folder).write.parquet(source)
+    run(spark, source, path=path, files=8, model="hashed-tokens-256")
+    n_read = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
+    n_labels = published.read_anchors(spark, path=path).agg(F.sum(F.size(F.json_object_keys("value"))).cast("bigint")).scalar()
+    manifest = published.read_manifest(spark, path=path)
+    return manifest.select("*", n_read.alias("n_read"), n_labels.alias("n_anchor_labels"))
+
+
 @query("smoke_report")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     titles = distinct_titles(fx.notes(spark, folder), "note_title").select("title")

@@ -1,23 +1,22 @@
 """Entry points: label a table of notes, or a batch of titles.
 
-Note titles repeat: few distinct titles cover most rows. So distinct titles are
+Note titles repeat: few distinct titles cover most rows. So repeated titles are
 scored once and the results go back by a broadcast join, which moves no row.
-How many titles that covers is decided by a measurement, never by a guess:
 
-* titles that fit under the limits, the most frequent ones first (titles with at
-  least rows/limit rows are at most ``limit``), are answered by the join;
-* every row that has no answer then is scored where it stands. Hot titles cost
+* A sketch of fixed size names the titles that repeat, without a shuffle by title; as many
+  as the limits allow are answered by the join.
+* Every row that has no answer then is scored where it stands. Hot titles cost
   nothing, rows are not shuffled, no title is left out.
 
 Only an encoder that is too costly per row needs a shuffle, of the rows that
 fail a gate and are not hot; no title among them is frequent, so no task gets
-more than a small share.
+more than a small share. Such rows are kept in the shared folder first, so that
+answers belong to the rows that asked, also where the input cannot be read twice alike.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from titlelabels.anchors import anchor_table
 from titlelabels.operators.centroids import centroid_library, label_centroids
 from titlelabels.operators.hybrid import OUTPUT_SCHEMA, classification, needs_vector, with_classification
+from titlelabels.operators.hot import repeated_titles
 from titlelabels.operators.rules import rule_sql
 from titlelabels.rulepack import RULES, Rule
 from titlelabels.session import checkpointed
@@ -34,7 +34,7 @@ from titlelabels.taxonomy import DIMS, LABELS, Settings
 KEY = "__title_key"
 FOUND = "__title_found"
 
-# Titles are looked up by their hash, 64 letters.
+# Titles are looked up by themselves, or by their hash of 64 letters where they are as long.
 KEY_BYTES = 64
 
 
@@ -52,16 +52,9 @@ class Limits:
     titles: int = 50_000
     bytes: int = 256 * 1024 * 1024
 
-
-@dataclass(frozen=True)
-class TitleStats:
-    rows: int
-    titles: int
-
-    def cut(self, limits: Limits, each: int) -> int:
-        """Rows a title must have to be broadcast; at most as many titles reach it as fit, at ``each`` bytes."""
-        most = max(1, min(limits.titles, limits.bytes // (each + KEY_BYTES)))
-        return 1 if self.titles <= most else max(2, ceil(self.rows / most))
+    def most(self, each: int) -> int:
+        """Titles that may be broadcast, at ``each`` bytes a result."""
+        return max(1, min(self.titles, self.bytes // (each + KEY_BYTES)))
 
 
 @dataclass(frozen=True)
@@ -86,15 +79,25 @@ class Labeller:
             centroids = label_centroids(self.encoder.anchor_vectors(anchors))
         return centroid_library(centroids)
 
-    def score(self, df: DataFrame, title_col: str, out: str) -> DataFrame:
+    def score(self, df: DataFrame, title_col: str, out: str, known: str | None = None) -> DataFrame:
+        """Add the result as column ``out``; where ``known`` has one already, that is taken and nothing computed."""
         return with_classification(
-            df, title_col, self.encoder, self.library(df), self.rules, self.settings, out
+            df, title_col, self.encoder, self.library(df), self.rules, self.settings, out, known
         )
 
 
+@dataclass(frozen=True)
+class Answers:
+    """Results of the repeated titles of a table: ``lookup`` (``__t``, the result, ``n`` rows; None if no title repeats)
+    and the number of ``rows`` of the table."""
+
+    lookup: DataFrame | None
+    rows: int
+
+
 def lookup_key(title: str) -> Column:
-    """The title's hash, whatever its length."""
-    return F.sha2(F.col(title), 256)
+    """The title, or its hash if it is long; bounded, and a short title never equals a hash."""
+    return F.when(F.octet_length(title) < KEY_BYTES, F.col(title)).otherwise(F.sha2(F.col(title), 256))
 
 
 def title_counts(df: DataFrame, title_col: str) -> DataFrame:
@@ -111,67 +114,65 @@ def distinct_titles(df: DataFrame, title_col: str) -> DataFrame:
     return checkpointed(title_counts(df, title_col))
 
 
-def title_stats(counts: DataFrame) -> TitleStats:
-    """Size of the titles counted by :func:`title_counts`."""
-    row = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("titles"),
-    ).first()
-    return TitleStats(row["rows"], row["titles"])
+def answers(df: DataFrame, title_col: str, labeller: Labeller) -> Answers:
+    """Score the titles of ``df`` that repeat, as many as may be broadcast; kept in the shared folder."""
+    found = repeated_titles(df, title_col, labeller.limits.most(result_bytes(labeller.rules)))
+    if not found.count:
+        return Answers(None, found.rows)
+    scored = labeller.score(found.titles, "title", FOUND)
+    return Answers(checkpointed(scored.select(lookup_key("title").alias("__t"), FOUND, "n")), found.rows)
 
 
-def _answer(rows: DataFrame, titles: DataFrame, labeller: Labeller) -> DataFrame:
-    """Score titles, whose number and size were checked, and join the results to their rows."""
-    scored = labeller.score(titles.select("title"), "title", FOUND)
-    lookup = checkpointed(scored.select(lookup_key("title").alias("__t"), FOUND))
-    return rows.join(F.broadcast(lookup), lookup_key(KEY).eqNullSafe(F.col("__t")), "left").drop("__t")
+def _answered(rows: DataFrame, known: Answers) -> DataFrame:
+    """Rows with the results of repeated titles, null where a title has none."""
+    if known.lookup is None:
+        return rows.withColumn(FOUND, F.lit(None).cast(OUTPUT_SCHEMA))
+    lookup = F.broadcast(known.lookup.drop("n"))
+    return rows.join(lookup, lookup_key(KEY) == F.col("__t"), "left").drop("__t")
 
 
-def _classified(df: DataFrame, title_col: str, labeller: Labeller) -> DataFrame:
+def _classified(df: DataFrame, title_col: str, labeller: Labeller, known: Answers | None = None) -> DataFrame:
     """``df`` plus the result struct as column FOUND."""
     # Inside, the columns carry numbers, so that no name of the caller's can clash.
     names = [f"__c{i}" for i in range(len(df.columns))]
     rows = df.withColumn(KEY, F.col(title_col)).toDF(*names, KEY)
     labeller = replace(labeller, encoder=labeller.encoder.renamed(dict(zip(df.columns, names, strict=True))))
-    return _found(rows, labeller).select(*names, FOUND).toDF(*df.columns, FOUND)
+    return _found(rows, labeller, known).select(*names, FOUND).toDF(*df.columns, FOUND)
 
 
-def _found(rows: DataFrame, labeller: Labeller) -> DataFrame:
+def _found(rows: DataFrame, labeller: Labeller, known: Answers | None) -> DataFrame:
     if rows.isStreaming or not labeller.encoder.by_title:
         return labeller.score(rows, KEY, FOUND)
-    counts = distinct_titles(rows, KEY)
-    cut = title_stats(counts).cut(labeller.limits, result_bytes(labeller.rules))
-    answered = _answer(rows, counts.filter(F.col("n") >= cut), labeller)
-    # Every row without an answer is scored on its own, also where the rows read now are not
-    # those counted before. A row that has its answer is given no text, which makes that next to free.
-    cold = answered.withColumn("__cold", F.when(F.col(FOUND).isNull(), F.col(KEY)))
+    answered = _answered(rows, known or answers(rows, KEY, labeller))
+    # Rows without an answer are scored on their own, also where the rows read now are not
+    # those that were counted; rows with one evaluate nothing.
     if labeller.encoder.per_row:
-        own = labeller.score(cold, "__cold", "__own")
-        return own.withColumn(FOUND, F.coalesce(FOUND, "__own"))
-    return _cold_by_join(cold, labeller)
+        return labeller.score(answered, KEY, FOUND, known=FOUND)
+    return _cold_by_join(answered, labeller)
 
 
-def _cold_by_join(cold: DataFrame, labeller: Labeller) -> DataFrame:
+def _cold_by_join(answered: DataFrame, labeller: Labeller) -> DataFrame:
     """Rows not answered yet, for an encoder that works on distinct titles.
 
-    Only rows that fail a gate are shuffled, and each of their titles has fewer
-    rows than the hot cut.
+    The rows are kept with their rule results and read back: what asks for a vector and what is
+    answered are the same rows. Only rows that fail a gate are shuffled, and none of their titles is frequent.
     """
-    keep = [c for c in cold.columns if c not in (FOUND, "__cold")]
+    keep = [c for c in answered.columns if c != FOUND]
     settings = labeller.settings
-    ruled = cold.withColumn("__rules", F.expr(rule_sql("__cold", labeller.rules, settings)))
-    is_open = F.expr(needs_vector("__cold", "__rules", settings))
+    rules = f"CASE WHEN {FOUND} IS NULL THEN {rule_sql(KEY, labeller.rules, settings)} END"
+    is_open = F.col(FOUND).isNull() & F.expr(needs_vector(KEY, "__rules", settings))
+    staged = checkpointed(answered.withColumn("__rules", F.expr(rules)).withColumn("__open", is_open))
 
-    settled = ruled.filter(~is_open).withColumns(
-        {"__library": labeller.library(cold), "__vector": F.lit(None).cast("array<double>")}
+    settled = staged.filter(~F.col("__open")).withColumns(
+        {"__library": labeller.library(answered), "__vector": F.lit(None).cast("array<double>")}
     )
-    by_rules = F.expr(classification("__cold", "__rules", "__vector", "__library", settings, False))
+    by_rules = F.expr(classification(KEY, "__rules", "__vector", "__library", settings, False))
     settled = settled.select(*keep, F.coalesce(F.col(FOUND), by_rules).alias(FOUND))
 
-    unsettled = ruled.filter(is_open).select(*keep, "__cold")
-    titles = unsettled.select(F.col("__cold").alias("__t")).distinct()
+    unsettled = staged.filter("__open").select(*keep)
+    titles = unsettled.select(F.col(KEY).alias("__t")).distinct()
     scored = labeller.score(titles, "__t", FOUND)
-    joined = unsettled.join(scored, F.col("__cold") == F.col("__t"), "left").select(*keep, FOUND)
+    joined = unsettled.join(scored, F.col(KEY) == F.col("__t"), "left").select(*keep, FOUND)
     return settled.unionByName(joined)
 
 
@@ -186,12 +187,15 @@ FLAT_COLUMNS = {
 }
 
 
-def classify_notes(df: DataFrame, title_col: str = "note_title", labeller: Labeller | None = None) -> DataFrame:
+def classify_notes(
+    df: DataFrame, title_col: str = "note_title", labeller: Labeller | None = None, known: Answers | None = None
+) -> DataFrame:
     """The rows of ``df`` plus the struct ``classification`` and six flat columns.
 
-    Columns of the same names are overwritten; the number of rows is unchanged.
+    Columns of the same names are overwritten; the number of rows is unchanged. ``known`` may be
+    what :func:`answers` gave for the same titles.
     """
-    out = _classified(df, title_col, labeller or Labeller())
+    out = _classified(df, title_col, labeller or Labeller(), known)
     flat = {name: F.col(FOUND)[field] for name, field in FLAT_COLUMNS.items()}
     return out.withColumns({"classification": F.col(FOUND)} | flat).drop(FOUND)
 

@@ -103,14 +103,20 @@ def with_classification(
     rules: tuple[Rule, ...] = RULES,
     settings: Settings = Settings(),
     out: str = "classification",
+    known: str | None = None,
 ) -> DataFrame:
-    """Add the result struct to every row, computed on the row itself."""
+    """Add the result struct to every row, computed on the row itself.
+
+    Where column ``known`` holds a result, that is taken; neither such rows nor blank titles evaluate any rule.
+    """
     work = df.withColumn("__library", library)
     first = rule_sql(title_col, rules, settings)
     if encoder.per_row:
         vector = f"CASE WHEN {needs_vector(title_col, 'rul', settings)} THEN {encoder.sql(title_col)} END"
-        result = classification(title_col, "rul", "vec", "__library", settings, encoder.sparse)
-        return work.withColumn(out, F.expr(let("rul", first, let("vec", vector, result)))).drop("__library")
+        found = let("found", similarity_sql("vec", "__library", settings, encoder.sparse), merged("rul", "found", settings))
+        lazy = f"WHEN {is_blank(title_col)} THEN {blank_result()} ELSE {let('rul', first, let('vec', vector, found))} END"
+        given = f"WHEN {known} IS NOT NULL THEN {known} " if known else ""
+        return work.withColumn(out, F.expr(f"CASE {given}{lazy}")).drop("__library")
     work = work.withColumn("__rules", F.expr(first))
     work = encoder.add_vectors(work, title_col, "__vector", needs_vector(title_col, "__rules", settings))
     result = classification(title_col, "__rules", "__vector", "__library", settings, encoder.sparse)

@@ -21,6 +21,12 @@ RUN_LENGTH = 8
 
 WEIGHTS = "array<struct<label:string,weight:double>>"
 
+# The result of a title on which no rule fires.
+_NONE = "cast(array() AS array<string>)"
+NOTHING = f"""named_struct('roles', {_NONE}, 'note_types', {_NONE}, 'role_confidence', 0.0D, 'type_confidence', 0.0D,
+    'rule_hits', {_NONE}, 'fired', cast(array() AS array<struct<rule_id:int,tag:string>>),
+    'role_weights', cast(array() AS {WEIGHTS}), 'type_weights', cast(array() AS {WEIGHTS}))"""
+
 
 def search(text: str, rules: tuple[Rule, ...]) -> str:
     """Array of booleans, one per rule; ``text`` is a folded title."""
@@ -92,7 +98,9 @@ def rule_sql(title: str, rules: tuple[Rule, ...] = RULES, settings: Settings = S
         'type_confidence', {confidence("s.type", settings)},
         'rule_hits', transform(s.fired, f -> f.tag),
         'fired', s.fired, 'role_weights', s.role, 'type_weights', s.type)"""
-    scored = let("hits", search("text", rules), let("s", weighed + ")", result))
+    # Most titles of a long tail fire nothing: neither weights nor lists are built for them.
+    fired = f"CASE WHEN exists(hits, hit -> hit) THEN {let('s', weighed + ')', result)} ELSE {NOTHING} END"
+    scored = let("hits", search("text", rules), fired)
     return let("text", f"coalesce({fold_title(title)}, '')", scored)
 
 

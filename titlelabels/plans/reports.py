@@ -125,25 +125,29 @@ def _list_text(labels: Column) -> Column:
     )
 
 
-def _number(value: Column) -> Column:
-    """Three decimals, rounded from the exact binary value, right-aligned in six places."""
-    return F.lpad(F.format_number(F.round(value.cast("double"), 4), 3), 6, " ")
+def _number(value: Column, width: int) -> Column:
+    """Three decimals, rounded from the exact binary value, aligned right."""
+    return F.lpad(F.format_number(F.round(value.cast("double"), 4), 3), width, " ")
 
 
-REPORT_HEADER = f"{'TITLE':<45} {'ROLES':<30} {'TYPES':<40} {'SOURCE':<18} {'R_CONF':>6} {'T_CONF':>6}"
-REPORT_RULE = "-" * 155
+# Names and widths of the report's columns; texts are aligned left, numbers right.
+REPORT_TEXTS = (("TITLE", 45), ("ROLES", 30), ("TYPES", 40), ("SOURCE", 18))
+REPORT_NUMBERS = (("R_CONF", 6), ("T_CONF", 6))
+REPORT_RULE_WIDTH = 155
+
+REPORT_HEADER = " ".join([name.ljust(n) for name, n in REPORT_TEXTS] + [name.rjust(n) for name, n in REPORT_NUMBERS])
+REPORT_RULE = "-" * REPORT_RULE_WIDTH
 
 
 def report_lines(scored: DataFrame) -> DataFrame:
     """Fixed-width lines (``title, line``) for a frame of scored titles."""
-    cut = F.substring(F.coalesce("title", F.lit("")), 1, 44)
-    line = F.concat_ws(
-        " ",
-        _padded(cut, 45),
-        _padded(_list_text(F.col("roles")), 30),
-        _padded(_list_text(F.col("note_types")), 40),
-        _padded(F.col("classification_source"), 18),
-        _number(F.col("role_confidence")),
-        _number(F.col("note_type_confidence")),
-    )
-    return scored.select("title", line.alias("line"))
+    title_width = REPORT_TEXTS[0][1]
+    texts = [
+        F.substring(F.coalesce("title", F.lit("")), 1, title_width - 1),
+        _list_text(F.col("roles")),
+        _list_text(F.col("note_types")),
+        F.col("classification_source"),
+    ]
+    padded = [_padded(text, n) for text, (_, n) in zip(texts, REPORT_TEXTS, strict=True)]
+    numbers = [_number(F.col(c), n) for c, (_, n) in zip(("role_confidence", "note_type_confidence"), REPORT_NUMBERS, strict=True)]
+    return scored.select("title", F.concat_ws(" ", *padded, *numbers).alias("line"))
