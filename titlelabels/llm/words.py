@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+#: Longer words are hashed by BLAKE2: sums of powers modulo 2^64 are equal for some long words that differ.
+LONG_WORD = 64
 #: Bytes worked on at a time: temporary arrays stay below some 30 MB.
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -53,7 +57,11 @@ def _chunk(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     np.cumsum(sums, out=sums)
     hashes = (sums[ends] - sums[starts]) * inverse[starts]
     hashes += (ends - starts).astype(np.uint64) * _ODD
-    return mix(hashes), starts, ends
+    hashes = mix(hashes)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        digest = hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest()
+        hashes[k] = np.frombuffer(digest, np.uint64)[0]
+    return hashes, starts, ends
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
