@@ -12,9 +12,9 @@ What keeps large groups from costing the square of their size, without losing a
 * texts of equal sets are one node;
 * in every bucket (a shingle and the nodes with it in their prefix) the node with most
   shared shingles is compared with the others first; what it links is one component;
-* only nodes of different components are compared after that;
-* a pair is compared only where the prefix shingles that both share, and before that those
-  that either shares with anyone, leave 0.8 within reach.
+* only nodes of different components are compared after that, block by block;
+* a pair's sets are read only where the prefix shingles that either shares with anyone, and then a few parity
+  bits of both sets, leave 0.8 within reach. Bits that differ are a lower bound of the shingles that do.
 
 Words are lower-cased A-Z and split at white space. A text of fewer words than a shingle is
 one shingle; without words, or null, it has the empty set and no links. Shingles and sets are
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
 from titlelabels.llm.words import LOWER, shingles, word_hashes
-from titlelabels.session import checkpointed, shared_folder
+from titlelabels.session import checkpointed, scratch, shared_folder
 
 SIZE = 5
 #: A shingle is common where so many prefixes by hash order hold it.
@@ -46,6 +46,12 @@ FRAGMENTS = 8
 BROADCAST_ROWS = 1 << 20
 #: Rounds in which a bucket's nodes meet one leader, before all remaining pairs.
 STAR_ROUNDS = 2
+#: Bits a shingle that are compared before sets are.
+SPREAD = 4
+#: Nodes of a bucket that is joined with itself.
+SMALL = 16
+#: Nodes of a larger bucket that are compared with as many others in one task at a time.
+TILE = 2_048
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -59,7 +65,8 @@ def set_key(found: np.ndarray) -> int:
     """A hash of the set."""
     places = np.arange(1, len(found) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (found ^ (found >> np.uint64(29))) * (places | np.uint64(1))
-    total = int(np.bitwise_xor.reduce(mixed)) ^ (int(mixed.sum(dtype=np.uint64)) * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+    # The sum is taken over other bits than the parity that the xor has already.
+    total = int(np.bitwise_xor.reduce(mixed)) ^ (int((mixed >> np.uint64(7)).sum(dtype=np.uint64)) * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
     return int(np.uint64((total * 0xBF58476D1CE4E5B9 + len(found)) & (1 << 64) - 1).astype(np.int64))
 
 
@@ -67,8 +74,19 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
+def parity_bits(found: np.ndarray) -> np.ndarray:
+    """For every remainder of a shingle modulo a power of two, whether an odd number of shingles has it; as words of 64 bits.
+
+    Two sets differ in as many shingles as their bits differ at least. There are some ``SPREAD`` bits a shingle; halves
+    put together by exclusive or are the bits for half as many remainders.
+    """
+    words = 1 << max(0, (SPREAD * len(found) - 1) // 64).bit_length()
+    places = (found & np.uint64(64 * words - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=64 * words).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+
+
 def survey(df: DataFrame) -> DataFrame:
-    """Of ``id`` and ``text``: id, set size n, node (null without words) and mark (a hash of the text) of every document."""
+    """Of ``id`` and ``text``: id, set size n, node (null without words), its bits and mark (a hash of the text) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -76,10 +94,11 @@ def survey(df: DataFrame) -> DataFrame:
                 batch = whole.slice(start, SLICE)
                 sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
                 nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-                columns = [batch.column(0), pa.array(map(len, sets), pa.int64()), nodes, batch.column(2)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "node", "mark"])
+                bits = pa.array([parity_bits(s) if len(s) else None for s in sets], pa.list_(pa.int64()))
+                columns = [batch.column(0), pa.array(map(len, sets), pa.int64()), nodes, bits, batch.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "node", "bits", "mark"])
 
-    return df.select("id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, "id long, n long, node long, mark long")
+    return df.select("id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, "id long, n long, node long, bits array<long>, mark long")
 
 
 def prefix_length(n: int) -> int:
@@ -215,9 +234,11 @@ def segments(df: DataFrame, ids: DataFrame) -> DataFrame:
 
 def overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """a, b, n_a, n_b and the overlap of every pair: counted in each fragment, summed per pair."""
+    # Parts are dealt by node and fragment once; a pair's first part moves to its second one.
+    keyed = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
     left = parts.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
     right = parts.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
-    both = pairs.join(left, "a").join(right, ["b", "fragment"])
+    both = keyed.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
     shared = F.size(F.array_intersect("part_a", "part_b"))
     return both.groupBy("a", "b", "n_a", "n_b").agg(F.sum(shared).cast("long").alias("overlap"))
 
@@ -252,57 +273,162 @@ def _pairs(both: DataFrame) -> DataFrame:
     return both.select(*pick).distinct()
 
 
-def _stars(rows: DataFrame) -> DataFrame:
-    """Pairs of every node of a bucket with the bucket's leader: the node with most common shingles."""
+def _apart(x: str, y: str) -> F.Column:
+    """How many bits of ``bits_x`` and ``bits_y`` differ, halves of the longer ones put together."""
+    half = lambda x, y: f"if(size({x}) > size({y}), zip_with(slice({x}, 1, size({y})), slice({x}, size({y}) + 1, size({y})), (p, q) -> p ^ q), {x})"
+    x, y = f"bits_{x}", f"bits_{y}"
+    return F.expr(f"aggregate(zip_with({half(x, y)}, {half(y, x)}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)")
+
+
+def _with_bits(pairs: DataFrame, bits: DataFrame, sides: tuple[str, str], node: str = "") -> DataFrame:
+    """Pairs with the bits of both nodes; those that leave 0.8 within reach: such sets differ in a ninth of their sizes' sum at most."""
+    for side in sides:
+        pairs = pairs.join(bits.select(F.col("node").alias(f"{node}{side}"), F.col("bits").alias(f"bits_{side}")), f"{node}{side}")
+    pairs = pairs.withColumn("differ", _apart(*sides)).drop(*[f"bits_{side}" for side in sides])
+    return pairs.where(9 * F.col("differ") <= sum(F.col(f"n_{side}") for side in sides))
+
+
+def _alike(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    return _with_bits(pairs, bits, ("a", "b")).select("a", "b", "n_a", "n_b")
+
+
+def _stars(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """Every node of a bucket with one leader of its buckets, the one nearest by bits; a leader is its bucket's node with most common shingles.
+
+    So there are at most as many pairs as nodes. What another leader would have linked is left for later rounds.
+    """
     tops = rows.groupBy("shingle").agg(F.max(F.struct("shared", *[c for c in _OF_NODE if c != "shared"])).alias("_top"))
     tops = tops.select("shingle", *[F.col(f"_top.{c}").alias(f"{c}_y") for c in _OF_NODE])
-    return _pairs(_named(rows, "x").join(tops, "shingle"))
+    both = _named(rows, "x").join(tops, "shingle")
+    both = both.where((F.col("node_x") != F.col("node_y")) & within_reach("x", "y", F.least("met_x", "met_y")))
+    both = _with_bits(both.select("node_x", "n_x", "node_y", "n_y").distinct(), bits, ("x", "y"), "node_")
+    far = F.struct((F.col("differ") / (F.col("n_x") + F.col("n_y"))).alias("far"), F.col("node_y").alias("node"))
+    nearest = both.groupBy("node_x", "n_x").agg(F.min_by(F.struct("node_y", "n_y"), far).alias("_y")).select("node_x", "n_x", "_y.*")
+    swap = F.col("node_x") > F.col("node_y")
+    pick = [(F.when(swap, F.col(f"{c}_{v}")).otherwise(F.col(f"{c}_{u}"))).alias(name) for c, u, v, name in (("node", "x", "y", "a"), ("node", "y", "x", "b"), ("n", "x", "y", "n_a"), ("n", "y", "x", "n_b"))]
+    return nearest.select(*pick).distinct()
 
 
-def _prefixes_of(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """node and prefix of the given nodes only; few of them are broadcast, so that other sets stay where they are."""
-    nodes = compact(nodes.distinct())
-    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
-    found = sets.join(nodes, "node", "left_semi")
-    return found.select("node", F.concat("rare", "often").alias("prefix")).dropDuplicates(["node"])
+#: Pairs of a tile looked at in one step.
+STEP = 1 << 17
 
 
-def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of a bucket's nodes in different components that are within reach.
+def tile_pairs(about: np.ndarray, bits: np.ndarray, begins: np.ndarray, words: np.ndarray, alone: bool) -> list[np.ndarray]:
+    """Pairs of a tile whose components differ and whose sizes, shared shingles and bits leave 0.8 within reach: arrays of a, b, n_a, n_b.
 
-    A common shingle's bucket may hold thousands of near copies, so its rows bring their
-    prefixes along and only pairs that share enough of them come out of the join.
+    ``about`` has node, n, length, met, component and side of every row, ``bits`` all bits, those of a row from ``begins`` on, ``words`` long.
     """
-    rows = rows.withColumn("prefix", F.array().cast("array<bigint>"))
-    cold, hot = rows.where("not hot"), rows.where("hot").drop("prefix")
-    hot = hot.join(_prefixes_of(hot.select("node"), sets), "node")
-
-    def join(part: DataFrame, enough: list[F.Column]) -> DataFrame:
-        x, y = _named(part, "x", "component", "prefix"), _named(part, "y", "component", "prefix")
-        fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
-        fits &= within_reach("x", "y", F.least("met_x", "met_y"))
-        for more in enough:
-            fits &= more
-        return _pairs(x.join(y, (x.shingle == y.shingle) & fits))
+    order = np.argsort(about[1], kind="stable")
+    node, n, length, met, component, side = about[:, order]
+    begins, words = begins[order], words[order]
+    ends = np.searchsorted(n, n * 5 // 4, side="right")
+    step = max(1, STEP // len(n))
+    out: list[np.ndarray] = []
+    for first in range(0, len(n), step):
+        last = min(first + step, len(n))
+        x, y = np.arange(first, last)[:, None], np.arange(first + 1, max(ends[last - 1], first + 1))[None, :]
+        fits = (y > x) & (y < ends[first:last, None]) & (component[y] != component[x])
+        if not alone:
+            fits &= side[y] != side[x]
+        x, y = np.nonzero(fits)
+        x, y = x + first, y + first + 1
+        left = np.maximum(n[x] - length[x], n[y] - length[y])
+        most = np.minimum(np.minimum(met[x], met[y]) + left, n[x])
+        near_enough = 9 * most >= 4 * (n[x] + n[y])
+        x, y = x[near_enough], y[near_enough]
+        for size in np.unique(words[x]).tolist():
+            places = np.arange(size)
+            here = np.flatnonzero(words[x] == size)
+            for at in range(0, len(here), STEP // 8):
+                i, j = x[here[at : at + STEP // 8]], y[here[at : at + STEP // 8]]
+                other = bits[begins[j][:, None] + places]
+                twice = words[j] > size  # halves put together
+                other[twice] ^= bits[begins[j][twice][:, None] + size + places]
+                differ = bits[begins[i][:, None] + places] ^ other
+                differ = np.bitwise_count(differ.view(np.uint64)).sum(axis=1, dtype=np.int64)  # of signed numbers it would count their amount
+                alike = 9 * differ <= n[i] + n[j]
+                i, j = i[alike], j[alike]
+                swap = node[i] > node[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                if len(i):
+                    out.append(np.unique(np.stack([node[i], node[j], n[i], n[j]]), axis=1))
+    return out
+
+
+def _batch(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if found:
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "n_a", "n_b"])
+
+
+def _rest(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs of a bucket's nodes in different components that their bits leave within reach.
+
+    Pairs share as many of these buckets as their prefixes have in common. Buckets of up to ``SMALL`` nodes are joined with
+    themselves. Nodes of a larger bucket are cut into blocks, and every two blocks meet in a task, which compares the bits of all
+    its nodes at once; only what is left comes out. A bucket of any size costs one row a node and block.
+    """
+    met = rows.groupBy("node").agg(F.count("*").cast("int").alias("met"))
+    sizes = rows.groupBy("shingle").agg(F.count("*").alias("size"))
+    rows = compact(rows.drop("met").join(met, "node").join(sizes, "shingle"))
+    small = rows.where(F.col("size") <= SMALL)
+    x, y = _named(small, "x", "component"), _named(small, "y", "component")
+    fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
+    few = _alike(_pairs(x.join(y, "shingle").where(fits)), bits)
+
+    rows = rows.where(F.col("size") > SMALL).withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int")).join(bits, "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "shingle"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    side = (F.col("block") > F.col("other")).cast("int").alias("side")
+    about = ["node", "n", "length", "met", "component", "side", "bits"]
+    dealt = rows.select("shingle", low, high, "node", "n", "length", "met", "component", side, "bits")
+    dealt = dealt.repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high")
 
-    shared = F.size(F.array_intersect("prefix_x", "prefix_y"))
-    return join(cold, []).unionByName(join(hot, [within_reach("x", "y", shared)])).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []  # the tile that goes on, in pieces
 
+        def done(found: list[np.ndarray]) -> None:
+            about, lists = (np.concatenate([piece[k] for piece in held], axis=-1) for k in (0, 1))
+            words = np.concatenate([piece[2] for piece in held])
+            if len(words) > 1:
+                found += tile_pairs(about, lists, np.cumsum(words) - words, words, group[1] == group[2])
 
-def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs that are within reach by the prefix shingles they share."""
-    live = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    found = compact(_prefixes_of(live, sets))
-    for side in ("a", "b"):
-        pairs = pairs.join(found.select(F.col("node").alias(side), F.col("prefix").alias(f"prefix_{side}")), side)
-    return pairs.where(within_reach("a", "b", F.size(F.array_intersect("prefix_a", "prefix_b")))).select("a", "b", "n_a", "n_b")
+        for whole in batches:
+            if not whole.num_rows:
+                continue
+            keys = np.stack([c.to_numpy() for c in whole.columns[:3]])
+            rows = np.stack([c.to_numpy().astype(np.int64) for c in whole.columns[3:9]])
+            lists = whole.column(9)
+            bits, edges = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+            edges = edges - edges[0]
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            found: list[np.ndarray] = []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows], strict=True):
+                key = tuple(keys[:, a].tolist())
+                if key != group:
+                    if held:
+                        done(found)
+                    group, held = key, []
+                held.append((rows[:, a:b], bits[edges[a] : edges[b]], np.diff(edges[a : b + 1])))
+            yield from _batch(found)
+        if held:
+            found = []
+            done(found)
+            yield from _batch(found)
+
+    many = dealt.select("shingle", "low", "high", *about).mapInArrow(run, "a long, b long, n_a long, n_b long")
+    return few.select("a", "b", F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b")).unionByName(many).distinct()
 
 
 def _open(rows: DataFrame, member: DataFrame) -> DataFrame:
     """Bucket rows with their node's component, in buckets that hold more than one."""
-    rows = rows.join(member, "node", "left").withColumn("component", F.coalesce("component", "node")).select("shingle", "hot", *_OF_NODE, "component")
-    mixed = rows.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    return rows.join(mixed.where("_low < _high").select("shingle"), "shingle", "left_semi")
+    placed = F.coalesce("component", "node").alias("component")
+    narrow = rows.select("shingle", "node").join(member, "node", "left").select("shingle", placed)
+    mixed = narrow.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    mixed = checkpointed(mixed.where("_low < _high").select("shingle"))
+    rows = rows.join(mixed, "shingle", "left_semi").join(member, "node", "left")
+    return rows.select("shingle", "hot", *_OF_NODE, placed)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -321,26 +447,36 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _placed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, node, mark and _key (its component; null without words) of every row."""
+    """id, n, node, mark and _key (its component; null without words) of every row, kept in the shared folder; all tables on the way are deleted."""
     spark = df.sparkSession
+    path = shared_folder(spark)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    folder = shared_folder(spark)
-    survey(docs).write.parquet(f"{folder}/survey")
-    nodes = spark.read.parquet(f"{folder}/survey")
-    prefixes(docs, common_shingles(first_shingles(docs))).write.parquet(f"{folder}/prefixes")
-    sets = spark.read.parquet(f"{folder}/prefixes")
-    held = compact(buckets(sets))
-    met = held.groupBy("node").agg(F.count("*").cast("int").alias("met"))
-    length = (F.size("rare") + F.size("often")).alias("length")
-    about = compact(sets.select("node", "n", "shared", length).join(met, "node").dropDuplicates(["node"]))
-    held = compact(held.join(about, "node"))
-    # Sets of the nodes that any pair so far needs; prefixes of all nodes in buckets.
-    sets = compact(sets.join(about.select("node"), "node", "left_semi"))
+    with scratch(spark):
+        nodes = checkpointed(survey(docs))
+        member = _members(docs, nodes)
+        out = nodes.drop("bits").join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
+        out.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and ``component`` of all nodes with links."""
+    folder = shared_folder(spark := docs.sparkSession)
+    with scratch(spark):  # prefixes go as soon as the buckets are there
+        sets = checkpointed(prefixes(docs, common_shingles(first_shingles(docs))))
+        found = compact(buckets(sets))
+        met = found.groupBy("node").agg(F.count("*").cast("int").alias("met"))
+        length = (F.size("rare") + F.size("often")).alias("length")
+        about = compact(sets.select("node", "n", "shared", length).join(met, "node").dropDuplicates(["node"]))
+        found.join(about, "node").write.parquet(f"{folder}/held")
+        about.select("node").write.parquet(f"{folder}/about")
+    held, about = (compact(spark.read.parquet(f"{folder}/{name}")) for name in ("held", "about"))
+    bits = compact(nodes.select("node", "bits").join(about.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
     links = decided = None
     for turn in range(STAR_ROUNDS + 1):
         if turn == 0:
-            pairs = _stars(held)
+            pairs = _stars(held, bits)
         else:
             left = compact(_open(held, compact(components(links))))
             if left.isEmpty():
@@ -349,20 +485,20 @@ def _placed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 # The component of the bucket's leader steps back, and the best of the others leads.
                 tops = left.groupBy("shingle").agg(F.max(F.struct("shared", "node", "component")).alias("_top"))
                 others = left.join(tops.select("shingle", F.col("_top.component").alias("_first")), "shingle")
-                pairs = _stars(others.where("component <> _first"))
+                pairs = _stars(others.where("component <> _first"), bits)
             else:
-                pairs = _rest(left, sets)
+                pairs = _rest(left, bits)
             pairs = pairs.join(decided.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = compact(_likely(compact(pairs), sets))
+        pairs = compact(pairs)
+        if turn and pairs.isEmpty():
+            continue
         live = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ids = nodes.join(live, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
         new = compact(overlaps(pairs, segments(docs, compact(ids))))
         found_links = new.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
         decided = new if decided is None else decided.unionByName(new)
         links = found_links if links is None else compact(links.unionByName(found_links))
-
-    member = compact(components(links))
-    return nodes.join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
+    return compact(components(links))
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
