@@ -236,3 +236,42 @@ def test_pages_with_columns_of_the_results(spark):
     pages = spark.createDataFrame([(1, "u", "<p>some text of a page</p>", "old", 9), (None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars long")
     got = {r.page_id: (r.text, r.n_chars) for r in main_text.main_text(pages, keep=("page_id", "text", "n_chars")).collect()}
     assert got == {1: ("some text of a page", 19), None: ("", 0)}
+
+
+# Tiles of the Jaccard join
+
+
+def test_tiles_give_the_pairs_of_a_join(spark, monkeypatch):
+    """Near copies in large buckets: whatever the size from which buckets are cut, and into however many blocks, the same pairs come out."""
+    r = random.Random(4)
+    rows, bits = [], []
+    for k in range(240):
+        base = np.random.default_rng(k % 6).integers(0, 1 << 63, 90 if k % 6 else 70, dtype=np.uint64) * np.uint64(2) + np.uint64(k % 2)
+        own = np.random.default_rng(1000 + k).integers(0, 1 << 63, 40, dtype=np.uint64)
+        found = np.unique(np.concatenate([base, own[: 1 + r.randrange(0, 16)]]))
+        node = jaccard_join.set_key(found)
+        bits.append((node, jaccard_join.parity_bits(found).tolist()))
+        length = jaccard_join.prefix_length(len(found))
+        rows += [(int(b), node, len(found), length, length, 9, k, False) for b in range(k % 6, 120, 6)]
+    left = spark.createDataFrame(rows, "shingle long, node long, n int, length int, met int, shared int, component long, hot boolean")
+    known = spark.createDataFrame(bits, "node long, bits array<long>")
+    got = []
+    for small, tile in ((1000, 1000), (0, 1000), (0, 7), (16, 16)):
+        monkeypatch.setattr(jaccard_join, "SMALL", small)
+        monkeypatch.setattr(jaccard_join, "TILE", tile)
+        got.append({tuple(x) for x in jaccard_join._rest(left, known).collect()})
+    assert len(got[0]) > 100
+    for other in got[1:]:
+        assert sorted(other - got[0]) == sorted(got[0] - other) == []
+
+
+def test_parity_bits_never_differ_more_than_the_sets():
+    for k in range(60):
+        g = np.random.default_rng(k)
+        one = np.unique(g.integers(0, 1 << 63, int(g.integers(1, 400)), dtype=np.uint64))
+        two = np.unique(np.concatenate([one[g.random(len(one)) < 0.9], g.integers(0, 1 << 63, 9, dtype=np.uint64)]))
+        a, b = sorted((jaccard_join.parity_bits(one), jaccard_join.parity_bits(two)), key=len)
+        while len(b) > len(a):
+            b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+        differ = sum(bin(int(x) & FULL).count("1") for x in a ^ b)
+        assert differ <= len(np.setxor1d(one, two))
