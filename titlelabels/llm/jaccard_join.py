@@ -12,7 +12,8 @@ What keeps large groups from costing the square of their size, without losing a
 * texts of equal sets are one node;
 * in every bucket (a shingle and the nodes with it in their prefix) the node with most
   shared shingles is compared with the others first; what it links is one component;
-* only nodes of different components are compared after that, block by block;
+* only nodes of different components are compared after that, block by block: first the nearest pairs that
+  would connect a block's components, then all pairs that no link has brought together;
 * a pair's sets are read only where the prefix shingles that either shares with anyone, and then a few parity
   bits of both sets, leave 0.8 within reach. Bits that differ are a lower bound of the shingles that do.
 
@@ -46,6 +47,8 @@ FRAGMENTS = 8
 BROADCAST_ROWS = 1 << 20
 #: Rounds in which a bucket's nodes meet one leader, before all remaining pairs.
 STAR_ROUNDS = 2
+#: Rounds after these in which only the nearest pairs between components are compared, before all that remain.
+FOREST_ROUNDS = 2
 #: Bits a shingle that are compared before sets are.
 SPREAD = 4
 #: Nodes of a bucket that is joined with itself.
@@ -313,10 +316,28 @@ def _stars(rows: DataFrame, bits: DataFrame) -> DataFrame:
 STEP = 1 << 17
 
 
-def tile_pairs(about: np.ndarray, bits: np.ndarray, begins: np.ndarray, words: np.ndarray, alone: bool) -> list[np.ndarray]:
+def forest(pairs: np.ndarray) -> np.ndarray:
+    """Of pairs (a, b, n_a, n_b, component of a, of b, bits that differ) the nearest ones that connect the same components as all."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    kept = []
+    for k in np.lexsort((pairs[1], pairs[0], pairs[6] / (pairs[2] + pairs[3]))).tolist():
+        x, y = root(int(pairs[4, k])), root(int(pairs[5, k]))
+        if x != y:
+            parent[x] = y
+            kept.append(k)
+    return pairs[:, kept]
+
+
+def tile_pairs(about: np.ndarray, bits: np.ndarray, begins: np.ndarray, words: np.ndarray, alone: bool, sparse: bool = False) -> list[np.ndarray]:
     """Pairs of a tile whose components differ and whose sizes, shared shingles and bits leave 0.8 within reach: arrays of a, b, n_a, n_b.
 
-    ``about`` has node, n, length, met, component and side of every row, ``bits`` all bits, those of a row from ``begins`` on, ``words`` long.
+    With ``sparse`` only the nearest ones that connect the same components as all of them. ``about`` has node, n, length, met, component and side of every row, ``bits`` all bits, those of a row from ``begins`` on, ``words`` long.
     """
     order = np.argsort(about[1], kind="stable")
     node, n, length, met, component, side = about[:, order]
@@ -347,12 +368,15 @@ def tile_pairs(about: np.ndarray, bits: np.ndarray, begins: np.ndarray, words: n
                 differ = bits[begins[i][:, None] + places] ^ other
                 differ = np.bitwise_count(differ.view(np.uint64)).sum(axis=1, dtype=np.int64)  # of signed numbers it would count their amount
                 alike = 9 * differ <= n[i] + n[j]
-                i, j = i[alike], j[alike]
+                i, j, differ = i[alike], j[alike], differ[alike]
                 swap = node[i] > node[j]
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
                 if len(i):
-                    out.append(np.unique(np.stack([node[i], node[j], n[i], n[j]]), axis=1))
-    return out
+                    pairs = np.stack([node[i], node[j], n[i], n[j], component[i], component[j], differ])
+                    out.append(forest(pairs) if sparse else pairs)
+    if sparse and len(out) > 1:
+        out = [forest(np.concatenate(out, axis=1))]
+    return [np.unique(pairs[:4], axis=1) for pairs in out]
 
 
 def _batch(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -361,8 +385,8 @@ def _batch(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "n_a", "n_b"])
 
 
-def _rest(rows: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs of a bucket's nodes in different components that their bits leave within reach.
+def _rest(rows: DataFrame, bits: DataFrame, sparse: bool = False) -> DataFrame:
+    """Pairs of a bucket's nodes in different components that their bits leave within reach; with ``sparse``, of each tile a forest of them.
 
     Pairs share as many of these buckets as their prefixes have in common. Buckets of up to ``SMALL`` nodes are joined with
     themselves. Nodes of a larger bucket are cut into blocks, and every two blocks meet in a task, which compares the bits of all
@@ -392,7 +416,7 @@ def _rest(rows: DataFrame, bits: DataFrame) -> DataFrame:
             about, lists = (np.concatenate([piece[k] for piece in held], axis=-1) for k in (0, 1))
             words = np.concatenate([piece[2] for piece in held])
             if len(words) > 1:
-                found += tile_pairs(about, lists, np.cumsum(words) - words, words, group[1] == group[2])
+                found += tile_pairs(about, lists, np.cumsum(words) - words, words, group[1] == group[2], sparse)
 
         for whole in batches:
             if not whole.num_rows:
@@ -474,7 +498,8 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     bits = compact(nodes.select("node", "bits").join(about.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
     links = decided = None
-    for turn in range(STAR_ROUNDS + 1):
+    last = STAR_ROUNDS + FOREST_ROUNDS
+    for turn in range(last + 1):
         if turn == 0:
             pairs = _stars(held, bits)
         else:
@@ -487,7 +512,7 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 others = left.join(tops.select("shingle", F.col("_top.component").alias("_first")), "shingle")
                 pairs = _stars(others.where("component <> _first"), bits)
             else:
-                pairs = _rest(left, bits)
+                pairs = _rest(left, bits, sparse=turn < last)
             pairs = pairs.join(decided.select("a", "b"), ["a", "b"], "left_anti")
         pairs = compact(pairs)
         if turn and pairs.isEmpty():
