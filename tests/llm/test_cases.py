@@ -275,3 +275,21 @@ def test_parity_bits_never_differ_more_than_the_sets():
             b = b[: len(b) // 2] ^ b[len(b) // 2 :]
         differ = sum(bin(int(x) & FULL).count("1") for x in a ^ b)
         assert differ <= len(np.setxor1d(one, two))
+
+
+def test_a_forest_connects_what_all_pairs_connect():
+    r = np.random.default_rng(5)
+    pairs = np.stack([r.integers(0, 60, 400), r.integers(60, 120, 400), *r.integers(50, 90, (2, 400)), r.integers(0, 30, 400), r.integers(30, 50, 400), r.integers(0, 20, 400)])
+
+    def groups(found):
+        where = {x: {x} for x in range(50)}
+        for a, b in found[4:6].T.tolist():
+            if where[a] is not where[b]:
+                joined = where[a] | where[b]
+                for x in joined:
+                    where[x] = joined
+        return {frozenset(x) for x in where.values()}
+
+    kept = jaccard_join.forest(pairs)
+    assert groups(kept) == groups(pairs) and kept.shape[1] == 50 - len(groups(pairs))
+    assert jaccard_join.forest(pairs[:, :0]).shape == (7, 0)
