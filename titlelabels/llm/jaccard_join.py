@@ -497,13 +497,15 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     held, about = (compact(spark.read.parquet(f"{folder}/{name}")) for name in ("held", "about"))
     bits = compact(nodes.select("node", "bits").join(about.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
-    links = decided = None
+    links = decided = member = left = None
     last = STAR_ROUNDS + FOREST_ROUNDS
     for turn in range(last + 1):
         if turn == 0:
             pairs = _stars(held, bits)
         else:
-            left = compact(_open(held, compact(components(links))))
+            if member is None:  # there are links that components do not have yet
+                member = compact(components(links))
+                left = compact(_open(held, member))
             if left.isEmpty():
                 break
             if turn < STAR_ROUNDS:
@@ -512,7 +514,9 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 others = left.join(tops.select("shingle", F.col("_top.component").alias("_first")), "shingle")
                 pairs = _stars(others.where("component <> _first"), bits)
             else:
-                pairs = _rest(left, bits, sparse=turn < last)
+                pairs = compact(_rest(left, bits, sparse=turn < last))
+                if pairs.isEmpty():  # a forest is empty only where no pair is left
+                    break
             pairs = pairs.join(decided.select("a", "b"), ["a", "b"], "left_anti")
         pairs = compact(pairs)
         if turn and pairs.isEmpty():
@@ -522,8 +526,11 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         new = compact(overlaps(pairs, segments(docs, compact(ids))))
         found_links = new.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
         decided = new if decided is None else decided.unionByName(new)
-        links = found_links if links is None else compact(links.unionByName(found_links))
-    return compact(components(links))
+        if links is None:
+            links = found_links
+        elif not found_links.isEmpty():
+            links, member = compact(links.unionByName(found_links)), None
+    return member if member is not None else compact(components(links))
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
