@@ -25,7 +25,7 @@ from titlelabels.operators.hybrid import (
 from titlelabels.operators.rules import label_weights, rule_hits, rule_struct, with_rules
 from titlelabels.operators.similarity import score_map, top_k, with_similarity
 from titlelabels.plans import reports
-from titlelabels.plans.labelling import label_notes, layout_weights, run
+from titlelabels.plans.labelling import clustered_notes, label_notes, layout_weights, run
 from titlelabels.rulepack import rule_table
 from titlelabels.session import shared_folder
 from titlelabels.sources import published
@@ -548,7 +548,7 @@ def _written(spark: SparkSession, notes: DataFrame, z_order: bool) -> DataFrame:
     path, labeller = shared_folder(spark), Labeller()
     known = answers(notes, "note_title", labeller)
     weights = layout_weights(notes, "note_title", labeller, known, z_order)
-    write_notes(classify_notes(notes, labeller=labeller, known=known), path=path, files=8, z_order=z_order, weights=weights)
+    write_notes(clustered_notes(notes, "note_title", labeller, known, 8, z_order, weights), path=path, cluster=False)
     laid = layout_report(spark, path, z_order)
     return laid.select(
         "n_notes",

@@ -10,9 +10,9 @@ from querybook import fixtures as fx
 from titlelabels import Labeller, classify_notes, label_notes, run
 from titlelabels.operators.classify import answers
 from titlelabels.plans import labelling
-from titlelabels.plans.labelling import layout_weights
+from titlelabels.plans.labelling import clustered_notes, layout_weights
 from titlelabels.sources import published
-from titlelabels.sources.sinks import cluster_by_labels, label_mask, layout_report, range_bounds, write_notes, z_value
+from titlelabels.sources.sinks import cluster_by_labels, file_ranges, label_mask, layout_key, layout_report, range_bounds, write_notes, z_value
 
 SF = "/root/testdata/sf0.001"
 
@@ -139,6 +139,31 @@ def test_files_tell_whether_rows_were_clustered(spark, tmp_path, z_order):
     assert reports["not"].n_overlaps > 0
 
 
+@pytest.mark.parametrize("z_order", [False, True])
+def test_rows_are_sorted_without_the_results_of_known_titles(spark, z_order):
+    notes = fx.numbered_notes(spark, SF).withColumn("clf_source", F.lit("theirs"))
+    labeller = Labeller()
+    known = answers(notes, "note_title", labeller)
+    weights = layout_weights(notes, "note_title", labeller, known, z_order)
+    got = clustered_notes(notes, "note_title", labeller, known, 4, z_order, weights)
+    want = cluster_by_labels(classify_notes(notes, known=known), 4, z_order, weights)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    keys = got.select(F.spark_partition_id().alias("p"), layout_key(z_order).alias("key")).collect()
+    assert len({r.p for r in keys}) > 1 and keys == sorted(keys)
+    # The sort holds notes and places; results only of titles that have no place.
+    held = got._jdf.queryExecution().optimizedPlan().toString().split("Sort [__key")[1].split("\n")[1]
+    assert "__carried" in held and not any(c in held for c in ("note_roles", "classification", "rule_hits"))
+
+
+def test_ranges_of_files_sort_no_rows(spark, tmp_path):
+    path = str(tmp_path / "notes")
+    write_notes(classify_notes(fx.composed_notes(spark, SF)), path=path, files=3)
+    ranges = file_ranges(spark, path)
+    below_counts = ranges._jdf.queryExecution().sparkPlan().toString().split("SortAggregate")[-1]
+    assert below_counts.count("HashAggregate") == 2 and sum(r.n_notes for r in ranges.collect()) == 1500
+
+
 def test_bounds_give_equal_shares_and_heavy_keys_several_files():
     assert range_bounds([("a", 1), ("b", 1), ("c", 1), ("d", 1)], 4) == ["b", "c", "d"]
     assert range_bounds([("a", 1), ("b", 6), ("c", 1)], 4) == ["b", "b", "b"]

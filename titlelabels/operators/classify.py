@@ -16,10 +16,12 @@ answers belong to the rows that asked, also where the input cannot be read twice
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from titlelabels.anchors import anchor_table
 from titlelabels.operators.centroids import centroid_library, label_centroids
@@ -33,6 +35,7 @@ from titlelabels.taxonomy import DIMS, LABELS, Settings
 
 KEY = "__title_key"
 FOUND = "__title_found"
+AT = "__title_at"
 
 # Titles are looked up by themselves, or by their hash of 64 letters where they are as long.
 KEY_BYTES = 64
@@ -132,12 +135,14 @@ def _answered(rows: DataFrame, known: Answers) -> DataFrame:
 
 
 def _classified(df: DataFrame, title_col: str, labeller: Labeller, known: Answers | None = None) -> DataFrame:
-    """``df`` plus the result struct as column FOUND."""
+    """``df`` plus the result struct as column FOUND; and AT, where the answers have it."""
     # Inside, the columns carry numbers, so that no name of the caller's can clash.
     names = [f"__c{i}" for i in range(len(df.columns))]
     rows = df.withColumn(KEY, F.col(title_col)).toDF(*names, KEY)
     labeller = replace(labeller, encoder=labeller.encoder.renamed(dict(zip(df.columns, names, strict=True))))
-    return _found(rows, labeller, known).select(*names, FOUND).toDF(*df.columns, FOUND)
+    found = _found(rows, labeller, known)
+    added = [FOUND, AT] if AT in found.columns else [FOUND]
+    return found.select(*names, *added).toDF(*df.columns, *added)
 
 
 def _found(rows: DataFrame, labeller: Labeller, known: Answers | None) -> DataFrame:
@@ -187,6 +192,12 @@ FLAT_COLUMNS = {
 }
 
 
+def _flat(rows: DataFrame) -> DataFrame:
+    """The struct ``classification`` and the flat columns in place of FOUND."""
+    flat = {name: F.col(FOUND)[field] for name, field in FLAT_COLUMNS.items()}
+    return rows.withColumns({"classification": F.col(FOUND)} | flat).drop(FOUND)
+
+
 def classify_notes(
     df: DataFrame, title_col: str = "note_title", labeller: Labeller | None = None, known: Answers | None = None
 ) -> DataFrame:
@@ -195,9 +206,38 @@ def classify_notes(
     Columns of the same names are overwritten; the number of rows is unchanged. ``known`` may be
     what :func:`answers` gave for the same titles.
     """
-    out = _classified(df, title_col, labeller or Labeller(), known)
-    flat = {name: F.col(FOUND)[field] for name, field in FLAT_COLUMNS.items()}
-    return out.withColumns({"classification": F.col(FOUND)} | flat).drop(FOUND)
+    return _flat(_classified(df, title_col, labeller or Labeller(), known))
+
+
+def classify_arranged(
+    df: DataFrame,
+    title_col: str,
+    labeller: Labeller,
+    known: Answers | None,
+    arrange: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """:func:`classify_notes` with its rows laid out by ``arrange``, which sees all columns and may shuffle and sort, but adds none.
+
+    A result is several times as wide as a note. So rows with a known title pass ``arrange`` with the title's
+    place among the answers alone and get the result behind it, without a join, which would not keep
+    their order; other rows carry their result once. All flat columns are taken from it afterwards.
+    """
+    results = F.array().cast(ArrayType(OUTPUT_SCHEMA))
+    if known is not None and known.lookup is not None:
+        # One row with as many results as may be broadcast; places are those in its list.
+        listed = checkpointed(known.lookup.agg(F.collect_list(F.struct("__t", FOUND, "n")).alias("listed")))
+        known = replace(known, lookup=listed.select(F.posexplode("listed").alias(AT, "__one")).select("__one.*", AT))
+        results = listed.select(F.col("listed")[FOUND].alias("results")).scalar()
+    rows = _classified(df, title_col, labeller, known)
+    if AT not in rows.columns:
+        rows = rows.withColumn(AT, F.lit(None).cast("int"))
+    columns = _flat(rows).drop(AT).columns
+    own = [F.col(f"`{c}`") for c in df.columns if c in columns and c not in ("classification", *FLAT_COLUMNS)]
+    # Arranged with the flat columns; those that ``arrange`` does not use are gone before it moves a row.
+    wide = _flat(rows.withColumn("__carried", F.when(F.col(AT).isNull(), F.col(FOUND))))
+    narrow = arrange(wide).select(*own, "__carried", AT)
+    found = narrow.withColumn(FOUND, F.coalesce(F.col("__carried"), F.get(results, AT))).drop("__carried", AT)
+    return _flat(found).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def score_titles(df: DataFrame, title_col: str = "title", labeller: Labeller | None = None) -> DataFrame:

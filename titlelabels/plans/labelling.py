@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlelabels.anchors import anchor_table
-from titlelabels.operators.classify import FLAT_COLUMNS, FOUND, Answers, Labeller, answers, classify_notes, lookup_key
+from titlelabels.operators.classify import FLAT_COLUMNS, FOUND, Answers, Labeller, answers, classify_arranged, classify_notes, lookup_key
 from titlelabels.plans.reports import run_manifest
 from titlelabels.session import scratch
 from titlelabels.sources import published
 from titlelabels.sources.notes import NOTE_COLUMNS, PATIENT_CLASSES, STATUSES, eligible_notes, scan_notes
-from titlelabels.sources.sinks import layout_key, write_anchors, write_notes
+from titlelabels.sources.sinks import arrange, layout_key, with_layout_keys, write_anchors, write_notes
 
 #: About so many rows without an answer are scored beforehand to see how their labels are spread.
 SAMPLED_ROWS = 20_000
@@ -59,6 +59,20 @@ def layout_weights(
     return [(r.key, r.n) for r in keyed.collect()]
 
 
+def clustered_notes(
+    notes: DataFrame,
+    title_col: str,
+    labeller: Labeller,
+    known: Answers | None,
+    files: int | None = None,
+    z_order: bool = False,
+    weights: Sequence[tuple[str | int, float]] | None = None,
+) -> DataFrame:
+    """Labelled notes clustered by labels and source, with their layout keys; a task sorts rows without the results of known titles."""
+    laid = classify_arranged(notes, title_col, labeller, known, lambda rows: arrange(rows, files, z_order, weights))
+    return with_layout_keys(laid)
+
+
 def run(
     spark: SparkSession,
     source: str,
@@ -90,14 +104,13 @@ def run(
         if labeller.encoder.by_title:
             known = answers(notes, title_col, labeller)
             weights = layout_weights(notes, title_col, labeller, known, z_order)
-        labelled = classify_notes(notes, title_col, labeller, known)
-        layout = {"fmt": fmt, "files": files, "z_order": z_order, "weights": weights}
+        labelled = clustered_notes(notes, title_col, labeller, known, files, z_order, weights)
         if fmt != "parquet":
-            write_notes(labelled, table=table, path=path, **layout)
+            write_notes(labelled, table=table, path=path, fmt=fmt, cluster=False)
             return
 
         def write(folder: str) -> None:
-            write_notes(labelled, path=folder, **layout)
+            write_notes(labelled, path=folder, cluster=False)
             # The manifest counts the notes that were written, from the footers of their files.
             manifest = run_manifest(spark.read.parquet(folder), model or type(labeller.encoder).__name__, labeller.rules, labeller.settings)
             manifest.coalesce(1).write.parquet(f"{folder}/{published.MANIFEST}")

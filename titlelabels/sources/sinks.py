@@ -85,7 +85,7 @@ def _below(key: str, bounds: list[str | int], equal: bool) -> str:
     return f"aggregate(array({steps}), 0, (at, s) -> if(at + s <= {len(bounds)} AND get({listed}, at + s - 1) {sign} {key}, at + s, at))"
 
 
-def cluster_by_labels(
+def arrange(
     df: DataFrame, files: int | None = None, z_order: bool = False, weights: Sequence[tuple[str | int, float]] | None = None
 ) -> DataFrame:
     """Rows with equal labels and source side by side: a range shuffle and a sort inside each task.
@@ -95,10 +95,9 @@ def cluster_by_labels(
     large part of all rows, also of one task's: it gets several ranges, and a hash of the row's own columns and its task
     deals its rows to them; the hash stays the same when a task is run again.
     """
-    out = with_layout_keys(df)
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "struct", "array", "variant")]
     cut = F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id())
-    out = out.withColumns({"__key": layout_key(z_order), "__task": cut})
+    out = df.withColumns({"__key": layout_key(z_order), "__task": cut})
     if weights is None:
         ranged = out.repartitionByRange(*([files] if files else []), "__key", "__task")
     else:
@@ -111,6 +110,13 @@ def cluster_by_labels(
     return ranged.sortWithinPartitions("__key").drop("__key", "__task")
 
 
+def cluster_by_labels(
+    df: DataFrame, files: int | None = None, z_order: bool = False, weights: Sequence[tuple[str | int, float]] | None = None
+) -> DataFrame:
+    """Labelled notes as :func:`arrange` lays them out, with their layout keys, which are made behind the sort."""
+    return with_layout_keys(arrange(df, files, z_order, weights))
+
+
 def write_notes(
     df: DataFrame,
     *,
@@ -137,7 +143,9 @@ def file_ranges(spark: SparkSession, path: str, z_order: bool = False) -> DataFr
     """Of every file of written notes: ``file, n_notes`` and its least and greatest :func:`layout_key`."""
     notes = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("__file"))
     keyed = notes.select(F.col("__file").alias("file"), layout_key(z_order).alias("key"))
-    return keyed.groupBy("file").agg(F.count(F.lit(1)).alias("n_notes"), F.min("key").alias("least"), F.max("key").alias("most"))
+    # Keys are few; the least of a text over all rows would sort them.
+    counted = keyed.groupBy("file", "key").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("file").agg(F.sum("n").alias("n_notes"), F.min("key").alias("least"), F.max("key").alias("most"))
 
 
 def layout_report(spark: SparkSession, path: str, z_order: bool = False) -> DataFrame:
