@@ -3,14 +3,17 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from titlelabels import session
 from titlelabels.llm import (
     additive_model,
     byte_pairs,
@@ -606,3 +609,34 @@ def test_pipeline_stages(spark):
     before, after = seen["encoding"]
     back = byte_pairs.decode(after, tokenizer_path()).select("text").collect()
     assert sorted(r.text for r in back) == sorted(r.text for r in before.collect())
+
+
+def _shuffle_files(root):
+    return [f for f in root.rglob("shuffle_*") if f.suffix == ".data"]
+
+
+def test_kept_tables_leave_no_shuffle_files(spark, tmp_path):
+    settings = [spark.conf.get(k) for k in (session.DROP_SHUFFLES, session.ARROW_ROWS)]
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(d.toString()) for d in manager.localDirs()]
+    before = {f for d in folders for f in _shuffle_files(d)}
+    rows = spark.range(10_000).groupBy((F.col("id") % 1_000).alias("k")).agg(F.count("*").alias("n"))
+    with session.scratch(spark):
+        kept = session.checkpointed(rows)
+        for _ in range(50):  # files are removed in the background
+            if not (left := {f for d in folders for f in _shuffle_files(d)} - before):
+                break
+            time.sleep(0.1)
+        assert kept.count() == 1_000 and not left
+    assert settings == [spark.conf.get(k) for k in (session.DROP_SHUFFLES, session.ARROW_ROWS)]
+
+
+def test_passages_leave_only_what_later_steps_read(spark, monkeypatch, tmp_path):
+    root = tmp_path / "shared"
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(root))
+    same = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"a b {same}"), (2, f"{same} c d"), (3, "none of it")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.kind) for r in passages.repeats(docs).collect())
+    assert {d for d, _ in got} == {1, 2}
+    left = [p for p in root.iterdir() if p.is_dir()]
+    assert len(left) == 1 and {p.name for p in left[0].iterdir()} == {"member", "lines", "seeds", "runs", "spans"}

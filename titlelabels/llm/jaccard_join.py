@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
 from titlelabels.llm.words import LOWER, shingles, word_hashes
-from titlelabels.session import checkpointed, scratch, shared_folder
+from titlelabels.session import checkpointed, kept_at, scratch, shared_folder
 
 SIZE = 5
 #: A shingle is common where so many prefixes by hash order hold it.
@@ -479,7 +479,7 @@ def _placed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         nodes = checkpointed(survey(docs))
         member = _members(docs, nodes)
         out = nodes.drop("bits").join(member, "node", "left").withColumn("_key", F.coalesce("component", "node"))
-        out.write.parquet(path)
+        kept_at(out, path)
     return spark.read.parquet(path)
 
 
@@ -492,8 +492,8 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         met = found.groupBy("node").agg(F.count("*").cast("int").alias("met"))
         length = (F.size("rare") + F.size("often")).alias("length")
         about = compact(sets.select("node", "n", "shared", length).join(met, "node").dropDuplicates(["node"]))
-        found.join(about, "node").write.parquet(f"{folder}/held")
-        about.select("node").write.parquet(f"{folder}/about")
+        kept_at(found.join(about, "node"), f"{folder}/held")
+        kept_at(about.select("node"), f"{folder}/about")
     held, about = (compact(spark.read.parquet(f"{folder}/{name}")) for name in ("held", "about"))
     bits = compact(nodes.select("node", "bits").join(about.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
