@@ -32,7 +32,7 @@ from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
 from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, STAR_ROUNDS, near, overlaps, set_key
 from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
-from titlelabels.session import checkpointed, shared_folder
+from titlelabels.session import checkpointed, kept_at, scratch, shared_folder
 
 LEAST_WORDS = 20
 #: Two different sets of similarity 0.8 or more have so many shingles at least.
@@ -346,22 +346,26 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     folder = shared_folder(spark)
-    units(docs).write.parquet(f"{folder}/units")
-    found = spark.read.parquet(f"{folder}/units")
-
-    paragraphs = found.where("n is not null").select("key", "id", "begin", "end")
-    member = compact(components(linked(docs, paragraphs)))
-    placed = paragraphs.join(member.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.withColumn("cluster", F.coalesce("component", "key")).select("id", "begin", "end", "cluster")
-    lines = _repeated(placed, "cluster").withColumn("kind", F.lit("paragraph"))
-
-    seeds = compact(_shared(found.where("n is null").select("key", "id", "begin"), "key", F.struct("id")).select("id", "begin"))
-    seeded(docs, seeds).write.parquet(f"{folder}/runs")
-    runs = spark.read.parquet(f"{folder}/runs")
-    spans = _spans(compact(_shared(runs, "key", F.struct("id", "begin", "end"))))
-    spans = spans.withColumn("kind", F.lit("passage"))
     columns = [F.col("id").alias(id_col), "kind", "begin", "end", "cluster", "removed"]
-    return lines.select(*columns).unionByName(spans.select(*columns))
+    # Every step's tables go with it; what the next one needs is kept beside them.
+    with scratch(spark):
+        found = checkpointed(units(docs))
+        paragraphs = found.where("n is not null").select("key", "id", "begin", "end")
+        with scratch(spark):
+            member = kept_at(components(linked(docs, paragraphs)), f"{folder}/member")
+        placed = paragraphs.join(member.withColumnRenamed("node", "key"), "key", "left")
+        placed = placed.withColumn("cluster", F.coalesce("component", "key")).select("id", "begin", "end", "cluster")
+        lines = _repeated(placed, "cluster").withColumn("kind", F.lit("paragraph"))
+        lines = kept_at(lines.select(*columns), f"{folder}/lines")
+        seeds = _shared(found.where("n is null").select("key", "id", "begin"), "key", F.struct("id")).select("id", "begin")
+        seeds = kept_at(seeds, f"{folder}/seeds")
+    with scratch(spark):
+        runs = checkpointed(seeded(docs, seeds))
+        runs = kept_at(_shared(runs, "key", F.struct("id", "begin", "end")), f"{folder}/runs")
+    with scratch(spark):
+        spans = _spans(runs).withColumn("kind", F.lit("passage"))
+        spans = kept_at(spans.select(*columns), f"{folder}/spans")
+    return lines.unionByName(spans)
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
