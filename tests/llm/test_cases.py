@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,3 +294,30 @@ def test_a_forest_connects_what_all_pairs_connect():
     kept = jaccard_join.forest(pairs)
     assert groups(kept) == groups(pairs) and kept.shape[1] == 50 - len(groups(pairs))
     assert jaccard_join.forest(pairs[:, :0]).shape == (7, 0)
+
+
+def test_encoder_remembers_a_bounded_number_of_words(monkeypatch):
+    monkeypatch.setattr(byte_pairs, "MEMO", 32)
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        vocabulary = f.read()
+    own, fresh = byte_pairs.Encoder(vocabulary), byte_pairs.Encoder(vocabulary)
+    texts = [" ".join(f"w{k % 90}x{k % 7} the" for k in range(at, at + 40)) for at in range(0, 900, 20)]
+    for text in [*texts, *texts]:
+        fresh.memo.clear()
+        fresh.older.clear()
+        assert own.encode(text) == fresh.encode(text)
+        assert len(own.memo) <= 32 and len(own.older) <= 32
+    assert own.memo and own.older  # words met again are remembered, those of the generation before too
+
+
+@pytest.mark.parametrize(("stage", "operator", "name"), [("toxicity", toxicity, "toxicity"), ("personal data", private_data, "mask"), ("encoding", byte_pairs, "encode")])
+def test_pipeline_sends_few_texts_at_a_time_to_python(spark, monkeypatch, stage, operator, name):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([float(batch.num_rows)])], names=["score"])
+
+    monkeypatch.setattr(operator, name, lambda docs, *_, **__: docs.mapInArrow(sizes, "score double"))
+    monkeypatch.setattr(toxicity, "THRESHOLD", 1e9)
+    docs = spark.range(3000).coalesce(1).selectExpr("cast(id AS double) AS score")
+    found = dict(corpus_pipeline.STAGES)[stage](spark, docs, "/root/testdata/sf0.001")
+    assert found.agg(F.max("score"), F.sum("score")).first() == (512.0, 3000.0)

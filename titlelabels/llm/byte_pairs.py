@@ -27,9 +27,13 @@ from titlelabels.llm.common import map_rows
 
 #: The split of byte-level vocabularies (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words remembered per worker, and the longest of them in characters: some 100 MB with words of usual length.
-MEMO = 1 << 19
+#: Words remembered per worker in either of two generations, and the longest of them in characters: some 50 MB with words of usual length.
+MEMO = 1 << 17
 MEMO_CHARS = 64
+#: Marks of words met before, a byte each: only a word met again is remembered, as most words come once.
+MET = 1 << 20
+#: Pairs of tokens whose check is remembered.
+CHECKED = 1 << 18
 #: Tokens decoded at a time.
 BLOCK = 1 << 16
 
@@ -92,7 +96,7 @@ class Encoder:
         self.shorter = {}
         for token, i in by_bytes.items():
             self.shorter[i] = next((by_bytes[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in by_bytes), None)
-        self.checked: dict[tuple[int, int], bool] = {}
+        self.checked: dict[int, bool] = {}
         self.matcher = self.automaton(by_bytes)
         # A token that the merges never reach from its own bytes must not be matched.
         dead = [b for b, i in by_bytes.items() if not self.reached(i)]
@@ -104,6 +108,8 @@ class Encoder:
                 self.shorter[i] = s
             self.matcher = self.automaton(by_bytes)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.met = bytearray(MET)
         self.split = regex.compile(SPLIT)
         added = sorted(words.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
@@ -135,15 +141,6 @@ class Encoder:
             parts[k : k + 2] = [found[k]]
         return parts == [token]
 
-    def fits(self, left: int, right: int) -> bool:
-        pair = left, right
-        known = self.checked.get(pair)
-        if known is None:
-            if len(self.checked) >= MEMO:
-                self.checked.clear()
-            known = self.checked[pair] = self.words.fits(left, right)
-        return known
-
     def piece(self, piece: str) -> bytes:
         """Ids of one piece."""
         data = piece.encode().decode("latin-1")
@@ -158,7 +155,7 @@ class Encoder:
         while True:
             end = at + length[token]
             if given_up is None or end not in given_up:
-                fits = before < 0 or checked.get((before, token))
+                fits = before < 0 or checked.get(before << 32 | token)
                 if fits is None:
                     fits = self.check(before, token)
                 if fits:
@@ -177,9 +174,9 @@ class Encoder:
                 before = taken[-1] if taken else -1
 
     def check(self, left: int, right: int) -> bool:
-        if len(self.checked) >= MEMO:
+        if len(self.checked) >= CHECKED:
             self.checked.clear()
-        fits = self.checked[left, right] = self.words.fits(left, right)
+        fits = self.checked[left << 32 | right] = self.words.fits(left, right)
         return fits
 
     def pieces(self, text: str) -> bytes:
@@ -211,13 +208,24 @@ class Encoder:
                         continue
                     if not part or part[0].isspace() or part[-1].isspace():
                         return self.pieces(text)
-                    known[k] = ids = self.pieces(f" {part}")
+                    known[k] = ids = self.older.get(part) or self.pieces(f" {part}")
                     if len(part) <= MEMO_CHARS:
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                        memo[part] = ids
+                        self.remember(part, ids)
         return b"".join(known)
 
+    def remember(self, part: str, ids: bytes) -> None:
+        """Keeps a word that was met before; a full generation takes the place of the older one, words used since then stay."""
+        mark = hash(part) % MET
+        if not self.met[mark]:
+            self.met[mark] = 1
+            return
+        if len(self.memo) >= MEMO:
+            self.older.clear()
+            self.older.update(self.memo)
+            self.memo.clear()
+            self.met = bytearray(MET)
+        self.memo[part] = ids
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         text = text or ""
