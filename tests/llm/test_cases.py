@@ -321,3 +321,25 @@ def test_pipeline_sends_few_texts_at_a_time_to_python(spark, monkeypatch, stage,
     docs = spark.range(3000).coalesce(1).selectExpr("cast(id AS double) AS score")
     found = dict(corpus_pipeline.STAGES)[stage](spark, docs, "/root/testdata/sf0.001")
     assert found.agg(F.max("score"), F.sum("score")).first() == (512.0, 3000.0)
+
+
+def test_paragraphs_of_a_large_band_are_not_all_compared(spark, monkeypatch):
+    compared = []
+
+    def counted(pairs, parts, overlaps=jaccard_join.overlaps):
+        compared.append(pairs.count())
+        return overlaps(pairs, parts)
+
+    for module in (jaccard_join, passages):
+        monkeypatch.setattr(module, "overlaps", counted, raising=False)
+    r = random.Random(3)
+    base, rows = prose(60, 91).split(), []
+    for i in range(240):  # alike enough to collide in bands, too little to be linked
+        text = base.copy()
+        for at in (r.randrange(5, 25), r.randrange(35, 55)):
+            text[at] = f"neu{r.randrange(10**9)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame([*rows, (900, " ".join(base)), (901, " ".join([*base, "end"]))], "id long, text string")
+    paragraphs = passages.units(docs).where("n is not null").select("key", "id", "begin", "end")
+    assert passages.linked(docs, paragraphs).distinct().count() == 1
+    assert compared and sum(compared) <= 2 * len(rows), compared

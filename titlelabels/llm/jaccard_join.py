@@ -24,7 +24,7 @@ compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -497,6 +497,19 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     held, about = (compact(spark.read.parquet(f"{folder}/{name}")) for name in ("held", "about"))
     bits = compact(nodes.select("node", "bits").join(about.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
+    def parts(live: DataFrame) -> DataFrame:
+        ids = nodes.join(live, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
+        return segments(docs, compact(ids))
+
+    links, member = connected(held, bits, parts)
+    return member if member is not None else compact(components(links))
+
+
+def connected(held: DataFrame, bits: DataFrame, parts: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) that connect all nodes of similarity 0.8 or more that meet in a bucket, and their components where these are up to date.
+
+    ``held`` has the buckets' rows as :func:`_open` returns them, without components; ``parts`` gives the sets of a table of nodes in fragments.
+    """
     links = decided = member = left = None
     last = STAR_ROUNDS + FOREST_ROUNDS
     for turn in range(last + 1):
@@ -522,15 +535,14 @@ def _members(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         if turn and pairs.isEmpty():
             continue
         live = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        ids = nodes.join(live, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")).select("id").distinct()
-        new = compact(overlaps(pairs, segments(docs, compact(ids))))
+        new = compact(overlaps(pairs, parts(live)))
         found_links = new.where(near("n_a", "n_b", F.col("overlap"))).select("a", "b")
         decided = new if decided is None else decided.unionByName(new)
         if links is None:
             links = found_links
         elif not found_links.isEmpty():
             links, member = compact(links.unionByName(found_links)), None
-    return member if member is not None else compact(components(links))
+    return links, member
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,8 @@ A paragraph is a line, or a block of consecutive lines under ``LEAST_WORDS`` wor
 word shingles. Equal sets are one; a set of under ``LEAST_SET`` shingles is near no other. Its
 MinHash is cut into bands tuned for recall (at similarity 0.8 a pair shares a band with
 probability 0.998); paragraphs that collide in a band are compared, most often colliding one first, then
-all that no link connects yet, and linked where the exact Jaccard similarity is 0.8 or more. Connected
+the nearest of different components, then all that no link connects yet, and linked where the exact
+Jaccard similarity is 0.8 or more. Pairs that parity bits put out of reach need no sets. Connected
 paragraphs are one cluster: its first occurrence stays, the others are removals.
 
 A passage that repeats inside otherwise different paragraphs is found through windows of
@@ -21,16 +22,18 @@ with equal ids count as one document; null ids are no document and take no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
-from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, STAR_ROUNDS, near, overlaps, set_key
+from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, connected, parity_bits, set_key
 from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
 from titlelabels.session import checkpointed, kept_at, scratch, shared_folder
 
@@ -41,8 +44,6 @@ UNIT = 20
 REACH = 27
 BANDS = 9
 ROWS = 3
-#: Fragments of a set that sift the last pairs of a band before their whole sets are compared.
-SIFTED = 2
 
 _rng = np.random.default_rng(99)
 _SEEDS = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -179,61 +180,38 @@ def banded(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "band long, node long, n int")
 
 
-def parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sets of the wanted paragraphs (node, id of a document that has it), cut into fragments."""
+def _of_wanted(docs: DataFrame, wanted: DataFrame, make: Callable[[np.ndarray], list[tuple]], schema: str) -> DataFrame:
+    """What ``make`` returns for the shingle sets of the wanted paragraphs (node, id of a document that has it)."""
     ids = wanted.select(F.col("id").alias("_wanted")).distinct()
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_ROWS else ids
     texts = docs.join(ids, F.col("id") == F.col("_wanted"), "left_semi").select("text")
+    fields = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
         for batch in _batches(batches):
-            rows = []
-            for text in batch["text"]:
-                for _, _, s in Text(text).paragraphs():
-                    if len(s) < LEAST_SET:
-                        continue
-                    node = set_key(s)
-                    cut = np.split(s, np.searchsorted(s, edges))
-                    rows += [(node, k, p.view(np.int64)) for k, p in enumerate(cut) if len(p)]
+            rows = [row for text in batch["text"] for _, _, s in Text(text).paragraphs() if len(s) >= LEAST_SET for row in make(s)]
             if rows:
-                types = [pa.int64(), pa.int32(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["node", "fragment", "part"])
-
-    made = texts.mapInArrow(run, "node long, fragment int, part array<long>")
-    return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node", "fragment"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), fields.types, strict=True)], names=fields.names)
 
+    return texts.mapInArrow(run, schema).join(wanted.select("node"), "node", "left_semi")
 
-def _compared(rows: DataFrame, tops: DataFrame) -> DataFrame:
-    """Distinct pairs of every row's node with its band's leader (column _top), the smaller node as a; sizes that leave 0.8 within reach."""
-    pairs = rows.join(tops, "band").where(F.col("node") != F.col("_top.node"))
-    return _ordered(pairs, ("node", "n"), ("_top.node", "_top.n"))
 
+def parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Shingle sets of the wanted paragraphs, cut into fragments."""
+    edges = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
 
-def _ordered(pairs: DataFrame, x: tuple[str, str], y: tuple[str, str]) -> DataFrame:
-    swap = F.col(x[0]) > F.col(y[0])
-    pick = [F.when(swap, F.col(v)).otherwise(F.col(u)).alias(name) for u, v, name in ((x[0], y[0], "a"), (y[0], x[0], "b"), (x[1], y[1], "n_a"), (y[1], x[1], "n_b"))]
-    return pairs.select(*pick).where(near("n_a", "n_b", F.least("n_a", "n_b"))).distinct()
-
+    def cut(s: np.ndarray) -> list[tuple]:
+        node = set_key(s)
+        return [(node, k, p.view(np.int64)) for k, p in enumerate(np.split(s, np.searchsorted(s, edges))) if len(p)]
 
-def _rest(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of a band's nodes in different components whose shingles in the first fragments leave 0.8 within reach."""
-    begun = sets.where(F.col("fragment") < SIFTED).groupBy("node").agg(F.flatten(F.collect_list("part")).alias("begun"))
-    rows = compact(rows.join(begun, "node", "left").withColumn("begun", F.coalesce("begun", F.array().cast("array<bigint>"))))
-    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "component", "begun")] for side in ("x", "y"))
-    x, y = rows.select("band", *x), rows.select(F.col("band").alias("_band"), *y)
-    behind = F.least(F.col("n_x") - F.size("begun_x"), F.col("n_y") - F.size("begun_y"))
-    fits = (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
-    fits &= near("n_x", "n_y", F.least("n_x", "n_y"))
-    fits &= near("n_x", "n_y", F.size(F.array_intersect("begun_x", "begun_y")) + behind)
-    return _ordered(x.join(y, (x.band == y._band) & fits), ("node_x", "n_x"), ("node_y", "n_y"))
+    return _of_wanted(docs, wanted, cut, "node long, fragment int, part array<long>").dropDuplicates(["node", "fragment"])
 
 
 def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """Pairs (a, b) of different paragraphs of similarity 0.8 or more that connect all such paragraphs that collide in a band.
 
-    Every band's leader is compared with the others first, in ``STAR_ROUNDS`` rounds; then
-    all pairs of a band that are still in different components.
+    Bands are the buckets of :func:`connected`: every paragraph meets one leader a round, then the nearest pairs between
+    components are compared, then all pairs of a band that are still in different components and within reach by parity bits.
     """
     # One shuffle gives the count and the rows alike, and reads the texts once.
     bucket = Window.partitionBy("band")
@@ -241,40 +219,15 @@ def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
     held = compact(rows.where("_low < _high").select("band", "node", "n").distinct())
     # The paragraph that collides most is nearest to what the others were made from: it leads.
     size = held.groupBy("band").agg(F.count("*").alias("_size"))
-    ranked = held.join(size, "band").groupBy("node").agg(F.sum("_size").alias("_met"))
-    held = compact(held.join(ranked, "node"))
+    ranked = held.join(size, "band").groupBy("node").agg(F.sum("_size").alias("shared"))
+    # A band says nothing of what two sets share: no prefix, so only sizes and bits sift its pairs.
+    none = {"length": F.lit(0), "met": F.lit(1), "hot": F.lit(False)}
+    held = compact(held.withColumnRenamed("band", "shingle").join(ranked, "node").withColumns(none))
     wanted = paragraphs.join(held.select(F.col("node").alias("key")).distinct(), "key", "left_semi")
     wanted = compact(wanted.groupBy(F.col("key").alias("node")).agg(F.min("id").alias("id")))
-    sets = compact(parts(docs, wanted))
-
-    links = decided = None
-    for turn in range(STAR_ROUNDS + 1):
-        if turn == 0:
-            pairs = _compared(held, held.groupBy("band").agg(F.max(F.struct("_met", "node", "n")).alias("_top")))
-        else:
-            left = compact(_open(held, compact(components(links))))
-            if left.isEmpty():
-                break
-            if turn < STAR_ROUNDS:
-                # The component of the band's leader steps back, and the best of the others leads.
-                first = left.groupBy("band").agg(F.max(F.struct("_met", "node", "component")).alias("_top"))
-                others = left.join(first.select("band", F.col("_top.component").alias("_first")), "band").where("component <> _first")
-                pairs = _compared(others, others.groupBy("band").agg(F.max(F.struct("_met", "node", "n")).alias("_top")))
-            else:
-                pairs = _rest(left, sets)
-            pairs = pairs.join(decided, ["a", "b"], "left_anti").select("a", "b", "n_a", "n_b")
-        pairs = compact(pairs)
-        decided = pairs.select("a", "b") if decided is None else decided.unionByName(pairs.select("a", "b"))
-        new = compact(overlaps(pairs, sets).where(near("n_a", "n_b", F.col("overlap"))).select("a", "b"))
-        links = new if links is None else compact(links.unionByName(new))
-    return links
-
-
-def _open(rows: DataFrame, member: DataFrame) -> DataFrame:
-    """Band rows with their node's component, in bands that hold more than one."""
-    rows = rows.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    return rows.join(mixed.where("_low < _high").select("band"), "band", "left_semi")
+    bits = _of_wanted(docs, wanted, lambda s: [(set_key(s), parity_bits(s))], "node long, bits array<long>")
+    bits = compact(bits.dropDuplicates(["node"]))
+    return connected(held, bits, lambda live: parts(docs, compact(wanted.join(live, "node", "left_semi"))))[0]
 
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
