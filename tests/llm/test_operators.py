@@ -10,6 +10,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -583,6 +584,68 @@ def test_windows_do_not_depend_on_what_stands_around():
     assert own & other
 
 
+def test_many_texts_give_what_each_gives_alone():
+    r = random.Random(21)
+    texts = ["", "\n", "one", " a\nb ", "wé " * 19, "x " * 30, "Same " * 90, *[" ".join(r.choice(["a", "Bé", "c\n", "\n", "dd"]) for _ in range(r.randrange(45))) for _ in range(60)]]
+    texts += [prose(20 + 7 * k, 950 + k) + "\n" * (k % 3) + prose(9, k) for k in range(20)]
+    own = passages.Texts([t.encode() for t in texts])
+    a, b, _ = own.ranges()
+    found, sizes = own.sets(a, b)
+    keys, begins, ends, doc = own.placed(a, b, passages.set_keys(found, sizes))
+    bits, words = jaccard_join.parity_bits_of(found, sizes)
+    windows = own.windows()
+    for i, t in enumerate(texts):
+        alone, want = passages.Text(t), []
+        for x, y, s in alone.paragraphs():
+            assert t.encode().decode()[x:y].split() and s.tolist() == sorted({*s.tolist()})
+            want.append((passages.set_key(s), x, y, len(s), jaccard_join.parity_bits(s).tolist(), passages.bands(s).tolist()))
+        at = np.flatnonzero(doc == i).tolist()
+        cut = np.cumsum(words) - words
+        banded = passages.bands_of(found, sizes)
+        got = [(int(keys.view(np.int64)[k]), begins[k], ends[k], sizes[k], bits[cut[k] : cut[k] + words[k]].tolist(), banded[k].tolist()) for k in at]
+        assert got == want
+        assert [c[windows[3] == i].tolist() for c in windows[:3]] == [c.tolist() for c in alone.windows()[:3]]
+
+
+def test_bands_come_from_the_pass_that_finds_paragraphs(spark):
+    base = prose(40, 61).split()
+    rows = [(k, "\n".join([" ".join([*base[:k], f"neu{k}", *base[k + 1 :]]), prose(25, 62 + k), "a few words"])) for k in range(12)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    sets = passages.units(docs).where("bands is not null").withColumnRenamed("key", "node")
+    got = sorted((x.band, x.node) for x in passages.colliding(sets).collect())
+    held = defaultdict(set)
+    for _, t in rows:
+        for _, _, s in passages.Text(t).paragraphs():
+            for band in passages.bands(s).view(np.int64).tolist() if len(s) >= passages.LEAST_SET else []:
+                held[band].add(passages.set_key(s))
+    assert got == sorted((band, node) for band, nodes in held.items() if len(nodes) > 1 for node in nodes) and got
+
+
+def test_runs_of_copies_are_looked_up_in_pieces(spark):
+    inner = prose(300, 71)
+    rows = [(k, f"{prose(30, 720 + k)} {inner} {prose(30, 760 + k)}") for k in range(12)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    windows = passages.units(docs).where("n is null").select("key", "id", "begin")
+    seeds = windows.join(windows.groupBy("key").agg(F.count_distinct("id").alias("n")).where("n > 1"), "key").select("id", "begin")
+    runs = 12 * 281
+    pieces = passages.seeded(docs, seeds).collect()
+    assert len(pieces) <= runs // 3 and sum(len(x.runs) for x in pieces) >= runs * passages.RUN.itemsize
+    assert len({x.piece for x in pieces}) <= len(pieces) // 2  # equal passages fall into equal pieces
+    found = passages.repeats(docs, "id").where("kind = 'passage'").collect()
+    texts = dict(rows)
+    assert sorted((x.id, texts[x.id][x.begin : x.end], x.removed) for x in found) == [(k, inner, k > 0) for k in range(12)] and len({x.cluster for x in found}) == 1
+
+
+def test_sorted_rows_come_in_whole_groups():
+    keys = [1, 1, 2, 3, 3, 3, 3, 3, 3, 4, 5, 5]
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(12))], names=["key", "at"])
+    for size in (1, 2, 3, 5, 12):
+        got = list(passages._whole((rows.slice(k, size) for k in range(0, 12, size)), ["key"]))
+        assert [x for b in got for x in b.column("at").to_pylist()] == list(range(12))
+        ends = [{*b.column("key").to_pylist()} for b in got]
+        assert sum(map(len, ends)) == 5
+
+
 # Registered queries and the pipeline
 
 

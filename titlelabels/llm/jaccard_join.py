@@ -73,6 +73,17 @@ def set_key(found: np.ndarray) -> int:
     return int(np.uint64((total * 0xBF58476D1CE4E5B9 + len(found)) & (1 << 64) - 1).astype(np.int64))
 
 
+def set_keys(found: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """:func:`set_key` of many sets that stand one behind the other."""
+    if not len(sizes):
+        return np.zeros(0, np.uint64)
+    offsets = np.cumsum(sizes) - sizes
+    places = (np.arange(len(found)) - np.repeat(offsets - 1, sizes)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (found ^ (found >> np.uint64(29))) * (places | np.uint64(1))
+    total = np.bitwise_xor.reduceat(mixed, offsets) ^ (np.add.reduceat(mixed >> np.uint64(7), offsets) * np.uint64(0xD6E8FEB86659FD93))
+    return total * np.uint64(0xBF58476D1CE4E5B9) + sizes.astype(np.uint64)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
@@ -88,6 +99,18 @@ def parity_bits(found: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(places, minlength=64 * words).astype(np.uint8) & 1, bitorder="little").view(np.int64)
 
 
+def parity_bits_of(found: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`parity_bits` of many sets that stand one behind the other, and how many words of bits each has."""
+    words = np.ones(len(sizes), np.int64)
+    asked = np.maximum(0, SPREAD * sizes - 1) // 64
+    while (less := words <= asked).any():
+        words[less] *= 2
+    begins = np.repeat(64 * (np.cumsum(words) - words), sizes)
+    places = begins + (found & (np.repeat(64 * words, sizes) - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(places, minlength=64 * int(words.sum()))
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64), words
+
+
 def survey(df: DataFrame) -> DataFrame:
     """Of ``id`` and ``text``: id, set size n, node (null without words), its bits and mark (a hash of the text) of every document."""
 

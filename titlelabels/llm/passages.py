@@ -15,6 +15,10 @@ a window, the same in both. These are seeds only: within ``REACH`` words of a se
 repeats, every run of ``UNIT`` words is looked up, so that a shared run is found with its
 real ends, and no word of it is between two windows. Repeated runs that touch in a document are one span.
 
+Texts are read once for paragraphs, their bands and bits, and windows, by array operations over many texts; again only
+where sets are compared and near seeds. Runs travel in pieces of neighbours: equal pieces have equal runs, and one of them is
+looked up run by run.
+
 Null texts and empty ones take no part. Repeats inside one
 document are not repeats across documents and stay. Spans are in code points, ends exclusive. Rows
 with equal ids count as one document; null ids are no document and take no part.
@@ -22,19 +26,17 @@ with equal ids count as one document; null ids are no document and take no part.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from titlelabels.llm.common import SLICE
 from titlelabels.llm.graph import compact, components
-from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, connected, parity_bits, set_key
-from titlelabels.llm.words import LOWER, mix, shingles, word_hashes
+from titlelabels.llm.jaccard_join import BROADCAST_ROWS, FRAGMENTS, SIZE, connected, parity_bits_of, set_key, set_keys  # noqa: F401  set_key: of one set
+from titlelabels.llm.words import LOWER, mix, shingles, shingles_at, word_hashes
 from titlelabels.session import checkpointed, kept_at, scratch, shared_folder
 
 LEAST_WORDS = 20
@@ -44,45 +46,72 @@ UNIT = 20
 REACH = 27
 BANDS = 9
 ROWS = 3
+#: Bytes of text that are worked on at a time.
+LETTERS = 1 << 18
+#: Runs of a piece in the mean, and at most.
+PIECE = 8
+MOST = 64
 
 _rng = np.random.default_rng(99)
 _SEEDS = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 _PLACES = _rng.integers(0, 1 << 63, UNIT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PIECES = _rng.integers(0, 1 << 63, MOST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
-class Text:
-    """Words of a text with their borders in code points, and its paragraphs as word ranges."""
+class Texts:
+    """Words of many texts with their borders in code points, their paragraphs as word ranges and windows, all as arrays over all texts."""
 
-    def __init__(self, text: str | None):
-        data = (text or "").encode().translate(LOWER)
+    def __init__(self, coded: Sequence[bytes]):
+        data = b"\n".join([*coded, b""]).translate(LOWER)
         self.words, starts, ends = word_hashes(data)
         letters = np.frombuffer(data, np.uint8)
-        points = np.concatenate([[0], np.cumsum((letters & 0xC0) != 0x80)])
-        self.starts, self.ends = points[starts], points[ends]
-        breaks = np.searchsorted(starts, np.flatnonzero(letters == 10))
-        self.lines = np.concatenate([[0], breaks, [len(starts)]])
-
-    def ranges(self) -> Iterator[tuple[int, int]]:
-        """First and end word of every line, and of every block of two or more short lines in a row."""
-        block, held = 0, 0
-        for a, b in zip(self.lines[:-1].tolist(), self.lines[1:].tolist(), strict=True):
-            if 0 < b - a < LEAST_WORDS:
-                block, held = (block, held + 1) if held else (a, 1)
-            else:
-                if held > 1:
-                    yield block, a
-                held = 0
-            if b > a:
-                yield a, b
-        if held > 1:
-            yield block, int(self.lines[-1])
-
-    def paragraphs(self) -> Iterator[tuple[int, int, np.ndarray]]:
-        """Begin, end and shingle set of each."""
-        for a, b in self.ranges():
-            found = np.sort(shingles(self.words[a:b], SIZE))
-            yield int(self.starts[a]), int(self.ends[b - 1]), found[np.concatenate([[True], found[1:] != found[:-1]])]
+        edges = np.cumsum([0, *(len(text) + 1 for text in coded)])
+        if data.isascii():
+            self.starts, self.ends, self.origin = starts, ends, edges[:-1]
+        else:
+            points = np.zeros(len(data) + 1, np.int64)
+            np.cumsum((letters & 0xC0) != 0x80, out=points[1:])
+            self.starts, self.ends, self.origin = points[starts], points[ends], points[edges[:-1]]
+        #: The first word of every text, and the end of the last.
+        self.borders = np.searchsorted(starts, edges)
+        breaks = np.flatnonzero(letters == 10)
+        self.lines = np.concatenate([[0], np.searchsorted(starts, breaks)])
+        self.line_doc = np.searchsorted(edges, breaks, side="right") - 1
+        self.grams = shingles(self.words, SIZE)
+
+    def doc(self, word: np.ndarray) -> np.ndarray:
+        """The text of every word."""
+        return np.searchsorted(self.borders, word, side="right") - 1
+
+    def ranges(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and end word and text of every line, and of every block of two or more short lines in a row."""
+        a, b, doc = self.lines[:-1], self.lines[1:], self.line_doc
+        short = (b > a) & (b - a < LEAST_WORDS)
+        goes_on = np.concatenate([[False], short[1:] & short[:-1] & (doc[1:] == doc[:-1])])
+        follows = np.append(goes_on[1:], False)
+        first, last = np.flatnonzero(~goes_on & follows), np.flatnonzero(goes_on & ~follows)
+        there = np.flatnonzero(b > a)
+        return np.concatenate([a[there], a[first]]), np.concatenate([b[there], b[last]]), np.concatenate([doc[there], doc[first]])
+
+    def sets(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted shingle sets of word ranges, one behind the other, and their sizes."""
+        n = np.maximum(b - a - SIZE + 1, 1)
+        offsets = np.cumsum(n) - n
+        at = np.arange(n.sum()) + np.repeat(a - offsets, n)
+        found = self.grams[np.minimum(at, len(self.grams) - 1)] if len(n) else np.zeros(0, np.uint64)
+        for used in range(1, SIZE):  # a range of fewer words is one shingle
+            few = np.flatnonzero(b - a == used)
+            if len(few):
+                found[offsets[few]] = shingles_at(self.words, a[few], used)
+        for x, y in zip(offsets.tolist(), (offsets + n).tolist(), strict=True):
+            if y - x > 1:
+                found[x:y].sort()
+        new = np.ones(len(found), bool)
+        new[1:] = found[1:] != found[:-1]
+        new[offsets] = True
+        sizes = np.add.reduceat(new, offsets, dtype=np.int64) if len(n) else n
+        return found[new], sizes
 
     def runs(self, first: np.ndarray) -> np.ndarray:
         """Keys of the runs of ``UNIT`` words that begin at the words ``first``."""
@@ -93,118 +122,253 @@ class Text:
 
     def anchors(self) -> np.ndarray:
         """First words of the windows."""
-        n = len(self.words)
-        if n < UNIT:
-            return np.zeros(0, np.int64)
-        grams = shingles(self.words, SIZE)
-        width = min(REACH, len(grams))
-        around = np.lib.stride_tricks.sliding_window_view(grams, width)
-        first = np.unique(around.argmin(axis=1) + np.arange(len(around)))
-        return first[first + UNIT <= n]
-
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, begins and ends of the windows."""
-        first = self.anchors()
-        return self.runs(first), self.starts[first], self.ends[first + UNIT - 1]
-
-    def around(self, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First words of the runs within ``REACH`` words of the windows with these begins, and whether each is such a window."""
-        n = len(self.words) - UNIT + 1
+        begin, end = self.borders[:-1], self.borders[1:]
+        last = len(self.grams) - REACH
+        found = [np.zeros(0, np.int64)]
+        if last >= 0:
+            # The first least gram among so many from a gram on, for twice as many in every step.
+            least, at, width = self.grams, np.arange(len(self.grams)), 1
+            while width < REACH:
+                step = min(width, REACH - width)
+                less = least[step:] < least[:-step]
+                least, at = np.where(less, least[step:], least[:-step]), np.where(less, at[step:], at[:-step])
+                width += step
+            # Of them those that lie in one text.
+            whole = np.zeros(len(at) + 1, np.int64)
+            full = np.flatnonzero(end - begin >= SIZE - 1 + REACH)
+            np.add.at(whole, begin[full], 1)
+            np.add.at(whole, end[full] - SIZE - REACH + 2, -1)
+            at = at[np.cumsum(whole[:-1]) > 0]
+            found.append(at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at)
+        few = np.flatnonzero((end - begin >= UNIT) & (end - begin < SIZE - 1 + REACH))
+        if len(few):
+            count = end[few] - begin[few] - SIZE + 1
+            offsets = np.cumsum(count) - count
+            grams = self.grams[np.arange(count.sum()) + np.repeat(begin[few] - offsets, count)]
+            least = np.flatnonzero(grams == np.repeat(np.minimum.reduceat(grams, offsets), count))
+            own = np.searchsorted(offsets, least, side="right") - 1
+            first = np.concatenate([[True], own[1:] != own[:-1]])
+            found.append(least[first] - offsets + begin[few])
+        first = np.sort(np.concatenate(found))
+        return first[first + UNIT <= end[self.doc(first)]]
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, begins, ends and texts of the windows."""
+        return self.placed(first := self.anchors(), first + UNIT, self.runs(first))
+
+    def placed(self, a: np.ndarray, b: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The keys, with begins and ends of the word ranges in their text, and the texts."""
+        doc = self.doc(a)
+        return keys, self.starts[a] - self.origin[doc], self.ends[b - 1] - self.origin[doc], doc
+
+    def around(self, begins: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the runs within ``REACH`` words of the windows with these begins in these texts, and whether each is such a window."""
+        begins = begins + self.origin[doc]
         at = np.searchsorted(self.starts, begins)
-        at = at[(at < n) & (self.starts[np.minimum(at, len(self.starts) - 1)] == begins)] if n > 0 else at[:0]
-        steps = np.zeros(max(n, 0) + 1, np.int64)
-        np.add.at(steps, np.maximum(at - REACH, 0), 1)
-        np.add.at(steps, np.minimum(at + REACH + 1, n), -1)
+        low, high = self.borders[doc], self.borders[doc + 1] - UNIT + 1
+        there = (low <= at) & (at < high)
+        there &= self.starts[np.minimum(at, len(self.starts) - 1)] == begins if len(self.starts) else False
+        at, low, high = at[there], low[there], high[there]
+        steps = np.zeros(len(self.words) + 1, np.int64)
+        np.add.at(steps, np.maximum(at - REACH, low), 1)
+        np.add.at(steps, np.minimum(at + REACH + 1, high), -1)
+        seed = np.zeros(len(self.words), bool)
+        seed[at] = True
         first = np.flatnonzero(np.cumsum(steps[:-1]))
-        return first, np.isin(first, at)
+        return first, seed[first]
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """``BANDS`` hashes of the MinHash of a shingle set."""
-    least = ((found ^ _SEEDS[:, None]) * _ODD).min(axis=1).reshape(BANDS, ROWS)
-    value = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        value = mix(value * _ODD + least[:, k])
-    return value
+class Text(Texts):
+    """One text."""
+
+    def __init__(self, text: str | None):
+        super().__init__([(text or "").encode()])
+
+    def paragraphs(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Begin, end and shingle set of each."""
+        a, b, _ = self.ranges()
+        found, sizes = self.sets(a, b)
+        pieces = np.split(found, np.cumsum(sizes)[:-1])
+        _, begins, ends, _ = self.placed(a, b, a)
+        yield from zip(begins.tolist(), ends.tolist(), pieces, strict=False)
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def bands(found: np.ndarray) -> np.ndarray:
+    """``BANDS`` hashes of the MinHash of a shingle set."""
+    return bands_of(found, np.array([len(found)]))[0]
+
+
+def bands_of(found: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row of ``BANDS`` hashes for every set; the sets stand one behind the other."""
+    offsets = np.cumsum(sizes) - sizes
+    mixed = np.empty_like(found)
+    out = np.empty((len(sizes), BANDS), np.uint64)
+    if not len(sizes):
+        return out
+    for band in range(BANDS):
+        value = np.full(len(sizes), band, np.uint64)
+        for seed in _SEEDS[band * ROWS : (band + 1) * ROWS]:
+            np.bitwise_xor(found, seed, out=mixed)
+            np.multiply(mixed, _ODD, out=mixed)
+            value = mix(value * _ODD + np.minimum.reduceat(mixed, offsets))
+        out[:, band] = value
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices whose texts have ``LETTERS`` bytes together, or one text."""
     for whole in batches:
-        for start in range(0, whole.num_rows, SLICE):
-            yield whole.slice(start, SLICE).to_pydict()
+        total = np.cumsum(pc.fill_null(pc.binary_length(whole.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < whole.num_rows:
+            before = total[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(total, before + LETTERS, side="right")))
+            yield whole.slice(start, end - start)
+            start = end
+
+
+def _texts(batch: pa.RecordBatch) -> Texts:
+    return Texts(batch.column("text").cast(pa.binary()).to_pylist())
+
+
+def _packed(values: np.ndarray, sizes: np.ndarray, there: np.ndarray | None = None) -> pa.Array:
+    """The values cut into rows of these sizes, as bytes; null in rows that are not ``there``."""
+    there = np.ones(len(sizes), bool) if there is None else there
+    edges = np.zeros(len(there) + 1, np.int32)
+    edges[1:][there] = sizes * values.itemsize
+    valid = pa.py_buffer(np.packbits(there, bitorder="little"))
+    return pa.Array.from_buffers(pa.binary(), len(there), [valid, pa.py_buffer(np.cumsum(edges, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of such rows, none of them null, and the row of each."""
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.zeros(0, np.uint8)
+    return values.view(kind), np.repeat(np.arange(len(column)), np.diff(edges) // np.dtype(kind).itemsize)
+
+
+def _whole(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows again, those with equal ``keys`` in one batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        other = np.zeros(batch.num_rows, bool)  # than the batch's last row
+        for column in (batch.column(c).to_numpy(zero_copy_only=False) for c in keys):
+            other |= column != column[-1]
+        start = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if held and (start or any(held[0].column(c)[0] != batch.column(c)[0] for c in keys)):
+            yield from pa.Table.from_batches([*held, batch.slice(0, start)]).combine_chunks().to_batches()
+            held = []
+        elif start:
+            yield batch.slice(0, start)
+        held.append(batch.slice(start))
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """Of ``id`` and ``text``: key, id, begin, end, n of all paragraphs (n shingles) and windows (n null)."""
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("n", pa.int32())])
+    """Of ``id`` and ``text``: key, id, begin, end, n, bands and bits of all paragraphs (n shingles) and windows (n null).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
-            rows: list[tuple] = []
-            keys, ids, begins, ends = [], [], [], []
-            for i, text in zip(batch["id"], batch["text"], strict=True):
-                own = Text(text)
-                rows += [(set_key(s), i, a, b, len(s)) for a, b, s in own.paragraphs()]
-                k, a, b = own.windows()
-                keys.append(k.view(np.int64))
-                ids.append(np.full(len(k), i, np.int64))
-                begins.append(a)
-                ends.append(b)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-            columns = [np.concatenate(keys), np.concatenate(ids), np.concatenate(begins).astype(np.int32), np.concatenate(ends).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(columns[0]), pa.int32())], schema=schema)
-
-    return docs.mapInArrow(run, "key long, id long, begin int, end int, n int")
-
-
-def banded(docs: DataFrame) -> DataFrame:
-    """A row (band, node, n) for every band of every paragraph; equal paragraphs of a task come once."""
+    A set of ``LEAST_SET`` shingles or more has its bands and parity bits, packed, where a task meets it first.
+    """
+    names = ["key", "id", "begin", "end", "n", "bands", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in _batches(batches):
-            found, nodes, sizes = [], [], []
-            for text in batch["text"]:
-                for _, _, s in Text(text).paragraphs():
-                    node = set_key(s) if len(s) >= LEAST_SET else None
-                    if node is not None and node not in seen:
-                        seen.add(node)
-                        found.append(bands(s))
-                        nodes.append(node)
-                        sizes.append(len(s))
-            if found:
-                columns = [np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), BANDS), np.repeat(np.array(sizes, np.int32), BANDS)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["band", "node", "n"])
-
-    return docs.select("text").mapInArrow(run, "band long, node long, n int")
-
-
-def _of_wanted(docs: DataFrame, wanted: DataFrame, make: Callable[[np.ndarray], list[tuple]], schema: str) -> DataFrame:
-    """What ``make`` returns for the shingle sets of the wanted paragraphs (node, id of a document that has it)."""
-    ids = wanted.select(F.col("id").alias("_wanted")).distinct()
-    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_ROWS else ids
-    texts = docs.join(ids, F.col("id") == F.col("_wanted"), "left_semi").select("text")
-    fields = to_arrow_schema(T.StructType.fromDDL(schema))
+        seen: set[int] = set()
+        for batch in _groups(batches):
+            own, ids = _texts(batch), batch.column("id").to_numpy()
+            a, b, _ = own.ranges()
+            found, sizes = own.sets(a, b)
+            keys, begins, ends, doc = own.placed(a, b, set_keys(found, sizes))
+            fresh = sizes >= LEAST_SET
+            for k in np.flatnonzero(fresh).tolist():
+                fresh[k] = (key := int(keys[k])) not in seen
+                seen.add(key)
+            found, few = found[np.repeat(fresh, sizes)], sizes[fresh]
+            bits, words = parity_bits_of(found, few)
+            columns = [keys.view(np.int64), ids[doc], begins.astype(np.int32), ends.astype(np.int32), sizes.astype(np.int32)]
+            columns = [*map(pa.array, columns), _packed(bands_of(found, few).ravel(), np.full(len(few), BANDS), fresh), _packed(bits, words, fresh)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            keys, begins, ends, doc = own.windows()
+            columns = [keys.view(np.int64), ids[doc], begins.astype(np.int32), ends.astype(np.int32)]
+            columns = [*map(pa.array, columns), pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.binary()), pa.nulls(len(keys), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(run, "key long, id long, begin int, end int, n int, bands binary, bits binary")
+
+
+def colliding(sets: DataFrame) -> DataFrame:
+    """Of ``node`` and ``bands``: distinct rows (band, node) of the bands that two nodes or more have."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                band, row = _unpacked(batch.column("bands"), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(batch.column("node").to_numpy()[row])], names=["band", "node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
-            rows = [row for text in batch["text"] for _, _, s in Text(text).paragraphs() if len(s) >= LEAST_SET for row in make(s)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), fields.types, strict=True)], names=fields.names)
+        held, met = np.zeros((2, 0), np.int64), False  # the last row, and whether one of its band is before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+            rows = rows[:, np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0))]
+            same = rows[0, 1:] == rows[0, :-1]
+            keep = np.append(met, same) | np.append(same, False)
+            held, met = rows[:, -1:], bool(keep[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[:, :-1][:, keep[:-1]]], names=["band", "node"])
+        if met:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["band", "node"])
+
+    rows = sets.select("node", "bands").mapInArrow(cut, "band long, node long")
+    return rows.repartition("band").sortWithinPartitions("band", "node").mapInArrow(run, "band long, node long")
+
 
-    return texts.mapInArrow(run, schema).join(wanted.select("node"), "node", "left_semi")
+def _beside(docs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """id, text and ``name`` of the documents of ``values``: all values (columns id and ``name``) of the document, sorted."""
+    few = values.count() <= BROADCAST_ROWS
+    lists = values.groupBy(F.col("id").alias("_id")).agg(F.sort_array(F.collect_set(name)).alias(name))
+    return docs.join(F.broadcast(lists) if few else lists, F.col("id") == F.col("_id")).select("id", "text", name)
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of lists without nulls, and the row of each."""
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
 
 
 def parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sets of the wanted paragraphs, cut into fragments."""
+    """Shingle sets of the wanted paragraphs (node, id of a document that has it), cut into fragments."""
     edges = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
+    names = ["node", "fragment", "part"]
 
-    def cut(s: np.ndarray) -> list[tuple]:
-        node = set_key(s)
-        return [(node, k, p.view(np.int64)) for k, p in enumerate(np.split(s, np.searchsorted(s, edges))) if len(p)]
-
-    return _of_wanted(docs, wanted, cut, "node long, fragment int, part array<long>").dropDuplicates(["node", "fragment"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            own = _texts(batch)
+            found, sizes = own.sets(*own.ranges()[:2])
+            keys = set_keys(found, sizes).view(np.int64)
+            keep = (sizes >= LEAST_SET) & np.isin(keys, _flat(batch.column("node"))[0])
+            keep[keep] &= np.isin(np.arange(keep.sum()), np.unique(keys[keep], return_index=True)[1])
+            found, sizes, keys = found[np.repeat(keep, sizes)], sizes[keep], keys[keep]
+            # Sets are sorted, so that a fragment of a set is a stretch of it.
+            fragment = np.searchsorted(edges, found, side="right") + FRAGMENTS * np.repeat(np.arange(len(sizes)), sizes)
+            places, lengths = np.unique(fragment, return_counts=True)
+            part = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(found.view(np.int64)))
+            columns = [pa.array(keys[places // FRAGMENTS]), pa.array((places % FRAGMENTS).astype(np.int32)), part]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    made = _beside(docs, wanted, "node").mapInArrow(run, "node long, fragment int, part array<long>")
+    return made.dropDuplicates(["node", "fragment"])
+
+
+def _with_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with ``bits`` as lists."""
+    for batch in batches:
+        if batch.num_rows:
+            words, row = _unpacked(batch.column("bits"), np.int64)
+            edges = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows))).astype(np.int32)
+            yield batch.set_column(batch.schema.get_field_index("bits"), "bits", pa.ListArray.from_arrays(pa.array(edges), pa.array(words)))
 
 
 def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
@@ -212,80 +376,183 @@ def linked(docs: DataFrame, paragraphs: DataFrame) -> DataFrame:
 
     Bands are the buckets of :func:`connected`: every paragraph meets one leader a round, then the nearest pairs between
     components are compared, then all pairs of a band that are still in different components and within reach by parity bits.
+    ``paragraphs`` are rows of :func:`units`; without bands and bits these are made from the texts.
     """
-    # One shuffle gives the count and the rows alike, and reads the texts once.
-    bucket = Window.partitionBy("band")
-    rows = banded(docs).withColumns({"_low": F.min("node").over(bucket), "_high": F.max("node").over(bucket)})
-    held = compact(rows.where("_low < _high").select("band", "node", "n").distinct())
+    sets = paragraphs if "bands" in paragraphs.columns else units(docs).where("n is not null")
+    sets = sets.where("bands is not null").withColumnRenamed("key", "node")
+    held = compact(colliding(sets))
     # The paragraph that collides most is nearest to what the others were made from: it leads.
     size = held.groupBy("band").agg(F.count("*").alias("_size"))
     ranked = held.join(size, "band").groupBy("node").agg(F.sum("_size").alias("shared"))
+    about = sets.select("node", "id", "n", "bits").join(ranked, "node").dropDuplicates(["node"])
+    about = compact(about.mapInArrow(_with_lists, "node long, id long, n int, bits array<long>, shared long"))
     # A band says nothing of what two sets share: no prefix, so only sizes and bits sift its pairs.
     none = {"length": F.lit(0), "met": F.lit(1), "hot": F.lit(False)}
-    held = compact(held.withColumnRenamed("band", "shingle").join(ranked, "node").withColumns(none))
-    wanted = paragraphs.join(held.select(F.col("node").alias("key")).distinct(), "key", "left_semi")
-    wanted = compact(wanted.groupBy(F.col("key").alias("node")).agg(F.min("id").alias("id")))
-    bits = _of_wanted(docs, wanted, lambda s: [(set_key(s), parity_bits(s))], "node long, bits array<long>")
-    bits = compact(bits.dropDuplicates(["node"]))
-    return connected(held, bits, lambda live: parts(docs, compact(wanted.join(live, "node", "left_semi"))))[0]
+    held = compact(held.withColumnRenamed("band", "shingle").join(about.select("node", "n", "shared"), "node").withColumns(none))
+    wanted = about.select("node", "id")
+    return connected(held, about.select("node", "bits"), lambda live: parts(docs, compact(wanted.join(live, "node", "left_semi"))))[0]
 
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs in two documents or more, with ``removed``: false for the first occurrence."""
     place = F.struct("id", "begin")
-    out = _shared(rows, key, F.struct("id", "begin"))
+    out = _shared(rows, key, F.min(place).alias("_first"), F.col("_first.id"))
     return out.withColumn("removed", place != F.col("_first")).drop("_first")
 
 
-def _shared(rows: DataFrame, key: str, place: F.Column) -> DataFrame:
-    """Rows whose ``key`` occurs in two documents or more, with the least ``place`` as ``_first``."""
-    seen = rows.groupBy(key).agg(F.min(place).alias("_first"), F.max("id").alias("_last")).where("_first.id < _last")
-    return rows.join(compact(seen.select(key, "_first")), key)  # on its own, so that Spark can split a hot key
+def _shared(rows: DataFrame, key: str, first: F.Column, least: F.Column) -> DataFrame:
+    """Rows whose ``key`` occurs in two documents or more, with ``first`` over the key's rows, whose ``least`` is the first document."""
+    seen = rows.groupBy(key).agg(first, F.max("id").alias("_last")).where(least < F.col("_last"))
+    return rows.join(compact(seen.drop("_last")), key)  # on its own, so that Spark can split a hot key
 
 
-def seeded(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """key, id, begin, end and seed of all runs of ``UNIT`` words within ``REACH`` of the windows of ``seeds`` (id, begin)."""
-    few = seeds.count() <= BROADCAST_ROWS
-    places = seeds.groupBy(F.col("id").alias("_id")).agg(F.sort_array(F.collect_set("begin")).alias("begins"))
-    texts = docs.join(F.broadcast(places) if few else places, F.col("id") == F.col("_id")).select("id", "text", "begins")
-    names = ["key", "id", "begin", "end", "seed"]
+#: A run of a piece: its key, begin and end, and whether it is a window that repeats.
+RUN = np.dtype([("key", "<i8"), ("begin", "<i4"), ("end", "<i4"), ("mark", "?")])
+#: Where a repeated run of a piece is in it, the first document that has the run, and the run's end there.
+FIRST = np.dtype([("at", "<i4"), ("id", "<i8"), ("end", "<i4")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
-            keys, ids, begins, ends, marks = [], [], [], [], []
-            for i, text, places in zip(batch["id"], batch["text"], batch["begins"], strict=True):
-                own = Text(text)
-                first, seed = own.around(np.array(places, np.int64))
-                keys.append(own.runs(first).view(np.int64))
-                ids.append(np.full(len(first), i, np.int64))
-                begins.append(own.starts[first].astype(np.int32))
-                ends.append(own.ends[first + UNIT - 1].astype(np.int32))
-                marks.append(seed)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ids, begins, ends, marks)], names=names)
-
-    return texts.mapInArrow(run, "key long, id long, begin int, end int, seed boolean")
 
+def _records(kind: np.dtype, *columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(columns[0]), kind)
+    for name, column in zip(kind.names, columns, strict=True):
+        out[name] = column
+    return out
 
-def _spans(runs: DataFrame) -> DataFrame:
-    """Repeated runs that touch in a document as one span: id, removed, begin, end, cluster.
+
+def seeded(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """All runs of ``UNIT`` words within ``REACH`` of the windows of ``seeds`` (id, begin), some neighbours a row: piece, id, again, runs (packed).
+
+    ``piece`` is a hash of the runs' keys, ``again`` says that the document had the piece before. A piece ends before a run
+    that its key picks, so that equal passages fall into equal pieces.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches):
+            own = _texts(batch)
+            first, seed = own.around(*_flat(batch.column("begin")))
+            if not len(first):
+                continue
+            keys, begins, ends, doc = own.placed(first, first + UNIT, own.runs(first))
+            place = np.arange(len(first))
+            cut = (keys >> np.uint64(40)) % np.uint64(PIECE) == 0
+            cut |= np.append(True, first[1:] != first[:-1] + 1)
+            cut |= (place - np.maximum.accumulate(np.where(cut, place, 0))) % MOST == 0
+            offsets = np.flatnonzero(cut)
+            sizes = np.diff(np.append(offsets, len(first)))
+            piece = np.add.reduceat(keys * _PIECES[place - np.repeat(offsets, sizes)], offsets)
+            piece = mix(piece + sizes.astype(np.uint64) * _ODD)
+            doc = doc[offsets]
+            order = np.lexsort((offsets, piece, doc))
+            again = np.zeros(len(piece), bool)
+            again[order[1:]] = (piece[order[1:]] == piece[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+            runs = _packed(_records(RUN, keys.view(np.int64), begins, ends, seed), sizes)
+            columns = [pa.array(piece.view(np.int64)), batch.column("id").take(pa.array(doc)), pa.array(again), runs]
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "id", "again", "runs"])
+
+    return _beside(docs, seeds, "begin").mapInArrow(run, "piece long, id long, again boolean, runs binary")
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every run of the pieces: key, piece, id, place (begin and end in one number), at (its number in the piece, the last bit is ``more``)."""
+    for batch in batches:
+        if batch.num_rows:
+            runs, row = _unpacked(batch.column("runs"), RUN)
+            at = np.arange(len(row)) - np.searchsorted(row, row)
+            piece, ids, more = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("piece", "id", "more"))
+            columns = [np.ascontiguousarray(runs["key"]), piece, ids, (runs["begin"].astype(np.int64) << 32) + runs["end"], (2 * at + more).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["key", "piece", "id", "place", "at"])
+
+
+def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (piece, spot, id) in order, the spot with a run's number and end, as one row a piece: piece, firsts (packed)."""
+    for batch in _whole(batches, ["piece"]):
+        piece, spot, ids = (c.to_numpy() for c in batch.columns)
+        at = spot >> 32
+        new = np.append(True, (piece[1:] != piece[:-1]) | (at[1:] != at[:-1]))
+        piece, firsts = piece[new], _records(FIRST, at[new], ids[new], (spot & 0xFFFFFFFF)[new])
+        offsets = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+        columns = [pa.array(piece[offsets]), _packed(firsts, np.diff(np.append(offsets, len(piece))))]
+        yield pa.RecordBatch.from_arrays(columns, names=["piece", "firsts"])
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of piece, id, runs and firsts: repeated runs that touch within a piece as one: id, removed, begin, end, seeds, others.
 
     A run of the document that has it first is removed only behind that first occurrence,
-    so that of runs that repeat at each word one stays whole.
+    so that of runs that repeat at each word one stays whole. ``seeds`` are the keys of windows, ``others`` all keys where there are none.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        runs, of_run = _unpacked(batch.column("runs"), RUN)
+        firsts, row = _unpacked(batch.column("firsts"), FIRST)
+        runs, ids = runs[firsts["at"] + np.searchsorted(of_run, row)], batch.column("id").to_numpy()
+        removed = (ids[row] != firsts["id"]) | (runs["begin"] >= firsts["end"])
+        order = np.lexsort((firsts["at"], removed, row))
+        row, removed, runs = row[order], removed[order], runs[order]
+        begin, end, key, mark = (np.ascontiguousarray(runs[c]) for c in ("begin", "end", "key", "mark"))
+        new = np.append(True, (row[1:] != row[:-1]) | (removed[1:] != removed[:-1]) | (begin[1:] > end[:-1]))
+        offsets = np.flatnonzero(new)
+        sizes = np.diff(np.append(offsets, len(row)))
+        windows = np.add.reduceat(mark, offsets, dtype=np.int64)
+        columns = [ids[row[offsets]], removed[offsets], begin[offsets], np.maximum.reduceat(end, offsets)]
+        columns = [*map(pa.array, columns), _packed(key[mark], windows), _packed(key[np.repeat(windows == 0, sizes)], np.where(windows == 0, sizes, 0))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "removed", "begin", "end", "seeds", "others"])
+
+
+def shared_runs(pieces: DataFrame, folder: str) -> DataFrame:
+    """Repeated runs of ``pieces``, as :func:`_stretches` returns them; ``folder`` keeps what is known of the pieces."""
+    with scratch(pieces.sparkSession):
+        # Equal pieces have equal runs: the first document's stands for all, so that a run comes as often as there are different pieces around it.
+        known = pieces.where("not again").groupBy("piece").agg(F.min("id").alias("id"), F.max("id").alias("_last"))
+        one = pieces.where("not again").join(known, ["piece", "id"]).select("piece", "id", (F.col("_last") > F.col("id")).alias("more"), "runs")
+        one = checkpointed(one).mapInArrow(_single, "key long, piece long, id long, place long, at int")
+        by_key = Window.partitionBy("key")
+        first = F.min(F.struct("id", "place")).over(by_key)
+        one = one.withColumns({"_first": first, "_last": F.max("id").over(by_key), "_more": F.max(F.col("at").bitwiseAND(1)).over(by_key)})
+        one = one.where("_first.id < _last or _more = 1").select("piece", F.expr("shiftleft(cast(at div 2 as long), 32) + (_first.place & 4294967295)").alias("spot"), "_first.id")
+        firsts = one.repartition("piece").sortWithinPartitions("piece", "spot").mapInArrow(_by_piece, "piece long, firsts binary")
+        firsts = kept_at(firsts, f"{folder}/firsts")
+    both = pieces.drop("again").join(firsts, "piece")  # on its own, so that Spark can split a hot piece
+    return both.mapInArrow(_stretches, "id long, removed boolean, begin int, end int, seeds binary, others binary")
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches in order; those that touch in a document as one span: id, removed, begin, end, node, names.
+
+    Spans with a window in common are one cluster; those without any, by all their runs: ``names`` are their keys, ``node`` is the least.
     """
-    first = (F.col("id") == F.col("_first.id")) & (F.col("begin") < F.col("_first.end"))
-    by_doc = Window.partitionBy("id", "removed").orderBy("begin", "end")
-    before = F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.withColumn("removed", ~first).withColumn("_new", F.coalesce((F.col("begin") > before).cast("int"), F.lit(1)))
-    runs = runs.withColumn("_span", F.sum("_new").over(by_doc))
-    # Spans with a window in common are one cluster; those without any, by all their runs.
-    names = F.collect_set(F.when(F.col("seed"), F.col("key"))).alias("_seeds")
-    spans = runs.groupBy("id", "removed", "_span").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("key").alias("_least"), names)
-    spans = compact(spans.withColumn("node", F.coalesce(F.array_min("_seeds"), "_least")).drop("_least"))
-    touching = spans.select(F.col("node").alias("a"), F.explode("_seeds").alias("b"))
-    apart = spans.where("size(_seeds) = 0").select("id", "removed", "_span", F.col("node").alias("a"))
-    if not apart.isEmpty():
-        touching = touching.unionByName(runs.join(apart, ["id", "removed", "_span"]).select("a", F.col("key").alias("b")))
+    for batch in _whole(batches, ["id", "removed"]):
+        ids, begin, end = (batch.column(c).to_numpy() for c in ("id", "begin", "end"))
+        removed = batch.column("removed").to_numpy(zero_copy_only=False)
+        other = np.append(True, (ids[1:] != ids[:-1]) | (removed[1:] != removed[:-1]))
+        group = np.cumsum(other) << 32
+        before = np.maximum.accumulate(group + end)[:-1]
+        offsets = np.flatnonzero(other | np.append(True, group[1:] + begin[1:] > before))
+        span = np.repeat(np.arange(len(offsets)), np.diff(np.append(offsets, len(ids))))
+        pairs = []
+        bare = np.ones(len(offsets), bool)
+        for column in ("seeds", "others"):
+            key, row = _unpacked(batch.column(column), np.int64)
+            own = span[row]
+            key, own = key[bare[own]], own[bare[own]]
+            pairs.append(np.stack([own, key]))
+            bare[own] = False
+        own, key = np.concatenate(pairs, axis=1)
+        own, key = (x[order] for order in [np.lexsort((key, own))] for x in (own, key))
+        new = np.append(True, (own[1:] != own[:-1]) | (key[1:] != key[:-1]))
+        own, key = own[new], key[new]
+        edges = np.searchsorted(own, np.arange(len(offsets) + 1))
+        columns = [ids[offsets], removed[offsets], begin[offsets], np.maximum.reduceat(end, offsets), key[edges[:-1]]]
+        columns = [*map(pa.array, columns), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(key))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "removed", "begin", "end", "node", "names"])
+
+
+def _spans(runs: DataFrame) -> DataFrame:
+    """Stretches of repeated runs that touch in a document as one span: id, removed, begin, end, cluster."""
+    spans = runs.repartition("id").sortWithinPartitions("id", "removed", "begin", "end")
+    spans = compact(spans.mapInArrow(_joined, "id long, removed boolean, begin int, end int, node long, names array<long>"))
+    touching = spans.select(F.col("node").alias("a"), F.explode("names").alias("b"))
     together = compact(components(compact(touching.where("a <> b").distinct())))
     spans = spans.join(together, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
     return spans.select("id", "removed", "begin", "end", "cluster")
@@ -303,18 +570,17 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     # Every step's tables go with it; what the next one needs is kept beside them.
     with scratch(spark):
         found = checkpointed(units(docs))
-        paragraphs = found.where("n is not null").select("key", "id", "begin", "end")
+        paragraphs = found.where("n is not null")
         with scratch(spark):
             member = kept_at(components(linked(docs, paragraphs)), f"{folder}/member")
         placed = paragraphs.join(member.withColumnRenamed("node", "key"), "key", "left")
         placed = placed.withColumn("cluster", F.coalesce("component", "key")).select("id", "begin", "end", "cluster")
         lines = _repeated(placed, "cluster").withColumn("kind", F.lit("paragraph"))
         lines = kept_at(lines.select(*columns), f"{folder}/lines")
-        seeds = _shared(found.where("n is null").select("key", "id", "begin"), "key", F.struct("id")).select("id", "begin")
+        seeds = _shared(found.where("n is null").select("key", "id", "begin"), "key", F.min("id").alias("_first"), F.col("_first")).select("id", "begin")
         seeds = kept_at(seeds, f"{folder}/seeds")
-    with scratch(spark):
-        runs = checkpointed(seeded(docs, seeds))
-        runs = kept_at(_shared(runs, "key", F.struct("id", "begin", "end")), f"{folder}/runs")
+    with scratch(spark) as own:
+        runs = kept_at(shared_runs(checkpointed(seeded(docs, seeds)), own), f"{folder}/runs")
     with scratch(spark):
         spans = _spans(runs).withColumn("kind", F.lit("passage"))
         spans = kept_at(spans.select(*columns), f"{folder}/spans")

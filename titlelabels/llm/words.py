@@ -90,3 +90,11 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(1, used):
         out += words[k : k + count] * _FACTORS[k - 1]
     return mix(out)
+
+
+def shingles_at(words: np.ndarray, first: np.ndarray, used: int) -> np.ndarray:
+    """Hash of the ``used`` words from each of the words ``first`` on, as :func:`shingles` has it."""
+    out = words[first] * _FACTORS[used]
+    for k in range(1, used):
+        out += words[first + k] * _FACTORS[k - 1]
+    return mix(out)
